@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivalmart.functions.bands import Bands
-from arrivalmart.functions.codes import MISSING, UNKNOWN
+from arrivalmart.functions.codes import CASTABLE, MISSING, UNKNOWN
 
 # Check names in report order, and the profiled columns.
 CHECKS = ("isnan", "isnull", "emptystring", "unknownstring", "nan_as_-1")
@@ -108,13 +108,16 @@ def _check(check: str, field: T.StructField) -> Column | None:
     if check == "unknownstring":
         return value == UNKNOWN if text else None
     if text:
-        return value.try_cast("int") == MISSING
+        # Compared as text: a cast that fails raises and catches an exception on every row.
+        return F.trim(value) == str(MISSING)
     return value == MISSING if isinstance(field.dataType, T.NumericType) else None
 
 
 def _number(field: T.StructField) -> Column:
     value = F.col(field.name)
-    return value.try_cast("bigint") if isinstance(field.dataType, T.StringType) else value
+    if isinstance(field.dataType, T.StringType):
+        return F.when(value.rlike(CASTABLE["bigint"]), value).try_cast("bigint")
+    return value
 
 
 def missing_measures(schema: T.StructType) -> list[Column]:

@@ -83,7 +83,7 @@ def read_lookups(spark: SparkSession, paths: Paths) -> lookups.Lookups:
     countries = lookups.read_lookup(
         spark, paths.countries, lookups.COUNTRY_COLUMNS, sep="|", int_key="code"
     )
-    return lookups.Lookups.of(spark, ports, states, countries)
+    return lookups.Lookups.of(spark, ports, states, countries).checked()
 
 
 def read_star(
@@ -125,7 +125,6 @@ def load_months(
     paths: Paths,
     months: Iterable[Month],
     layout: str = "partitioned",
-    task_size: str | None = None,
 ) -> None:
     """Load months from staged visits into the warehouse: profile, count, check, publish.
 
@@ -168,7 +167,7 @@ def load_months(
 
     dates = dimensions.date_dim(dimensions.months_table(spark, wanted))
     warehouse.write_date_dim(dates, paths.date)
-    warehouse.write_fact(counted, paths.visit_fact, wanted, task_size)
+    warehouse.write_fact(counted, paths.visit_fact, wanted)
 
 
 def check_rows(spark: SparkSession, paths: Paths, months: Iterable[Month]) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,21 +77,22 @@ class Lookups:
 
     @classmethod
     def of(
-        cls,
-        spark: SparkSession,
-        ports: DataFrame,
-        states: DataFrame,
-        countries: DataFrame,
-        max_rows: int = BROADCAST_ROWS,
+        cls, spark: SparkSession, ports: DataFrame, states: DataFrame, countries: DataFrame
     ) -> Lookups:
-        """Lookups around a port dimension; each is broadcast only if it was counted small."""
-        sized = broadcast_checked(
-            {"ports": ports, "states": states, "countries": countries}, max_rows
-        )
+        """Lookups around a port dimension; the fixed code tables are always small."""
         return cls(
-            purposes=F.broadcast(purposes(spark)), modes=F.broadcast(modes(spark)), **sized
+            purposes=F.broadcast(purposes(spark)),
+            modes=F.broadcast(modes(spark)),
+            ports=ports,
+            states=states,
+            countries=countries,
         )
 
+    def checked(self, max_rows: int = BROADCAST_ROWS) -> Lookups:
+        """The same lookups; a table is broadcast only if it was counted small."""
+        tables = {name: getattr(self, name) for name in ("ports", "states", "countries")}
+        return replace(self, **broadcast_checked(tables, max_rows))
+
 
 def split_port_labels(ports: DataFrame, label: str = "i94port_raw") -> DataFrame:
     """Add city, state and border-patrol mark taken from a port label.

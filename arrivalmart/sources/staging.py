@@ -8,8 +8,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from arrivalmart.functions.codes import MISSING, UNKNOWN, VISIT_COLUMNS, VISIT_FIELDS
+from arrivalmart.functions.codes import (
+    CASTABLE,
+    MISSING,
+    UNKNOWN,
+    VISIT_COLUMNS,
+    VISIT_FIELDS,
+)
 
 # Day zero of the raw date numbers and the columns of the manifest.
 DAY_ZERO = datetime.date(1960, 1, 1)
@@ -42,18 +49,18 @@ def clean_visits(raw: DataFrame) -> DataFrame:
     """Twenty typed columns from raw records.
 
     Day numbers become dates and stay null when missing, missing text becomes ``'unknown'`` and a
-    missing number becomes -1. ``try_cast`` also turns NaN into null instead of raising.
+    missing number, null or NaN, becomes -1.
     """
 
     def clean(name: str, kind: str) -> Column:
         value = F.col(name)
+        if kind == "string":
+            return F.coalesce(value, F.lit(UNKNOWN)).alias(name)
+        if isinstance(raw.schema[name].dataType, (T.FloatType, T.DoubleType)):
+            value = F.when(~F.isnan(value), value)
         if kind == "date":
-            cleaned = F.date_add(F.lit(DAY_ZERO), value.try_cast("int"))
-        elif kind == "string":
-            cleaned = F.coalesce(value, F.lit(UNKNOWN))
-        else:
-            cleaned = F.coalesce(value.try_cast(kind), F.lit(MISSING).cast(kind))
-        return cleaned.alias(name)
+            return F.date_add(F.lit(DAY_ZERO), value.try_cast("int")).alias(name)
+        return F.coalesce(value.try_cast(kind), F.lit(MISSING).cast(kind)).alias(name)
 
     return raw.select(*[clean(name, kind) for name, kind in VISIT_FIELDS])
 
@@ -80,11 +87,14 @@ def write_staged(
 
 
 def _typed(staged: DataFrame) -> DataFrame:
-    typed = [
-        (F.col(name) if kind == "string" else F.col(name).try_cast(kind)).alias(name)
-        for name, kind in VISIT_FIELDS
-    ]
-    return staged.select(*typed).withColumn("fltno", F.regexp_replace("fltno", "^0+", ""))
+    def typed(name: str, kind: str) -> Column:
+        value = F.col(name)
+        if kind == "string":
+            return value
+        return F.when(value.rlike(CASTABLE[kind]), value).try_cast(kind).alias(name)
+
+    columns = [typed(name, kind) for name, kind in VISIT_FIELDS]
+    return staged.select(*columns).withColumn("fltno", F.regexp_replace("fltno", "^0+", ""))
 
 
 def read_visits(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,33 +21,15 @@ FACT_SCHEMA = (
 DATE_DIM_SCHEMA = "date_id date, day int, week int, weekday string, year int, month int"
 FACT_PARTITIONS = ("year", "month", "arrivalstate_abbr")
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-
-
-@contextmanager
-def _advisory_size(spark: SparkSession, size: str | None):
-    """Aim for another partition size while one table is written."""
-    if size is None:
-        yield
-        return
-    before = spark.conf.get(ADVISORY)
-    spark.conf.set(ADVISORY, size)
-    try:
-        yield
-    finally:
-        spark.conf.set(ADVISORY, before)
-
-
-def write_fact(
-    fact: DataFrame, path: str, months: Iterable[Month] | None = None, task_size: str | None = None
-) -> None:
+
+
+def write_fact(fact: DataFrame, path: str, months: Iterable[Month] | None = None) -> None:
     """Replace the months a fact holds; loading a month twice leaves it as loaded once.
 
     Rows are rebalanced by partition, so a state folder gets few files, a state with a third of all
-    rows is split over many tasks, and small ones share a task. ``task_size`` is the shuffle size a
-    task should aim for. The folders written are observed in the same pass; a folder of a written
-    month (or of ``months``) that this load did not write is left over from an earlier load of that
-    month and is removed afterwards.
+    rows is split over many tasks, and small ones share a task. The folders written are observed in
+    the same pass; a folder of a written month (or of ``months``) that this load did not write is
+    left over from an earlier load of that month and is removed afterwards.
     """
     spark = fact.sparkSession
     seen = Observation()
@@ -56,13 +37,12 @@ def write_fact(
     out = fact.hint("rebalance", *FACT_PARTITIONS).observe(
         seen, F.collect_set(folder).alias("folders")
     )
-    with _advisory_size(spark, task_size):
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*FACT_PARTITIONS)
-            .parquet(path)
-        )
+    (
+        out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*FACT_PARTITIONS)
+        .parquet(path)
+    )
     written = {(row.year, row.month, row.arrivalstate_abbr) for row in seen.get["folders"]}
     loaded = {(year, month) for year, month, _ in written} | set(months or ())
     _drop_other_states(spark, path, loaded, written)

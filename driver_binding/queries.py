@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from arrivalmart.functions.bands import AGE, DURATION, Bands
 from arrivalmart.functions.codes import MISSING, UNKNOWN, VISIT_FIELDS
+from arrivalmart.functions.sizing import broadcast_checked
 from arrivalmart.operators import dimensions, fact, marts, quality
 from arrivalmart.plans import jobs
 from arrivalmart.sources import lookups, staging, warehouse
@@ -25,9 +27,20 @@ TOP_COUNTRIES = 5
 TOP_CITIES = 3
 AIR = 1
 RELOADED_YEAR = 1996
-# The test tables are a few megabytes in well over a thousand state folders; a small aim keeps
-# several tasks busy with them.
-TASK_SIZE = "256KB"
+# The test tables are a few megabytes in well over a thousand state folders. Adaptive execution would
+# write them in one task; a smaller least size lets all cores open folders.
+MIN_TASK = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
+
+
+@contextmanager
+def _small_tasks(spark: SparkSession):
+    name, size = MIN_TASK
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def visits_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,13 +51,20 @@ def port_dim_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.port_dim(views.bind(spark, sf_dir, views.PORTS))
 
 
+def _sized(spark: SparkSession, sf_dir: str, *more: str) -> dict[str, DataFrame]:
+    """Lookups, and dimensions asked for, counted in one job and broadcast where small."""
+    tables = {
+        "ports": port_dim_of(spark, sf_dir),
+        "states": views.bind(spark, sf_dir, views.STATES),
+        "countries": views.bind(spark, sf_dir, views.COUNTRIES),
+    }
+    if "date" in more:
+        tables["date"] = dates_of(spark, sf_dir)
+    return broadcast_checked(tables)
+
+
 def lookups_of(spark: SparkSession, sf_dir: str) -> lookups.Lookups:
-    return lookups.Lookups.of(
-        spark,
-        ports=port_dim_of(spark, sf_dir),
-        states=views.bind(spark, sf_dir, views.STATES),
-        countries=views.bind(spark, sf_dir, views.COUNTRIES),
-    )
+    return lookups.Lookups.of(spark, **_sized(spark, sf_dir))
 
 
 def banded_of(spark: SparkSession, sf_dir: str, citizenship: bool = True) -> DataFrame:
@@ -58,7 +78,7 @@ def visit_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dates_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days of the months of the visits, which the arrival dates of the orders give."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = views.read_table(spark, sf_dir, "orders")
     arrivals = orders.select(
         F.year("o_orderdate").alias("i94yr"), F.month("o_orderdate").alias("i94mon")
     )
@@ -66,13 +86,17 @@ def dates_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_of(spark: SparkSession, sf_dir: str) -> marts.Star:
+    sized = _sized(spark, sf_dir, "date")
+    dates = sized.pop("date")
+    visits = visits_of(spark, sf_dir)
+    resolved = fact.denormalise(visits, lookups.Lookups.of(spark, **sized), citizenship=False)
     return marts.Star(
-        fact=visit_fact(spark, sf_dir),
-        port=port_dim_of(spark, sf_dir),
-        age=dimensions.band_dim(spark, AGE),
-        duration=dimensions.band_dim(spark, DURATION),
-        date=dates_of(spark, sf_dir),
-    ).checked()
+        fact=fact.build_fact(fact.add_bands(resolved)),
+        port=sized["ports"],
+        age=F.broadcast(dimensions.band_dim(spark, AGE)),
+        duration=F.broadcast(dimensions.band_dim(spark, DURATION)),
+        date=dates,
+    )
 
 
 def raw_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,9 +272,9 @@ def fact_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     work, path = new_folder(spark, "fact"), new_folder(spark, "visit_fact")
     visit_fact(spark, sf_dir).write.parquet(work)
     built = spark.read.parquet(work)
-    warehouse.write_fact(built, path, task_size=TASK_SIZE)
-    again = built.where(F.col("year") == RELOADED_YEAR)
-    warehouse.write_fact(again, path, task_size=TASK_SIZE)
+    with _small_tasks(spark):
+        warehouse.write_fact(built, path)
+        warehouse.write_fact(built.where(F.col("year") == RELOADED_YEAR), path)
     return warehouse.read_fact(spark, path)
 
 
@@ -270,7 +294,8 @@ def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         (row.sas_data_year, row.sas_data_month)
         for row in staging.read_manifest(spark, paths.manifest).collect()
     ]
-    jobs.load_months(spark, paths, months, task_size=TASK_SIZE)
+    with _small_tasks(spark):
+        jobs.load_months(spark, paths, months)
     return jobs.check_rows(spark, paths, months)
 
 
