@@ -246,18 +246,22 @@ def rows_in(visits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return visits.groupBy(*by).agg(F.count(F.lit(1)).alias("rows_in"))
 
 
-def reconcile_totals(before: DataFrame, fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Compare rows already counted with the visitors of the fact."""
-    after = fact.groupBy(*by).agg(
-        _zero().alias("rows_in"),
-        F.count(F.lit(1)).alias("fact_rows"),
-        F.sum("visitorcount").alias("visitors"),
+def fact_totals(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Fact rows and the visitors they stand for."""
+    return fact.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("fact_rows"), F.sum("visitorcount").alias("visitorcount")
     )
+
+
+def reconcile_totals(before: DataFrame, after: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Compare :func:`rows_in` with :func:`fact_totals`, which may be by more columns than ``by``."""
     both = before.select(
-        *by, "rows_in", _zero().alias("fact_rows"), _zero().alias("visitors")
-    ).unionByName(after)
+        *by, "rows_in", _zero().alias("fact_rows"), _zero().alias("visitorcount")
+    ).unionByName(after.select(*by, _zero().alias("rows_in"), "fact_rows", "visitorcount"))
     total = both.groupBy(*by).agg(
-        *[F.coalesce(F.sum(c), _zero()).alias(c) for c in ("rows_in", "fact_rows", "visitors")]
+        F.coalesce(F.sum("rows_in"), _zero()).alias("rows_in"),
+        F.coalesce(F.sum("fact_rows"), _zero()).alias("fact_rows"),
+        F.coalesce(F.sum("visitorcount"), _zero()).alias("visitors"),
     )
     gone = F.col("rows_in") - F.col("fact_rows")
     return total.select(
@@ -269,7 +273,7 @@ def reconcile_totals(before: DataFrame, fact: DataFrame, by: Sequence[str] = ())
 
 def reconcile(visits: DataFrame, fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows read against visitors counted in the fact, and how far the fact shrank."""
-    return reconcile_totals(rows_in(visits, by), fact, by)
+    return reconcile_totals(rows_in(visits, by), fact_totals(fact, by), by)
 
 
 def reconcile_band_totals(

@@ -77,13 +77,17 @@ def build_dimensions(spark: SparkSession, paths: Paths) -> None:
 
 
 def read_lookups(spark: SparkSession, paths: Paths) -> lookups.Lookups:
-    """The lookups of the fact, around the port dimension already written."""
+    """The lookups of the fact, around the port dimension already written.
+
+    Their keys are checked to be unique, so the left joins give back exactly the rows read and the
+    rows counted after them are the rows of the source.
+    """
     ports = quality.require_rows(spark.read.parquet(paths.port), paths.port)
     states = lookups.read_lookup(spark, paths.states, lookups.STATE_COLUMNS)
     countries = lookups.read_lookup(
         spark, paths.countries, lookups.COUNTRY_COLUMNS, sep="|", int_key="code"
     )
-    return lookups.Lookups.of(spark, ports, states, countries).checked()
+    return lookups.Lookups.of(spark, ports, states, countries).unique().checked()
 
 
 def read_star(
@@ -109,6 +113,13 @@ def _write_log(report: DataFrame, paths: Paths, name: str) -> None:
     )
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """A result that is used more than once, written to a work folder and read back."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _measures(banded: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every measure the profiles and band checks of a load need, one row per month."""
     schema = banded.select(*columns).schema
@@ -142,28 +153,27 @@ def load_months(
 
     banded = fact.add_bands(fact.denormalise(visits, resolved))
     keyed = banded.withColumns({"year": F.col("i94yr"), "month": F.col("i94mon")})
-    measures_path = new_folder(spark, "measures")
-    _measures(keyed, banded.columns).write.parquet(measures_path)
-    measured = spark.read.parquet(measures_path)
+    measured = _kept(_measures(keyed, banded.columns), "measures")
     found = {(row.year, row.month) for row in measured.select(*BY_MONTH).collect()}
     if found != set(wanted):
-        raise quality.QualityError(f"asked for months {wanted}, staged rows are of {sorted(found)}")
+        held = sorted(found, key=str)
+        raise quality.QualityError(f"asked for months {wanted}, staged rows are of {held}")
 
     _write_log(quality.missing_report(measured, banded.columns, BY_MONTH), paths, "checknulls")
     _write_log(quality.numeric_report(measured, by=BY_MONTH), paths, "intfields")
     _write_log(quality.string_report(measured, by=BY_MONTH), paths, "stringfields")
 
-    fact_path = new_folder(spark, "fact")
     narrow = fact.add_bands(fact.denormalise(visits, resolved, citizenship=False))
-    fact.build_fact(narrow).write.parquet(fact_path)
-    counted = spark.read.parquet(fact_path)
+    counted = _kept(fact.build_fact(narrow), "fact")
+    filed_by = (*BY_MONTH, *[bands.fact_column for bands, _ in BANDED_VALUES])
+    filed = _kept(quality.fact_totals(counted, filed_by), "filed")
     rows_in = measured.select(*BY_MONTH, F.col("totalrows").alias("rows_in"))
-    reconciled = quality.reconcile_totals(rows_in, counted, BY_MONTH)
+    reconciled = _kept(quality.reconcile_totals(rows_in, filed, BY_MONTH), "reconciled")
     _write_log(reconciled, paths, "reconcile")
     quality.raise_on_failure(reconciled, "row reconciliation")
     for bands, _ in BANDED_VALUES:
-        filed = quality.reconcile_band_totals(measured, counted, bands, BY_MONTH)
-        quality.raise_on_failure(filed, f"{bands.name} reconciliation")
+        compared = quality.reconcile_band_totals(measured, filed, bands, BY_MONTH)
+        quality.raise_on_failure(compared, f"{bands.name} reconciliation")
 
     dates = dimensions.date_dim(dimensions.months_table(spark, wanted))
     warehouse.write_date_dim(dates, paths.date)
@@ -175,7 +185,7 @@ def check_rows(spark: SparkSession, paths: Paths, months: Iterable[Month]) -> Da
     wanted = sorted(set(months))
     manifest = staging.read_manifest(spark, paths.manifest, wanted)
     quality.require_unique(manifest, ("sas_data_year", "sas_data_month"), paths.manifest)
-    report = quality.row_check(manifest, read_star(spark, paths, wanted))
+    report = _kept(quality.row_check(manifest, read_star(spark, paths, wanted)), "rowcheck")
     _write_log(report, paths, "rowcheck")
     return quality.raise_on_failure(report, "row check")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arrivalmart.functions.codes import MODES, PURPOSES, UNKNOWN, fixed_table
 from arrivalmart.functions.sizing import BROADCAST_ROWS, broadcast_checked
-from arrivalmart.operators.quality import require_rows
+from arrivalmart.operators.quality import require_rows, require_unique
 
 # Columns of the lookup files.
 PORT_COLUMNS = (
@@ -88,6 +88,13 @@ class Lookups:
             countries=countries,
         )
 
+    def unique(self) -> Lookups:
+        """The same lookups, or an error if a key occurs twice and would multiply visits."""
+        require_unique(self.ports, ("i94port_code", "port_mode"), "ports")
+        require_unique(self.states, ("state_id",), "states")
+        require_unique(self.countries, ("code",), "countries")
+        return self
+
     def checked(self, max_rows: int = BROADCAST_ROWS) -> Lookups:
         """The same lookups; a table is broadcast only if it was counted small."""
         tables = {name: getattr(self, name) for name in ("ports", "states", "countries")}

@@ -17,6 +17,7 @@ from arrivalmart.functions.codes import (
     VISIT_COLUMNS,
     VISIT_FIELDS,
 )
+from arrivalmart.operators.quality import require_rows
 
 # Day zero of the raw date numbers and the columns of the manifest.
 DAY_ZERO = datetime.date(1960, 1, 1)
@@ -103,7 +104,7 @@ def read_visits(
     months: Iterable[Month] | None = None,
     layout: str = "partitioned",
 ) -> DataFrame:
-    """Staged visits as twenty typed columns; bad numbers and dates become null.
+    """Staged visits as twenty typed columns; bad numbers and dates become null, no rows an error.
 
     ``partitioned`` is what :func:`write_staged` writes; only the folders of ``months`` are listed
     in the scan. ``folders`` is ``<path>/<yyyy>/<mm>/*.csv`` with an unnamed index column first.
@@ -124,7 +125,7 @@ def read_visits(
         staged = reader.schema(schema).csv(globs)
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    return _typed(staged)
+    return _typed(require_rows(staged, path))
 
 
 def row_manifest(visits: DataFrame) -> DataFrame:

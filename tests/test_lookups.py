@@ -1,0 +1,113 @@
+import pytest
+from helpers import as_set, lookups_of
+from pyspark.errors import PySparkException
+
+from arrivalmart.functions.codes import MODES, PURPOSES
+from arrivalmart.operators.quality import QualityError
+from arrivalmart.sources import lookups
+
+
+def write(tmp_path, *lines):
+    path = tmp_path / "codes.csv"
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+def test_read_pipe_separated_with_int_key(spark, tmp_path):
+    path = write(tmp_path, "code|i94ctry", "582|MEXICO, NORTH", "x1|BAD")
+    table = lookups.read_lookup(spark, path, lookups.COUNTRY_COLUMNS, sep="|", int_key="code")
+    assert dict(table.dtypes) == {"code": "int", "i94ctry": "string"}
+    assert as_set(table, "code", "i94ctry") == {(582, "MEXICO, NORTH"), (None, "BAD")}
+
+
+def test_empty_lookup_is_refused(spark, tmp_path):
+    with pytest.raises(QualityError, match="no rows"):
+        lookups.read_lookup(spark, write(tmp_path, "state_id,state_name"), lookups.STATE_COLUMNS)
+
+
+def test_other_header_is_refused(spark, tmp_path):
+    path = write(tmp_path, "state_name,state_id", "Texas,TX")
+    with pytest.raises(PySparkException):
+        lookups.read_lookup(spark, path, lookups.STATE_COLUMNS).collect()
+
+
+def test_code_tables(spark):
+    assert as_set(lookups.modes(spark), "mode_code", "mode") == set(MODES)
+    assert as_set(lookups.purposes(spark), "purpose_code", "purpose") == set(PURPOSES)
+    assert lookups.modes(spark).dtypes == [("mode_code", "int"), ("mode", "string")]
+
+
+def test_keys_that_would_multiply_visits_are_refused(spark):
+    good = lookups_of(spark)
+    assert good.unique() is good
+    doubled = lookups.Lookups.of(spark, good.ports, good.states.unionAll(good.states), good.countries)
+    with pytest.raises(QualityError, match="states"):
+        doubled.unique()
+
+
+def test_split_port_labels(spark):
+    expected = {
+        "ALCAN, AK": ("AK", "unknown", "ALCAN"),
+        "LITTLE ROCK, AR (BPS)": ("AR", "(BPS)", "LITTLE ROCK"),
+        "HULL FIELD, SUGAR LAND ARPT, TX": ("TX", "unknown", "HULL FIELD, SUGAR LAND ARPT"),
+        "CALGARY, CANADA": ("unknown", "unknown", "CALGARY, CANADA"),
+        "No PORT Code (CHN)": ("unknown", "unknown", "No PORT Code (CHN)"),
+        "SOMEWHERE (BPS)": ("unknown", "unknown", "SOMEWHERE (BPS)"),
+        "ROME, ny": ("unknown", "unknown", "ROME, ny"),
+        "": ("unknown", "unknown", ""),
+        None: ("unknown", "unknown", None),
+    }
+    labels = spark.createDataFrame([(k,) for k in expected], "i94port_raw string")
+    split = lookups.split_port_labels(labels)
+    got = {r[0]: tuple(r[1:]) for r in split.collect()}
+    assert split.columns == ["i94port_raw", "i94port_state", "i94port_bps", "i94port_city"]
+    assert got == expected
+
+
+def test_enrich_ports(spark):
+    labels = spark.createDataFrame(
+        [
+            ("ROM", "ROME, NY"),
+            ("CLG", "CALGARY, CANADA"),
+            ("FER", "FERRY, WA"),
+            ("HND", "Some pass"),
+            ("PRT", "PARTLY, TX"),
+        ],
+        "code string, i94port_raw string",
+    )
+    us = spark.createDataFrame(
+        [
+            ("Rome", "NY", "New York", "Oneida", 43.2, -75.4, 33000.0),
+            ("Rome", "NY", "New York", "Smaller", 1.0, 1.0, 10.0),
+            ("Rome", "GA", "Georgia", "Floyd", 34.2, -85.1, 37000.0),
+            ("Partly", "TX", "Texas", None, None, None, None),
+        ],
+        "city string, state_id string, state_name string, county_name string, lat double, lng double, "
+        "population double",
+    )
+    world = spark.createDataFrame(
+        [
+            ("Rome", "Italy", "IT", 41.9, 12.5, 2870000.0),
+            ("Calgary", "Canada", "CA", 51.0, -114.1, 1110000.0),
+            ("Calgary", "Canada", "CA", 0.0, 0.0, None),
+        ],
+        "city string, country string, iso2 string, lat double, lng double, population double",
+    )
+    manual = spark.createDataFrame(
+        [
+            ("HND", 1.5, 2.5, "by hand", "Pass", "C", "MT", "Montana", "US", "United States"),
+            ("ROM", 9.0, 9.0, "wrong", "wrong", "wrong", "ZZ", "wrong", "ZZ", "wrong"),
+            ("PRT", 7.0, 8.0, None, None, "Hand county", None, None, None, None),
+        ],
+        "code string, latitude double, longitude double, place string, city string, county_name string, "
+        "state_id string, state_name string, country_code string, country string",
+    )
+    found = lookups.enrich_ports(lookups.split_port_labels(labels), us, world, manual)
+    assert found.columns == list(lookups.PORT_COLUMNS)
+    assert {r[0]: tuple(r[1:]) for r in found.collect()} == {
+        "ROM": (43.2, -75.4, "ROME, NY", "Rome", "Oneida", "NY", "New York", "US", "United States"),
+        "CLG": (51.0, -114.1, "CALGARY, CANADA", "Calgary", None, None, None, "CA", "Canada"),
+        "FER": (None, None, "FERRY, WA", None, None, "WA", None, None, None),
+        "HND": (1.5, 2.5, "Some pass", "Pass", "C", "MT", "Montana", "US", "United States"),
+        "PRT": (7.0, 8.0, "PARTLY, TX", "Partly", "Hand county", "TX", "Texas", "US", "United States"),
+    }
