@@ -23,7 +23,7 @@ from arrivalmart.operators.quality import require_rows
 DAY_ZERO = datetime.date(1960, 1, 1)
 MANIFEST_SCHEMA = "sas_data_year int, sas_data_month int, sas_data_rowcount bigint"
 
-# Values are written and read byte for byte: quotes doubled, blanks kept.
+# Quotes are doubled and blanks kept; an empty field is read as null.
 CSV_OPTIONS = {
     "header": True,
     "escape": '"',
