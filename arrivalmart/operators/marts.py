@@ -54,28 +54,14 @@ class Star:
         dimensions = {name: getattr(self, name) for name in ("port", "age", "duration", "date")}
         return replace(self, **broadcast_checked(dimensions, max_rows))
 
-    def joined(
-        self,
-        years: Sequence[int] | None = None,
-        months: Sequence[int] | None = None,
-        states: Sequence[str] | None = None,
-    ) -> DataFrame:
-        """Fact rows of a slice with all dimension columns; ``None`` means all.
-
-        The three filters are on the partition columns of the fact table, so a slice reads only its
-        own folders. Year and month of the result are those of the date dimension.
-        """
-        fact = self.fact
-        for column, wanted in (("year", years), ("month", months), ("arrivalstate_abbr", states)):
-            if wanted is not None:
-                fact = fact.where(F.col(column).isin(list(wanted)))
-        return (
-            fact.drop("year", "month")
-            .join(self.age, "age_id")
-            .join(self.duration.withColumnRenamed("duration_id", "visitduration_id"), "visitduration_id")
-            .join(self.date.withColumnRenamed("date_id", "arrivaldate_id"), "arrivaldate_id")
-            .join(self.port, "port_id")
-        )
+    def dimensions(self) -> list[tuple[str, DataFrame]]:
+        """Each dimension under the name its key has in the fact."""
+        return [
+            ("age_id", self.age),
+            ("visitduration_id", self.duration.withColumnRenamed("duration_id", "visitduration_id")),
+            ("arrivaldate_id", self.date.withColumnRenamed("date_id", "arrivaldate_id")),
+            ("port_id", self.port),
+        ]
 
 
 def dice(
@@ -85,10 +71,31 @@ def dice(
     states: Sequence[str] | None = None,
     by: Sequence[str] = SLICE_COLUMNS,
 ) -> DataFrame:
-    """Visitors of a slice, summed by any columns of the joined star."""
-    return (
-        star.joined(years, months, states).groupBy(*by).agg(F.sum("visitorcount").alias("visitorcount"))
-    )
+    """Visitors of a slice, summed by any columns of fact and dimensions; ``None`` means all.
+
+    The three filters are on the partition columns of the fact table, so a slice reads only its own
+    folders. Year and month of the result are those of the date dimension. Fact rows without a
+    member in some dimension drop out, also where ``by`` names no column of it.
+
+    A dimension whose key is in ``by`` is joined after the sum: its other columns follow from the
+    key, so only the key is grouped and shuffled. The others are joined before.
+    """
+    fact = star.fact
+    for column, wanted in (("year", years), ("month", months), ("arrivalstate_abbr", states)):
+        if wanted is not None:
+            fact = fact.where(F.col(column).isin(list(wanted)))
+    rows, grouped, later = fact.drop("year", "month"), list(by), []
+    for key, dimension in star.dimensions():
+        members = dimension.select(key, *[c for c in dimension.columns if c in by and c != key])
+        if key in by:
+            later.append((key, members))
+            grouped = [c for c in grouped if c == key or c not in members.columns]
+        else:
+            rows = rows.join(members, key)
+    summed = rows.groupBy(*grouped).agg(F.sum("visitorcount").alias("visitorcount"))
+    for key, members in later:
+        summed = summed.join(members, key)
+    return summed.select(*by, "visitorcount")
 
 
 def slice_name(

@@ -331,9 +331,8 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconcile_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     stay = visits_of(spark, sf_dir).withColumn("stay", F.datediff("depdate", "arrdate"))
-    counted = visit_fact(spark, sf_dir)
-    return quality.reconcile_bands(stay, counted, "stay", DURATION).unionByName(
-        quality.reconcile_bands(stay, counted, "i94bir", AGE)
+    return quality.reconcile_bands(
+        stay, visit_fact(spark, sf_dir), ((DURATION, "stay"), (AGE, "i94bir"))
     )
 
 

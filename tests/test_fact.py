@@ -121,3 +121,34 @@ def test_random_visits_are_conserved_with_and_without_broadcast(spark):
         finally:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert facts[0] == facts[1]
+
+
+def test_hot_port_is_split_when_ports_are_too_many_to_broadcast(spark):
+    """The way beyond a broadcast: adaptive execution splits the port that a third of rows share."""
+    changes = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(name, None) for name in changes}
+    rows = spark.range(0, 20000, 1, 8).crossJoin(visits(spark, {}).drop("cicid", "i94port")).selectExpr(
+        "id AS cicid",
+        "CASE WHEN id % 3 = 0 THEN 'unknown' ELSE CAST(id % 500 AS STRING) END AS i94port",
+        *[c for c in VISIT_COLUMNS if c not in ("cicid", "i94port")],
+    )
+    many = [(str(i), None, None, "p", "c", None, "CA", "California", "US", "U") for i in range(500)]
+    large = lookups_of(spark, many)
+    expected = fact.build_fact(fact.add_bands(fact.denormalise(rows, large.checked()))).collect()
+    for name, value in changes.items():
+        spark.conf.set(name, value)
+    try:
+        unsized = large.checked(max_rows=400)
+        built = fact.build_fact(fact.add_bands(fact.denormalise(rows, unsized)))
+        got = built.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(built)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert sorted(map(str, got)) == sorted(map(str, expected))

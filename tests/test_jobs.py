@@ -106,7 +106,7 @@ def test_failed_load_leaves_the_warehouse_alone(spark, paths, monkeypatch):
     with pytest.raises(QualityError, match="row reconciliation"):
         jobs.load_months(spark, paths, MONTHS)
     monkeypatch.setattr(jobs.fact, "build_fact", lambda df: real(df).withColumn("age_id", F.lit(3)))
-    with pytest.raises(QualityError, match="age reconciliation"):
+    with pytest.raises(QualityError, match="band reconciliation"):
         jobs.load_months(spark, paths, MONTHS)
     assert table(spark, paths.visit_fact) == before
 
