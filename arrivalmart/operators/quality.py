@@ -98,56 +98,67 @@ def raise_on_failure(report: DataFrame, name: str) -> DataFrame:
 # Profiles
 
 
-def _check(check: str, field: T.StructField) -> Column | None:
+# Measures and report cells are SQL text: there are hundreds of them, and one parsed expression costs
+# the driver far less than the column calls it stands for.
+
+
+def _name(column: str) -> str:
+    return f"`{column}`"
+
+
+def _check(check: str, field: T.StructField) -> str | None:
     """Condition counted by a check, or None where the type cannot hold such a value."""
-    value = F.col(field.name)
+    value = _name(field.name)
     floating = isinstance(field.dataType, (T.FloatType, T.DoubleType))
     text = isinstance(field.dataType, T.StringType)
     if check == "isnan":
-        return F.isnan(value) if floating else None
+        return f"isnan({value})" if floating else None
     if check == "isnull":
-        return value.isNull()
+        return f"{value} IS NULL"
     if check == "emptystring":
-        return value == "" if text else None
+        return f"{value} = ''" if text else None
     if check == "unknownstring":
-        return value == UNKNOWN if text else None
+        return f"{value} = '{UNKNOWN}'" if text else None
     if text:
         # Compared as text: a cast that fails raises and catches an exception on every row.
-        return F.trim(value) == str(MISSING)
-    return value == MISSING if isinstance(field.dataType, T.NumericType) else None
-
-
-def _number(field: T.StructField) -> Column:
-    value = F.col(field.name)
-    if isinstance(field.dataType, T.StringType):
-        return F.when(value.rlike(CASTABLE["bigint"]), value).try_cast("bigint")
-    return value
+        return f"trim({value}) = '{MISSING}'"
+    return f"{value} = {MISSING}" if isinstance(field.dataType, T.NumericType) else None
 
 
 def missing_measures(schema: T.StructType) -> list[Column]:
-    measures = [F.count(F.lit(1)).alias("totalrows")]
-    for check in CHECKS:
-        for field in schema:
-            test = _check(check, field)
-            if test is not None:
-                measures.append(F.count_if(test).alias(f"{check}:{field.name}"))
-    return measures
+    tests = {f"{check}:{field.name}": _check(check, field) for check in CHECKS for field in schema}
+    return [
+        F.count(F.lit(1)).alias("totalrows"),
+        *[F.expr(f"count_if({test}) AS {_name(key)}") for key, test in tests.items() if test],
+    ]
 
 
 def numeric_measures(schema: T.StructType, columns: Iterable[str]) -> list[Column]:
-    parts = {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
-    return [
-        part(_number(schema[name])).cast("double").alias(f"numeric:{summary}:{name}")
-        for summary, part in parts.items()
-        for name in columns
-    ]
+    """Measures of number columns; text is read as a whole number where it is one."""
+    measures = []
+    for name in columns:
+        value = _name(name)
+        if isinstance(schema[name].dataType, T.StringType):
+            fits = f"{value} RLIKE r'{CASTABLE['bigint']}'"
+            value = f"try_cast(CASE WHEN {fits} THEN {value} END AS BIGINT)"
+        parts = {
+            "count": f"count({value})",
+            "mean": f"avg({value})",
+            "stddev": f"stddev_samp({value})",
+            "min": f"min({value})",
+            "max": f"max({value})",
+        }
+        measures += [
+            F.expr(f"CAST({part} AS DOUBLE) AS {_name(f'numeric:{summary}:{name}')}")
+            for summary, part in parts.items()
+        ]
+    return measures
 
 
 def string_measures(columns: Iterable[str]) -> list[Column]:
-    parts = {"count": F.count, "min": F.min, "max": F.max}
     return [
-        part(name).cast("string").alias(f"string:{summary}:{name}")
-        for summary, part in parts.items()
+        F.expr(f"CAST({part}({_name(name)}) AS STRING) AS {_name(f'string:{part}:{name}')}")
+        for part in ("count", "min", "max")
         for name in columns
     ]
 
@@ -161,41 +172,38 @@ def band_measures(banded: Iterable[Banded]) -> list[Column]:
     ]
 
 
-def _unpivot(measured: DataFrame, by: Sequence[str], rows: list[list[Column]]) -> DataFrame:
-    """Turn the measures of each group into report rows."""
-    return measured.select(*by, F.inline(F.array(*[F.struct(*row) for row in rows])))
+def _unpivot(
+    measured: DataFrame, by: Sequence[str], columns: Sequence[str], rows: Sequence[Sequence[str]]
+) -> DataFrame:
+    """Turn the measures of each group into report rows; cells are SQL text."""
+    cells = ", ".join(cell for row in rows for cell in row)
+    names = ", ".join(map(_name, columns))
+    return measured.selectExpr(*map(_name, by), f"stack({len(rows)}, {cells}) AS ({names})")
 
 
 def missing_report(measured: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Five rows per group: a count per column, the check and the number of rows."""
+    measures = set(measured.columns)
 
-    def count_of(check: str, name: str) -> Column:
+    def count_of(check: str, name: str) -> str:
         key = f"{check}:{name}"
-        found = F.col(f"`{key}`") if key in measured.columns else _zero()
-        return found.alias(name)
+        return _name(key) if key in measures else "0L"
 
     rows = [
-        [
-            *[count_of(check, name) for name in columns],
-            F.lit(check).alias("checktype"),
-            F.col("totalrows").alias("totalrows"),
-        ]
+        [*[count_of(check, name) for name in columns], f"'{check}'", "totalrows"]
         for check in CHECKS
     ]
-    return _unpivot(measured, by, rows)
+    return _unpivot(measured, by, [*columns, "checktype", "totalrows"], rows)
 
 
 def _summary_report(
     measured: DataFrame, kind: str, summaries: Sequence[str], columns: Sequence[str], by: Sequence[str]
 ) -> DataFrame:
     rows = [
-        [
-            F.lit(summary).alias("summary"),
-            *[F.col(f"`{kind}:{summary}:{name}`").alias(name) for name in columns],
-        ]
+        [f"'{summary}'", *[_name(f"{kind}:{summary}:{name}") for name in columns]]
         for summary in summaries
     ]
-    return _unpivot(measured, by, rows)
+    return _unpivot(measured, by, ["summary", *columns], rows)
 
 
 def numeric_report(
@@ -242,10 +250,6 @@ def string_profile(
 # instead of a join. A group that one side lacks then shows up with zero.
 
 
-def _zero() -> Column:
-    return F.lit(0).cast("bigint")
-
-
 def rows_in(visits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows read; ``visits`` has one row per visit."""
     return visits.groupBy(*by).agg(F.count(F.lit(1)).alias("rows_in"))
@@ -260,13 +264,13 @@ def fact_totals(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def reconcile_totals(before: DataFrame, after: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Compare :func:`rows_in` with :func:`fact_totals`, which may be by more columns than ``by``."""
-    both = before.select(
-        *by, "rows_in", _zero().alias("fact_rows"), _zero().alias("visitorcount")
-    ).unionByName(after.select(*by, _zero().alias("rows_in"), "fact_rows", "visitorcount"))
+    both = before.selectExpr(*by, "rows_in", "0L AS fact_rows", "0L AS visitorcount").unionByName(
+        after.selectExpr(*by, "0L AS rows_in", "fact_rows", "visitorcount")
+    )
     total = both.groupBy(*by).agg(
-        F.coalesce(F.sum("rows_in"), _zero()).alias("rows_in"),
-        F.coalesce(F.sum("fact_rows"), _zero()).alias("fact_rows"),
-        F.coalesce(F.sum("visitorcount"), _zero()).alias("visitors"),
+        F.expr("coalesce(sum(rows_in), 0L) AS rows_in"),
+        F.expr("coalesce(sum(fact_rows), 0L) AS fact_rows"),
+        F.expr("coalesce(sum(visitorcount), 0L) AS visitors"),
     )
     gone = F.col("rows_in") - F.col("fact_rows")
     return total.select(
@@ -290,26 +294,18 @@ def reconcile_band_totals(
     measured: DataFrame, totals: DataFrame, banded: Sequence[Banded], by: Sequence[str] = ()
 ) -> DataFrame:
     """Compare :func:`band_measures` with :func:`band_totals`."""
+    columns = ("band_name", "band_id", "rows_before", "visitors_after")
     before = [
-        [
-            F.lit(bands.name).alias("band_name"),
-            F.lit(i).alias("band_id"),
-            F.col(f"`band:{bands.name}:{i}`").alias("rows_before"),
-            _zero().alias("visitors_after"),
-        ]
+        [f"'{bands.name}'", str(i), _name(f"band:{bands.name}:{i}"), "0L"]
         for bands, _ in banded
         for i, _ in bands.members()
     ]
     after = [
-        [
-            F.lit(bands.name).alias("band_name"),
-            F.col(bands.fact_column).alias("band_id"),
-            _zero().alias("rows_before"),
-            F.col("visitorcount").alias("visitors_after"),
-        ]
-        for bands, _ in banded
+        [f"'{bands.name}'", _name(bands.fact_column), "0L", "visitorcount"] for bands, _ in banded
     ]
-    both = _unpivot(measured, by, before).unionByName(_unpivot(totals, by, after))
+    both = _unpivot(measured, by, columns, before).unionByName(
+        _unpivot(totals, by, columns, after)
+    )
     summed = both.groupBy(*by, "band_name", "band_id").agg(
         F.sum("rows_before").alias("rows_before"), F.sum("visitors_after").alias("visitors_after")
     )

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="arrivalmart-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; in local mode one of our own if unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="arrivalmart-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return _own_folder()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
