@@ -38,7 +38,7 @@ VISIT_FIELDS = (
 VISIT_COLUMNS = tuple(name for name, _ in VISIT_FIELDS)
 
 # Text that a cast can take. A cast that fails inside try_cast raises and catches an exception, about
-# a thousand times the cost of the match, so text of another form is set aside before the cast.
+# a hundred times the cost of the match, so text of another form is set aside before the cast.
 CASTABLE = {
     "int": r"^\s*[+-]?\d+\s*$",
     "bigint": r"^\s*[+-]?\d+\s*$",

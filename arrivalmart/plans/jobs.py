@@ -15,7 +15,7 @@ from arrivalmart.functions.bands import AGE, DURATION
 from arrivalmart.operators import dimensions, fact, marts, quality
 from arrivalmart.sources import lookups, staging, warehouse
 from arrivalmart.sources.staging import Month
-from arrivalmart.sources.workspace import new_folder
+from arrivalmart.sources.workspace import kept, new_folder, work_folder
 
 BANDED_VALUES = ((DURATION, "duration_days"), (AGE, "i94bir"))
 BY_MONTH = ("year", "month")
@@ -113,13 +113,6 @@ def _write_log(report: DataFrame, paths: Paths, name: str) -> None:
     )
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """A result that is used more than once, written to a work folder and read back."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _measures(banded: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every measure the profiles and band checks of a load need, one row per month."""
     schema = banded.select(*columns).schema
@@ -150,32 +143,34 @@ def load_months(
         raise ValueError("no months to load")
     visits = staging.read_visits(spark, paths.staged, wanted, layout)
     resolved = read_lookups(spark, paths)
-
-    banded = fact.add_bands(fact.denormalise(visits, resolved))
-    keyed = banded.withColumns({"year": F.col("i94yr"), "month": F.col("i94mon")})
-    measured = _kept(_measures(keyed, banded.columns), "measures")
-    found = {(row.year, row.month) for row in measured.select(*BY_MONTH).collect()}
-    if found != set(wanted):
-        held = sorted(found, key=str)
-        raise quality.QualityError(f"asked for months {wanted}, staged rows are of {held}")
-
-    _write_log(quality.missing_report(measured, banded.columns, BY_MONTH), paths, "checknulls")
-    _write_log(quality.numeric_report(measured, by=BY_MONTH), paths, "intfields")
-    _write_log(quality.string_report(measured, by=BY_MONTH), paths, "stringfields")
-
-    narrow = fact.add_bands(fact.denormalise(visits, resolved, citizenship=False))
-    counted = _kept(fact.build_fact(narrow), "fact")
-    totals = _kept(quality.band_totals(counted, BANDED_VALUES, BY_MONTH), "totals")
-    rows_in = measured.select(*BY_MONTH, F.col("totalrows").alias("rows_in"))
-    reconciled = _kept(quality.reconcile_totals(rows_in, totals, BY_MONTH), "reconciled")
-    _write_log(reconciled, paths, "reconcile")
-    quality.raise_on_failure(reconciled, "row reconciliation")
-    bands = quality.reconcile_band_totals(measured, totals, BANDED_VALUES, BY_MONTH)
-    quality.raise_on_failure(bands, "band reconciliation")
-
-    dates = dimensions.date_dim(dimensions.months_table(spark, wanted))
-    warehouse.write_date_dim(dates, paths.date)
-    warehouse.write_fact(counted, paths.visit_fact, wanted)
+    with work_folder(spark, "load") as work:
+        banded = fact.add_bands(fact.denormalise(visits, resolved))
+        keyed = banded.withColumns({"year": F.col("i94yr"), "month": F.col("i94mon")})
+        measured = kept(_measures(keyed, banded.columns), f"{work}/measures")
+        found = {(row.year, row.month) for row in measured.select(*BY_MONTH).collect()}
+        if found != set(wanted):
+            held = sorted(found, key=str)
+            raise quality.QualityError(f"asked for months {wanted}, staged rows are of {held}")
+
+        _write_log(quality.missing_report(measured, banded.columns, BY_MONTH), paths, "checknulls")
+        _write_log(quality.numeric_report(measured, by=BY_MONTH), paths, "intfields")
+        _write_log(quality.string_report(measured, by=BY_MONTH), paths, "stringfields")
+
+        narrow = fact.add_bands(fact.denormalise(visits, resolved, citizenship=False))
+        counted = kept(fact.build_fact(narrow), f"{work}/fact")
+        totals = kept(quality.band_totals(counted, BANDED_VALUES, BY_MONTH), f"{work}/totals")
+        rows_in = measured.select(*BY_MONTH, F.col("totalrows").alias("rows_in"))
+        reconciled = kept(
+            quality.reconcile_totals(rows_in, totals, BY_MONTH), f"{work}/reconciled"
+        )
+        _write_log(reconciled, paths, "reconcile")
+        quality.raise_on_failure(reconciled, "row reconciliation")
+        bands = quality.reconcile_band_totals(measured, totals, BANDED_VALUES, BY_MONTH)
+        quality.raise_on_failure(bands, "band reconciliation")
+
+        dates = dimensions.date_dim(dimensions.months_table(spark, wanted))
+        warehouse.write_date_dim(dates, paths.date)
+        warehouse.write_fact(counted, paths.visit_fact, wanted)
 
 
 def check_rows(spark: SparkSession, paths: Paths, months: Iterable[Month]) -> DataFrame:
@@ -183,7 +178,8 @@ def check_rows(spark: SparkSession, paths: Paths, months: Iterable[Month]) -> Da
     wanted = sorted(set(months))
     manifest = staging.read_manifest(spark, paths.manifest, wanted)
     quality.require_unique(manifest, ("sas_data_year", "sas_data_month"), paths.manifest)
-    report = _kept(quality.row_check(manifest, read_star(spark, paths, wanted)), "rowcheck")
+    checked = quality.row_check(manifest, read_star(spark, paths, wanted))
+    report = kept(checked, new_folder(spark, "rowcheck"))
     _write_log(report, paths, "rowcheck")
     return quality.raise_on_failure(report, "row check")
 

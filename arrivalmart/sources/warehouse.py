@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from arrivalmart.sources.staging import Month, in_months
+from arrivalmart.sources.workspace import hadoop_files
 
 # The fact table, partition columns last. Declared so that a partition value such as
 # '01' is read as the text it is.
@@ -49,14 +50,13 @@ def write_fact(fact: DataFrame, path: str, months: Iterable[Month] | None = None
 
 
 def _drop_other_states(spark: SparkSession, path: str, months: set[Month], keep: set[tuple]) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
     def folder(column: str, value: int | None) -> str:
         return f"{column}={NULL_FOLDER if value is None else value}"
 
     for year, month in months:
-        parent = hadoop.Path(f"{path}/{folder('year', year)}/{folder('month', month)}")
+        files, parent = hadoop_files(
+            spark, f"{path}/{folder('year', year)}/{folder('month', month)}"
+        )
         for status in files.listStatus(parent) if files.exists(parent) else ():
             state = unquote(status.getPath().getName().split("=", 1)[1])
             if (year, month, None if state == NULL_FOLDER else state) not in keep:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @functools.cache
@@ -27,3 +29,26 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path for one intermediate table; nothing is created yet."""
     return f"{shared_folder(spark)}/arrivalmart/{name}-{uuid.uuid4().hex}"
+
+
+def hadoop_files(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path as its own kind of object."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+@contextmanager
+def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder for the intermediate tables of one job, removed with them when the job ends."""
+    path = new_folder(spark, name)
+    try:
+        yield path
+    finally:
+        files, folder = hadoop_files(spark, path)
+        files.delete(folder, True)
+
+
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """A result that is used more than once, written as a table and read back."""
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

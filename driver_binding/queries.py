@@ -15,7 +15,7 @@ from arrivalmart.functions.sizing import broadcast_checked
 from arrivalmart.operators import dimensions, fact, marts, quality
 from arrivalmart.plans import jobs
 from arrivalmart.sources import lookups, staging, warehouse
-from arrivalmart.sources.workspace import new_folder
+from arrivalmart.sources.workspace import kept, new_folder, work_folder
 from driver_binding import views
 
 # Parameters of the slices; the oracle texts use the same.
@@ -269,10 +269,9 @@ def age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact written, one year of it loaded again, and the whole table read back."""
-    work, path = new_folder(spark, "fact"), new_folder(spark, "visit_fact")
-    visit_fact(spark, sf_dir).write.parquet(work)
-    built = spark.read.parquet(work)
-    with _small_tasks(spark):
+    path = new_folder(spark, "visit_fact")
+    with work_folder(spark, "fact") as work, _small_tasks(spark):
+        built = kept(visit_fact(spark, sf_dir), work)
         warehouse.write_fact(built, path)
         warehouse.write_fact(built.where(F.col("year") == RELOADED_YEAR), path)
     return warehouse.read_fact(spark, path)

@@ -19,8 +19,8 @@ TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
     "boolean": "BOOLEAN",
 }
-# Too many small files for a quick test; test_jobs covers the same jobs on a few months.
-SLOW = {"monthly_load"}
+# Too many small files for a quick test; test_jobs and test_warehouse cover them on a few months.
+SLOW = {"monthly_load", "fact_rewrite"}
 
 
 @pytest.fixture(scope="module")

@@ -1,3 +1,4 @@
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -24,3 +25,16 @@ def test_own_folder_only_in_local_mode():
     assert workspace.shared_folder(local) == workspace.shared_folder(local)
     with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
         workspace.shared_folder(session("spark://cluster:7077", None))
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_work_folder_is_removed_with_its_tables(spark, fails):
+    try:
+        with workspace.work_folder(spark, "test") as work:
+            table = workspace.kept(spark.range(3), f"{work}/numbers")
+            assert table.count() == 3 and os.path.isdir(work)
+            if fails:
+                raise ValueError
+    except ValueError:
+        assert fails
+    assert not os.path.exists(work)
