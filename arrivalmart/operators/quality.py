@@ -68,9 +68,9 @@ def require_rows(df: DataFrame, name: str) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """The same DataFrame, or an error if a key occurs twice."""
-    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    found = twice.limit(5).collect()
+    """The same DataFrame, or an error if a key occurs twice; a null key joins nothing and may."""
+    twice = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    found = twice.where("n > 1").limit(5).collect()
     if found:
         raise QualityError(f"more than one row per {', '.join(keys)} in {name}: {found}")
     return df

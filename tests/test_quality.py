@@ -32,6 +32,8 @@ def test_guards(spark):
     assert quality.require_unique(rows, ["cicid"], "visits") is rows
     with pytest.raises(QualityError, match="more than one row per i94yr"):
         quality.require_unique(rows, ["i94yr"], "visits")
+    nulls = spark.sql("SELECT CAST(NULL AS INT) AS code FROM range(2)")
+    assert quality.require_unique(nulls, ["code"], "countries") is nulls
     report = quality.guard_report({"some": rows, "none": rows.where("cicid > 9")})
     assert as_set(report, "table_name", "row_count", "ok") == {("some", 2, True), ("none", 0, False)}
 
