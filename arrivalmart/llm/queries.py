@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivalmart.llm import bpe, packing, pii, rules
+from arrivalmart.llm import bitslice, bpe, lm, packing, pii, rules, simhash
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -27,6 +27,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.link_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -35,13 +39,24 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_texts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_rows(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_held_out(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
     "op5_bpe": op5_bpe,
+    "op8_topk": op8_topk,
     "op9_pii": op9_pii,
+    "op10_ngram_trie": op10_ngram_trie,
 }

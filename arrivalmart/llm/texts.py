@@ -23,6 +23,14 @@ def table_of(df: DataFrame, name: str) -> DataFrame:
     return kept(df, new_folder(df.sparkSession, name))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one made from it, that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
