@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivalmart.llm import bitslice, bpe, lm, packing, pii, rules, simhash
+from arrivalmart.llm import bitslice, bpe, cotraining, licenses, lm, packing, pii, rules, simhash
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -35,10 +35,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op4_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.score_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_texts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_rows(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
@@ -55,7 +63,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
+    "op4_cotraining": op4_cotraining,
     "op5_bpe": op5_bpe,
+    "op6_licenses": op6_licenses,
     "op8_topk": op8_topk,
     "op9_pii": op9_pii,
     "op10_ngram_trie": op10_ngram_trie,
