@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from arrivalmart.llm.texts import coded_words, column, parts_of, spread_ranges
+from arrivalmart.llm.texts import bytes_of, coded_words, column, parts_of, spread_ranges
 
 # Above every symbol, so that two symbols make one number; and a rank above every rank.
 BASE = 1 << 20
@@ -126,13 +126,6 @@ class Vocabulary:
         return pa.StringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(data)), word
 
 
-def bytes_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts, and where each begins among them, with the end."""
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
-    return data, (offsets - offsets[0]).astype(np.int64)
-
-
 class PairIndex:
     """All positions of every pair that has a rank, over the symbols of many pieces laid end to end."""
 

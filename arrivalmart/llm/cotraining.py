@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from arrivalmart.llm.texts import coded_words, column, free_name, parts_of
+from arrivalmart.llm.texts import bytes_of, coded_words, column, free_name, parts_of
 
 # Rows to fit on, at most: labelled ones, and unlabelled ones for the pool.
 LABELLED = 4_000
@@ -41,12 +41,6 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return ends[offsets[1:]] - ends[offsets[:-1]]
 
 
-def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
-    return data, offsets - offsets[0]
-
-
 def _gram_codes(data: np.ndarray) -> np.ndarray:
     """The bucket of the three bytes from each place on; the last two places of a text reach into the next and are left out by the caller."""
     wide = data.astype(np.uint32)
@@ -66,7 +60,7 @@ def _gram_places(offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray
 
 def dense_features(texts: pa.Array) -> np.ndarray:
     """Measures of each text: size, word length, variety of words, compressed size, signs, digits, capitals, bytes beyond ASCII."""
-    data, offsets = _bytes_of(texts)
+    data, offsets = bytes_of(texts)
     size = np.maximum(np.diff(offsets), 1)
     codes, distinct, words = coded_words(texts)
     n_words = np.maximum(np.diff(words), 1)
@@ -100,7 +94,7 @@ def dense_features(texts: pa.Array) -> np.ndarray:
 
 def text_features(texts: pa.Array) -> np.ndarray:
     """Dense measures and the shares of hashed byte triples of each whole text."""
-    data, offsets = _bytes_of(texts)
+    data, offsets = bytes_of(texts)
     codes = _gram_codes(data)
     inside, counts = _gram_places(offsets, len(data))
     owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
@@ -182,11 +176,9 @@ class Model:
         """The probability of good quality of every row."""
         if self.text is None or self.meta is None:
             return np.full(batch.num_rows, 1 / (1 + math.exp(-self.prior)))
-        both = self.text.log_odds(self._text_raw(texts)) + self.meta.log_odds(self.meta.raw(meta_features(batch, self.columns))) - self.prior
+        both = self.text.log_odds(self.text.raw(text_features(texts))) + self.meta.log_odds(self.meta.raw(meta_features(batch, self.columns))) - self.prior
         return 1 / (1 + np.exp(-np.clip(both, -30, 30)))
 
-    def _text_raw(self, texts: pa.Array) -> np.ndarray:
-        return self.text.raw(text_features(texts))
 
 
 def co_train(text: np.ndarray, meta: np.ndarray, labels: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS) -> Model:
@@ -273,8 +265,7 @@ def score_all(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     return scored.select(id_col, "p_quality", (F.col("p_quality") >= KEPT_FROM).alias("kept"))
 
 
-def kept_rows(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def kept_rows(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows with all their columns whose probability of good quality is KEPT_FROM or more."""
     name = free_name(df, "p_quality")
-    scored = with_quality(df, fit(df, labels, id_col, text_col), text_col, name)
-    return scored.where(F.col(name) >= KEPT_FROM).select(*df.columns)
+    return with_quality(df, model, text_col, name).where(F.col(name) >= KEPT_FROM).select(*df.columns)

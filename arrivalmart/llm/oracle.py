@@ -43,4 +43,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_capitals, n_repeat_words, n_lin
 FROM f
 """
 
-TEXTS = {"op1_quality_rules": OP1}
+OP8 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS own
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CAST(list_sum(list_transform(range(1, len(v.own) + 1), lambda i: v.own[i] * q.own[i])) AS BIGINT) AS score
+  FROM v JOIN v AS q ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+TEXTS = {"op1_quality_rules": OP1, "op8_topk": OP8}

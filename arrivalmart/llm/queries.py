@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivalmart.llm import bitslice, bpe, cotraining, licenses, lm, packing, pii, rules, simhash
+from arrivalmart.llm import bitslice, bpe, cotraining, extraction, licenses, lm, packing, pii, rules, simhash
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -47,6 +47,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_rows(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_cotraining": op4_cotraining,
     "op5_bpe": op5_bpe,
     "op6_licenses": op6_licenses,
+    "op7_html": op7_html,
     "op8_topk": op8_topk,
     "op9_pii": op9_pii,
     "op10_ngram_trie": op10_ngram_trie,
