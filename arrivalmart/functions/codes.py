@@ -38,10 +38,12 @@ VISIT_FIELDS = (
 VISIT_COLUMNS = tuple(name for name, _ in VISIT_FIELDS)
 
 # Text that a cast can take. A cast that fails inside try_cast raises and catches an exception, about
-# a hundred times the cost of the match, so text of another form is set aside before the cast.
+# a hundred times the cost of the match, so text of another form is set aside before the cast. Of a
+# decimal the whole part counts, so FRACTION is taken off first.
+FRACTION = r"\.\d*\s*$"
 CASTABLE = {
-    "int": r"^\s*[+-]?\d+\s*$",
-    "bigint": r"^\s*[+-]?\d+\s*$",
+    "int": r"^\s*[+-]?\d+(\.\d*)?\s*$",
+    "bigint": r"^\s*[+-]?\d+(\.\d*)?\s*$",
     "date": r"^\s*\d{4}-\d{1,2}-\d{1,2}",
 }
 

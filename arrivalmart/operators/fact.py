@@ -80,7 +80,7 @@ def denormalise(visits: DataFrame, lookups: Lookups, citizenship: bool = True) -
     return joined.select(
         *visits.columns,
         *kept,
-        *[F.coalesce(F.col(c), F.lit(d)).alias(c) for c, d in ORPHAN_DEFAULTS.items()],
+        *[F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(d)).alias(c) for c, d in ORPHAN_DEFAULTS.items()],
     )
 
 

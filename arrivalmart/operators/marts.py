@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivalmart.functions.sizing import BROADCAST_ROWS, broadcast_checked
-from arrivalmart.sources.staging import CSV_OPTIONS
+from arrivalmart.sources.staging import CSV_OPTIONS, one_line, restored
 
 # Grouping columns of a slice, in order, with their types for reading one back.
 SLICE_FIELDS = (
@@ -118,14 +119,14 @@ def export_slice(
 ) -> str:
     """Write a slice as CSV, one file per task, and return its path; an old export is replaced."""
     path = f"{folder}/{slice_name(years, months, states)}"
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    one_line(df).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
 def read_slice(spark: SparkSession, path: str) -> DataFrame:
     """An exported slice with its default columns."""
     schema = ", ".join([f"{name} {kind}" for name, kind in SLICE_FIELDS] + ["visitorcount bigint"])
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return restored(spark.read.options(**CSV_OPTIONS, enforceSchema=False).schema(schema).csv(path))
 
 
 def by_port(star: Star, years: Sequence[int] | None = None) -> DataFrame:
@@ -139,12 +140,15 @@ def visatype_counts(visits: DataFrame, mode: int = 1) -> DataFrame:
     return arrivals.groupBy("visatype").agg(F.count("visatype").alias("visatype_count"))
 
 
-def _leaders(totals: DataFrame, column: str, total: str, k: int) -> DataFrame:
-    """The k members with the most visitors, ties by name; at most k rows, so safe to broadcast."""
-    summed = totals.where(F.col(column).isNotNull()).groupBy(column).agg(
+def _leaders(totals: DataFrame, columns: Sequence[str], total: str, k: int) -> DataFrame:
+    """The k members with the most visitors, ties by name; at most k rows, so safe to broadcast.
+
+    A member is named by its first column, which must not be null; the others tell equal names apart.
+    """
+    summed = totals.where(F.col(columns[0]).isNotNull()).groupBy(*columns).agg(
         F.sum("visitorcount").alias(total)
     )
-    return F.broadcast(summed.orderBy(F.desc(total), F.asc(column)).limit(k))
+    return F.broadcast(summed.orderBy(F.desc(total), *map(F.asc, columns)).limit(k))
 
 
 def top_countries(
@@ -156,7 +160,7 @@ def top_countries(
 ) -> DataFrame:
     """The k countries of residence with the most visitors to a slice, split by length of stay."""
     by_stay = dice(star, years, months, states, by=("countryofresidence", "duration_days"))
-    leaders = _leaders(by_stay, "countryofresidence", "country_total", k)
+    leaders = _leaders(by_stay, ("countryofresidence",), "country_total", k)
     return by_stay.join(leaders, "countryofresidence").select(
         "countryofresidence", "country_total", "duration_days", "visitorcount"
     )
@@ -182,7 +186,9 @@ def city_mode_month(
     k: int = 3,
     years: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Monthly visitors by mode for the k cities of a slice with the most visitors."""
-    monthly = dice(star, years, None, states, by=("port_city", "port_mode", "month"))
-    leaders = _leaders(monthly, "port_city", "city_total", k)
-    return monthly.join(leaders.select("port_city"), "port_city", "left_semi")
+    """Monthly visitors by mode for the k cities of a slice with the most visitors; a city is one of its state."""
+    city = ("port_city", "port_state_abbr")
+    monthly = dice(star, years, None, states, by=(*city, "port_mode", "month"))
+    leaders = _leaders(monthly, city, "city_total", k)
+    named = [monthly[c].eqNullSafe(leaders[c]) for c in city]
+    return monthly.join(leaders, reduce(lambda a, b: a & b, named), "left_semi")

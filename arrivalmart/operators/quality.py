@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivalmart.functions.bands import Bands
-from arrivalmart.functions.codes import CASTABLE, MISSING, UNKNOWN
+from arrivalmart.functions.codes import CASTABLE, FRACTION, MISSING, UNKNOWN
 
 # Check names in report order, and the profiled columns.
 CHECKS = ("isnan", "isnull", "emptystring", "unknownstring", "nan_as_-1")
@@ -53,6 +53,9 @@ STRING_COLUMNS = (
 Banded = tuple[Bands, str]
 
 
+HASHED = "hashed"
+
+
 class QualityError(RuntimeError):
     """A guard or a reconciliation failed."""
 
@@ -121,7 +124,7 @@ def _check(check: str, field: T.StructField) -> str | None:
         return f"{value} = '{UNKNOWN}'" if text else None
     if text:
         # Compared as text: a cast that fails raises and catches an exception on every row.
-        return f"trim({value}) = '{MISSING}'"
+        return f"{value} RLIKE r'^\\s*-0*{-MISSING}(\\.\\d*)?\\s*$'"
     return f"{value} = {MISSING}" if isinstance(field.dataType, T.NumericType) else None
 
 
@@ -140,7 +143,7 @@ def numeric_measures(schema: T.StructType, columns: Iterable[str]) -> list[Colum
         value = _name(name)
         if isinstance(schema[name].dataType, T.StringType):
             fits = f"{value} RLIKE r'{CASTABLE['bigint']}'"
-            value = f"try_cast(CASE WHEN {fits} THEN {value} END AS BIGINT)"
+            value = f"try_cast(regexp_replace(CASE WHEN {fits} THEN {value} END, r'{FRACTION}', '') AS BIGINT)"
         parts = {
             "count": f"count({value})",
             "mean": f"avg({value})",
@@ -155,6 +158,16 @@ def numeric_measures(schema: T.StructType, columns: Iterable[str]) -> list[Colum
     return measures
 
 
+def hashed() -> Column:
+    """A measure that has an aggregate with minima of text hash its groups instead of sorting all its rows.
+
+    Spark hashes groups whose buffers are objects, such as this set of one constant, as long as a task meets no more of them than
+    ``spark.sql.objectHashAggregate.sortBased.fallbackThreshold``. The column must be used or kept: one that is
+    dropped is left out of the plan, and the sort is back.
+    """
+    return F.collect_set(F.lit(True)).alias(HASHED)
+
+
 def string_measures(columns: Iterable[str]) -> list[Column]:
     return [
         F.expr(f"CAST({part}({_name(name)}) AS STRING) AS {_name(f'string:{part}:{name}')}")
@@ -241,7 +254,8 @@ def string_profile(
     df: DataFrame, columns: Sequence[str] = STRING_COLUMNS, by: Sequence[str] = ()
 ) -> DataFrame:
     """Count, min and max per text column."""
-    return string_report(df.groupBy(*by).agg(*string_measures(columns)), columns, by)
+    measured = df.groupBy(*by).agg(*string_measures(columns), hashed())
+    return string_report(measured.where(F.size(HASHED) > 0), columns, by)
 
 
 # Reconciliation

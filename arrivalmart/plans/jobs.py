@@ -15,7 +15,7 @@ from arrivalmart.functions.bands import AGE, DURATION
 from arrivalmart.operators import dimensions, fact, marts, quality
 from arrivalmart.sources import lookups, staging, warehouse
 from arrivalmart.sources.staging import Month
-from arrivalmart.sources.workspace import kept, new_folder, work_folder
+from arrivalmart.sources.workspace import kept, work_folder
 
 BANDED_VALUES = ((DURATION, "duration_days"), (AGE, "i94bir"))
 BY_MONTH = ("year", "month")
@@ -61,10 +61,10 @@ class Paths:
 
 
 def stage(raw: DataFrame, paths: Paths, clustered: bool = True) -> None:
-    """Clean raw records, write them by month and count the rows of each month."""
-    visits = staging.clean_visits(raw)
-    staging.write_staged(visits, paths.staged, clustered=clustered)
-    staging.write_manifest(staging.row_manifest(visits), paths.manifest)
+    """Clean raw records, write them by month and count the rows written for each month; raw records are read once."""
+    months = staging.write_staged(staging.clean_visits(raw), paths.staged, clustered=clustered)
+    counted = staging.staged_manifest(raw.sparkSession, paths.staged, months)
+    staging.write_manifest(counted, paths.manifest)
 
 
 def build_dimensions(spark: SparkSession, paths: Paths) -> None:
@@ -93,14 +93,16 @@ def read_lookups(spark: SparkSession, paths: Paths) -> lookups.Lookups:
 def read_star(
     spark: SparkSession, paths: Paths, months: Iterable[Month] | None = None
 ) -> marts.Star:
-    """The star as written, its dimensions sized for broadcast."""
-    return marts.Star(
-        fact=warehouse.read_fact(spark, paths.visit_fact, months),
-        port=spark.read.parquet(paths.port),
-        age=spark.read.parquet(paths.age),
-        duration=spark.read.parquet(paths.duration),
-        date=warehouse.read_date_dim(spark, paths.date),
-    ).checked()
+    """The star as written, its dimensions sized for broadcast; an empty dimension is an error."""
+    dimension = {
+        "port": spark.read.parquet(paths.port),
+        "age": spark.read.parquet(paths.age),
+        "duration": spark.read.parquet(paths.duration),
+        "date": warehouse.read_date_dim(spark, paths.date),
+    }
+    for name, table in dimension.items():
+        quality.require_rows(table, getattr(paths, name))
+    return marts.Star(fact=warehouse.read_fact(spark, paths.visit_fact, months), **dimension).checked()
 
 
 def _write_log(report: DataFrame, paths: Paths, name: str) -> None:
@@ -121,6 +123,7 @@ def _measures(banded: DataFrame, columns: Sequence[str]) -> DataFrame:
         *quality.numeric_measures(schema, quality.NUMERIC_COLUMNS),
         *quality.string_measures(quality.STRING_COLUMNS),
         *quality.band_measures(BANDED_VALUES),
+        quality.hashed(),
     )
 
 
@@ -132,8 +135,8 @@ def load_months(
 ) -> None:
     """Load months from staged visits into the warehouse: profile, count, check, publish.
 
-    All months go through the same two passes over the staged visits, one for every profile and
-    check measure and one for the fact. The fact is written to a work folder first and published
+    The staged text is parsed once, into a table of the work folder. All months go through the same two passes over that
+    table, one for every profile and check measure and one for the fact, each reading its own columns. The fact is written to a work folder first and published
     only if it agrees with the measures, so a failed check leaves the warehouse as it was, and a
     lost executor never repeats the joins behind a table already written. Loading months again
     replaces them.
@@ -141,9 +144,9 @@ def load_months(
     wanted = sorted(set(months))
     if not wanted:
         raise ValueError("no months to load")
-    visits = staging.read_visits(spark, paths.staged, wanted, layout)
     resolved = read_lookups(spark, paths)
     with work_folder(spark, "load") as work:
+        visits = kept(staging.read_visits(spark, paths.staged, wanted, layout), f"{work}/visits")
         banded = fact.add_bands(fact.denormalise(visits, resolved))
         keyed = banded.withColumns({"year": F.col("i94yr"), "month": F.col("i94mon")})
         measured = kept(_measures(keyed, banded.columns), f"{work}/measures")
@@ -174,12 +177,15 @@ def load_months(
 
 
 def check_rows(spark: SparkSession, paths: Paths, months: Iterable[Month]) -> DataFrame:
-    """Compare the manifest with what the published star holds, log it, fail on a difference."""
+    """Compare the manifest with what the published star holds, log it, fail on a difference.
+
+    The report has a row for each month asked for, and is returned from the driver's memory.
+    """
     wanted = sorted(set(months))
     manifest = staging.read_manifest(spark, paths.manifest, wanted)
     quality.require_unique(manifest, ("sas_data_year", "sas_data_month"), paths.manifest)
     checked = quality.row_check(manifest, read_star(spark, paths, wanted))
-    report = kept(checked, new_folder(spark, "rowcheck"))
+    report = spark.createDataFrame(checked.collect(), checked.schema)
     _write_log(report, paths, "rowcheck")
     return quality.raise_on_failure(report, "row check")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,15 +125,38 @@ def split_port_labels(ports: DataFrame, label: str = "i94port_raw") -> DataFrame
     )
 
 
+def _rank(population: Column, latitude: Column, longitude: Column) -> Column:
+    """One number that orders by population to a hundredth, then latitude, then longitude to a millionth; null comes last."""
+
+    def digits(value: Column, scale: int, most: int) -> Column:
+        whole = F.round(F.coalesce(value.cast("double"), F.lit(-most / scale)) * scale)
+        return F.greatest(F.lit(0.0), F.least(whole + most, F.lit(2.0 * most))).cast("decimal(13,0)")
+
+    def shifted(value: Column, places: int) -> Column:
+        return (value * F.lit(Decimal(10**places))).cast("decimal(38,0)")
+
+    people = F.greatest(F.lit(0.0), F.least(F.round(F.coalesce(population.cast("double"), F.lit(-1.0)) * 100) + 100, F.lit(9e11)))
+    place = shifted(digits(latitude, 10**6, 10**12), 13) + digits(longitude, 10**6, 10**12)
+    return (shifted(people.cast("decimal(12,0)"), 26) + place).cast("decimal(38,0)")
+
+
 def _largest_city(cities: DataFrame, keys: dict[str, Column], values: dict[str, Column]) -> DataFrame:
     """One row per key, the most populous, so that a join on the key cannot multiply ports.
 
-    A maximum over a struct combines map-side; equal populations fall to the largest values.
+    Equal populations fall to the highest latitude, then longitude, then a hash of the row. Either step is a maximum of
+    one number, hashed and combined map-side and joined back on the key, so no city table is sorted for it.
     """
-    population = F.coalesce(F.col("population").cast("double"), F.lit(-1.0))
-    rank = F.struct(population.alias("population"), *[c.alias(n) for n, c in values.items()])
-    best = cities.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(F.max(rank).alias("best"))
-    return best.select(*keys, *[F.col(f"best.{n}").alias(n) for n in values])
+    latitude, longitude = list(values)[:2]
+    left = cities.select(
+        *[c.alias(n) for n, c in keys.items()],
+        *[c.alias(n) for n, c in values.items()],
+        _rank(F.col("population"), values[latitude], values[longitude]).alias("_rank"),
+    ).dropna(subset=list(keys))
+    left = left.withColumn("_row", F.xxhash64(*values)).distinct()
+    for step in ("_rank", "_row"):
+        highest = left.groupBy(*keys).agg(F.max(step).alias("_highest"))
+        left = left.join(highest, list(keys)).where(F.col(step) == F.col("_highest")).drop("_highest")
+    return left.select(*keys, *values)
 
 
 def enrich_ports(

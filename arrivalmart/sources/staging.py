@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivalmart.functions.codes import (
     CASTABLE,
+    FRACTION,
     MISSING,
     UNKNOWN,
     VISIT_COLUMNS,
     VISIT_FIELDS,
 )
-from arrivalmart.operators.quality import require_rows
+from arrivalmart.operators.quality import QualityError, require_rows
 
 # Day zero of the raw date numbers and the columns of the manifest.
 DAY_ZERO = datetime.date(1960, 1, 1)
@@ -30,7 +31,11 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
-ROWS_PER_FILE = 100_000
+# A file holds about 256 MB at some 200 bytes a row. No field holds a line break (see one_line), so Spark
+# splits a file of any size.
+ROWS_PER_FILE = (256 << 20) // 200
+# Signs that would break a line, and how they are written; the backslash first, so that it can be undone last.
+ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
 
 Month = tuple[int, int]
 
@@ -46,6 +51,29 @@ def in_months(year: Column, month: Column, months: Iterable[Month]) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
+def one_line(df: DataFrame) -> DataFrame:
+    """The same rows with line breaks and backslashes in text escaped, so that a row is one line of CSV."""
+
+    def escaped(name: str) -> Column:
+        return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), ESCAPES, F.col(name)).alias(name)
+
+    text = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return df.select(*[escaped(c) if c in text else c for c in df.columns])
+
+
+def restored(df: DataFrame) -> DataFrame:
+    """Undoes :func:`one_line`: after it each backslash is followed by its letter, so nothing is ambiguous."""
+
+    def plain(name: str) -> Column:
+        undone = reduce(
+            lambda c, pair: F.replace(c, F.lit(pair[1]), F.lit(pair[0])), reversed(ESCAPES), F.col(name)
+        )
+        return F.when(F.contains(F.col(name), F.lit("\\")), undone).otherwise(F.col(name)).alias(name)
+
+    text = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return df.select(*[plain(c) if c in text else c for c in df.columns])
+
+
 def clean_visits(raw: DataFrame) -> DataFrame:
     """Twenty typed columns from raw records.
 
@@ -68,23 +96,26 @@ def clean_visits(raw: DataFrame) -> DataFrame:
 
 def write_staged(
     visits: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, clustered: bool = True
-) -> None:
+) -> list[Month]:
     """Write CSV by month, at most ``rows_per_file`` rows a file; a month written again is replaced.
 
-    Raw records that arrive one month per file are already ``clustered`` and need no shuffle. Mixed
+    Gives the months written, which the same pass observes; they reach the driver, as many as there are. Raw records that arrive one month per file are already ``clustered`` and need no shuffle. Mixed
     input is rebalanced by month first, which also splits a month that is too big for one task.
     """
-    out = visits.select(
+    out = one_line(visits).select(
         "*", F.col("i94yr").alias("year"), F.col("i94mon").alias("month")
     )
     if not clustered:
         out = out.hint("rebalance", "year", "month")
+    seen = Observation()
+    out = out.observe(seen, F.collect_set(F.struct("year", "month")).alias("months"))
     (
         out.write.mode("overwrite")
         .options(**CSV_OPTIONS, partitionOverwriteMode="dynamic", maxRecordsPerFile=rows_per_file)
         .partitionBy("year", "month")
         .csv(path)
     )
+    return sorted(((row.year, row.month) for row in seen.get["months"]), key=str)
 
 
 def _typed(staged: DataFrame) -> DataFrame:
@@ -92,12 +123,30 @@ def _typed(staged: DataFrame) -> DataFrame:
         value = F.col(name)
         if kind == "string":
             return value
-        return F.when(value.rlike(CASTABLE[kind]), value).try_cast(kind).alias(name)
+        fits = F.when(value.rlike(CASTABLE[kind]), value)
+        whole = fits if kind == "date" else F.regexp_replace(fits, FRACTION, "")
+        return whole.try_cast(kind).alias(name)
 
     columns = [typed(name, kind) for name, kind in VISIT_FIELDS]
     return staged.select(*columns).withColumn("fltno", F.regexp_replace("fltno", "^0+", ""))
 
 
+def _by_header(spark: SparkSession, paths: str | list[str], columns: Sequence[str]) -> DataFrame:
+    """The columns named, as text, of CSV files in whatever order their header has them; other columns are left out.
+
+    The header of the first file is taken, a name it lacks is an error, and so is a file whose header
+    differs from it, which is found when that file is read.
+    """
+    # Named by Spark where a header has no name, as an index column does; the schema takes the empty name.
+    found = spark.read.options(**CSV_OPTIONS).csv(paths)
+    header = [c for c in found.columns if c not in ("year", "month")]
+    if missing := [c for c in columns if c not in header]:
+        raise QualityError(f"no column {', '.join(missing)} in the header of {paths}: {header}")
+    unnamed = {f"_c{at}": "" for at in range(len(header))}
+    schema = T.StructType([T.StructField(unnamed.get(c, c), T.StringType()) for c in header])
+    return spark.read.options(**CSV_OPTIONS, enforceSchema=False).schema(schema).csv(paths)
+
+
 def read_visits(
     spark: SparkSession,
     path: str,
@@ -106,23 +155,23 @@ def read_visits(
 ) -> DataFrame:
     """Staged visits as twenty typed columns; bad numbers and dates become null, no rows an error.
 
-    ``partitioned`` is what :func:`write_staged` writes; only the folders of ``months`` are listed
-    in the scan. ``folders`` is ``<path>/<yyyy>/<mm>/*.csv`` with an unnamed index column first.
+    Columns are found by the name in the header. ``partitioned`` is what :func:`write_staged` writes; only the
+    folders of ``months`` are listed in the scan. ``folders`` is ``<path>/<yyyy>/<mm>/*.csv``, with or
+    without an index column, the text as it is.
     """
-    text = [f"{name} string" for name in VISIT_COLUMNS]
-    reader = spark.read.options(**CSV_OPTIONS)
     if layout == "partitioned":
+        text = [f"{name} string" for name in VISIT_COLUMNS]
         schema = ", ".join([*text, "year int", "month int"])
-        staged = reader.schema(schema).csv(path)
+        staged = spark.read.options(**CSV_OPTIONS, enforceSchema=False).schema(schema).csv(path)
         if months is not None:
             staged = staged.where(in_months(F.col("year"), F.col("month"), months))
+        staged = restored(staged)
     elif layout == "folders":
-        schema = ", ".join(["row_index string", *text])
         if months is None:
             globs = [f"{path}/*/*/*.csv"]
         else:
             globs = [f"{path}/{year:d}/{month:02d}/*.csv" for year, month in months]
-        staged = reader.schema(schema).csv(globs)
+        staged = _by_header(spark, globs, VISIT_COLUMNS)
     else:
         raise ValueError(f"unknown layout {layout!r}")
     return _typed(require_rows(staged, path))
@@ -135,6 +184,15 @@ def row_manifest(visits: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("sas_data_rowcount"))
 
 
+def staged_manifest(spark: SparkSession, path: str, months: Iterable[Month]) -> DataFrame:
+    """Rows per month as :func:`write_staged` has written them; only lines are counted, no column is parsed."""
+    schema = ", ".join([*[f"{name} string" for name in VISIT_COLUMNS], "year int", "month int"])
+    staged = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return staged.where(in_months(F.col("year"), F.col("month"), months)).groupBy(
+        F.col("year").alias("sas_data_year"), F.col("month").alias("sas_data_month")
+    ).agg(F.count(F.lit(1)).alias("sas_data_rowcount"))
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
     """One CSV folder per month, so a month staged again replaces its own count."""
     keyed = manifest.select(
@@ -152,7 +210,9 @@ def read_manifest(
     spark: SparkSession, path: str, months: Iterable[Month] | None = None
 ) -> DataFrame:
     """The manifest rows, of the given months only if any are named."""
-    counts = spark.read.schema(MANIFEST_SCHEMA).csv(path, header=True, recursiveFileLookup=True)
+    counts = spark.read.schema(MANIFEST_SCHEMA).csv(
+        path, header=True, recursiveFileLookup=True, enforceSchema=False
+    )
     if months is None:
         return counts
     return counts.where(in_months(F.col("sas_data_year"), F.col("sas_data_month"), months))

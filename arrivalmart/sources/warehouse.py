@@ -8,6 +8,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from arrivalmart.functions.codes import UNKNOWN
 from arrivalmart.sources.staging import Month, in_months
 from arrivalmart.sources.workspace import hadoop_files
 
@@ -30,9 +31,17 @@ def write_fact(fact: DataFrame, path: str, months: Iterable[Month] | None = None
     Rows are rebalanced by partition, so a state folder gets few files, a state with a third of all
     rows is split over many tasks, and small ones share a task. The folders written are observed in
     the same pass; a folder of a written month (or of ``months``) that this load did not write is
-    left over from an earlier load of that month and is removed afterwards.
+    left over from an earlier load of that month and is removed afterwards. A state that is null or
+    empty is written as ``'unknown'``. The list of folders reaches the driver; it grows with months
+    and states, not with rows.
+
+    Overwriting and removing are two steps: a crash between them leaves old states of the loaded months, which
+    count twice until the same months are loaded again.
     """
     spark = fact.sparkSession
+    state = FACT_PARTITIONS[-1]
+    named = F.when(F.col(state) != "", F.col(state)).otherwise(F.lit(UNKNOWN))
+    fact = fact.withColumn(state, named)
     seen = Observation()
     folder = F.struct(*FACT_PARTITIONS)
     out = fact.hint("rebalance", *FACT_PARTITIONS).observe(
@@ -58,7 +67,10 @@ def _drop_other_states(spark: SparkSession, path: str, months: set[Month], keep:
             spark, f"{path}/{folder('year', year)}/{folder('month', month)}"
         )
         for status in files.listStatus(parent) if files.exists(parent) else ():
-            state = unquote(status.getPath().getName().split("=", 1)[1])
+            name = status.getPath().getName()
+            if not name.startswith(f"{FACT_PARTITIONS[-1]}="):
+                continue
+            state = unquote(name.split("=", 1)[1])
             if (year, month, None if state == NULL_FOLDER else state) not in keep:
                 files.delete(status.getPath(), True)
 

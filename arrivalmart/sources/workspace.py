@@ -1,34 +1,34 @@
-"""Folders for intermediate tables that every executor can reach."""
+"""Folders for intermediate tables that every executor can reach.
+
+File systems are reached through the session's JVM (``hadoop_files``), the one place where the package leaves the DataFrame API; jobs
+that publish or remove folders therefore need a classic session, not a Connect one.
+"""
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-@functools.cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="arrivalmart-")
+# Folders named in this process and not yet removed.
+_named: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; in local mode one of our own if unset."""
+    """The folder named by ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _own_folder()
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path for one intermediate table; nothing is created yet."""
-    return f"{shared_folder(spark)}/arrivalmart/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one intermediate table; nothing is created yet. :func:`sweep` removes it."""
+    path = f"{shared_folder(spark)}/arrivalmart/{name}-{uuid.uuid4().hex}"
+    _named.add(path)
+    return path
 
 
 def hadoop_files(spark: SparkSession, path: str):
@@ -37,6 +37,18 @@ def hadoop_files(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    files, folder = hadoop_files(spark, path)
+    files.delete(folder, True)
+    _named.discard(path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Remove every folder that :func:`new_folder` has named for this session, once the results that read them are consumed."""
+    for path in sorted(p for p in _named if p.startswith(f"{shared_folder(spark)}/")):
+        _remove(spark, path)
+
+
 @contextmanager
 def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
     """A folder for the intermediate tables of one job, removed with them when the job ends."""
@@ -44,8 +56,7 @@ def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        files, folder = hadoop_files(spark, path)
-        files.delete(folder, True)
+        _remove(spark, path)
 
 
 def kept(df: DataFrame, path: str) -> DataFrame:

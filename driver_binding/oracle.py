@@ -12,6 +12,7 @@ from arrivalmart.operators.marts import PORT_COLUMNS, SLICE_COLUMNS, WEEKDAYS
 from arrivalmart.operators.quality import NUMERIC_COLUMNS, STRING_COLUMNS
 from driver_binding import queries, views
 
+# The ladders of the bands, and below the rows of modes, purposes, ages and durations.
 DURATION_CASE = """CASE WHEN stay IS NULL THEN 999 WHEN stay < 0 THEN 0 WHEN stay <= 3 THEN 1
   WHEN stay <= 7 THEN 2 WHEN stay <= 10 THEN 3 WHEN stay <= 14 THEN 4 WHEN stay <= 21 THEN 5
   WHEN stay <= 28 THEN 6 ELSE 7 END"""
@@ -123,10 +124,24 @@ BANDED_COLUMNS = (
     "visitduration_id",
     "age_id",
 )
-TEXT_COLUMNS = frozenset(
-    """i94port i94addr matflag gender insnum airline fltno visatype visitpurpose citizen_ctry mode
-    port_id arrivalstate arrivalstate_abbr firstdeststate_abbr firstdeststate
-    countryofresidence""".split()
+TEXT_COLUMNS = (
+    "i94port",
+    "i94addr",
+    "matflag",
+    "gender",
+    "insnum",
+    "airline",
+    "fltno",
+    "visatype",
+    "visitpurpose",
+    "citizen_ctry",
+    "mode",
+    "port_id",
+    "arrivalstate",
+    "arrivalstate_abbr",
+    "firstdeststate_abbr",
+    "firstdeststate",
+    "countryofresidence",
 )
 DATE_COLUMNS = frozenset({"arrdate", "depdate"})
 
@@ -181,6 +196,41 @@ def _string() -> str:
     )
 
 
+def _load_profiles() -> str:
+    """Both monthly logs in long form, a row for each month, summary and field."""
+    numeric = {
+        "count": "CAST(count({c}) AS DOUBLE)",
+        "mean": "floor(avg({c}) * 100 + 0.5) / 100",
+        "stddev": "floor(stddev_samp({c}) * 100 + 0.5) / 100",
+        "min": "CAST(min({c}) AS DOUBLE)",
+        "max": "CAST(max({c}) AS DOUBLE)",
+    }
+    # An empty cell of a log is read back as null.
+    text = {
+        "count": "CAST(count({c}) AS VARCHAR)",
+        "min": "nullif(min({c}), '')",
+        "max": "nullif(max({c}), '')",
+    }
+    none_text, none_number = "CAST(NULL AS VARCHAR)", "CAST(NULL AS DOUBLE)"
+
+    def row(log: str, summary: str, field: str, shown: str, number: str) -> str:
+        return f"""SELECT i94yr AS year, i94mon AS month, '{log}' AS log, '{summary}' AS summary, '{field}' AS field,
+  {shown} AS text_value, {number} AS number_value
+FROM (SELECT * REPLACE (ltrim(fltno, '0') AS fltno) FROM banded) GROUP BY 1, 2"""
+
+    rows = [row("intfields", n, c, none_text, f.format(c=c)) for n, f in numeric.items() for c in NUMERIC_COLUMNS]
+    rows += [row("stringfields", n, c, f.format(c=c), none_number) for n, f in text.items() for c in STRING_COLUMNS]
+    return " UNION ALL ".join(rows)
+
+
+LOAD_RECONCILE = """SELECT b.year, b.month, b.rows_in, f.fact_rows, f.visitors,
+  round(100.0 * CAST(b.rows_in - f.fact_rows AS DOUBLE) / b.rows_in, 6) AS reduction_pct,
+  b.rows_in = f.visitors AS matches
+FROM (SELECT i94yr AS year, i94mon AS month, count(*) AS rows_in FROM visits GROUP BY 1, 2) b
+JOIN (SELECT year, month, count(*) AS fact_rows, CAST(sum(visitorcount) AS BIGINT) AS visitors
+      FROM fact GROUP BY 1, 2) f ON b.year = f.year AND b.month = f.month"""
+
+
 def _band_usage(table: str, id_column: str, label: str, fact_column: str) -> str:
     return f"""SELECT b.{id_column}, b.{label},
   CAST(coalesce(sum(f.visitorcount), 0) AS BIGINT) AS visitorcount
@@ -237,12 +287,13 @@ LEFT JOIN world w ON l.i94port_state = 'unknown'
 LEFT JOIN hand h ON l.code = h.code"""
 
 
-def _leading(by: tuple[str, ...], where: str, column: str, k: int, total: str) -> tuple[str, str]:
+def _leading(by: tuple[str, ...], where: str, columns: tuple[str, ...], k: int, total: str) -> tuple[str, str]:
     """Common table text of a grouped slice and of its k leading members."""
     return (
         _summed(by, where),
-        f"SELECT {column}, CAST(sum(visitorcount) AS BIGINT) AS {total} FROM grouped "
-        f"WHERE {column} IS NOT NULL GROUP BY {column} ORDER BY {total} DESC, {column} LIMIT {k}",
+        f"SELECT {_columns(columns)}, CAST(sum(visitorcount) AS BIGINT) AS {total} FROM grouped "
+        f"WHERE {columns[0]} IS NOT NULL GROUP BY {_columns(columns)} "
+        f"ORDER BY {total} DESC, {', '.join(f'{c} NULLS FIRST' for c in columns)} LIMIT {k}",
     )
 
 
@@ -250,7 +301,7 @@ def _top_countries() -> str:
     grouped, leaders = _leading(
         ("countryofresidence", "duration_days"),
         f"{TOP_STATES} AND {SUMMER}",
-        "countryofresidence",
+        ("countryofresidence",),
         queries.TOP_COUNTRIES,
         "country_total",
     )
@@ -261,10 +312,15 @@ FROM grouped g JOIN leaders l ON g.countryofresidence = l.countryofresidence"""
 
 def _city_mode_month() -> str:
     grouped, leaders = _leading(
-        ("port_city", "port_mode", "month"), TOP_STATES, "port_city", queries.TOP_CITIES, "city_total"
+        ("port_city", "port_state_abbr", "port_mode", "month"),
+        TOP_STATES,
+        ("port_city", "port_state_abbr"),
+        queries.TOP_CITIES,
+        "city_total",
     )
     return f""", grouped AS ({grouped}), leaders AS ({leaders})
-SELECT * FROM grouped WHERE port_city IN (SELECT port_city FROM leaders)"""
+SELECT g.* FROM grouped g SEMI JOIN leaders l
+  ON g.port_city = l.port_city AND g.port_state_abbr IS NOT DISTINCT FROM l.port_state_abbr"""
 
 
 def _pivot() -> str:
@@ -290,6 +346,8 @@ def texts() -> dict[str, str]:
   count(*) AS sas_data_rowcount FROM visits GROUP BY 1, 2""",
         "staged_roundtrip": "SELECT * REPLACE (ltrim(fltno, '0') AS fltno) FROM "
         f"(SELECT {VISIT_LIST} FROM visits)",
+        "staged_folders": "SELECT * REPLACE (ltrim(fltno, '0') AS fltno) FROM "
+        f"(SELECT {VISIT_LIST} FROM visits)",
         "lookup_read": """SELECT 'ports' AS lookup_name, code, CAST(NULL AS INTEGER) AS int_code,
   place AS label FROM ports
 UNION ALL SELECT 'states', state_id, NULL, state_name FROM states
@@ -315,6 +373,8 @@ FROM purposes p LEFT JOIN visits v ON v.i94visa = p.purpose_code GROUP BY ALL"""
         "fact_rewrite": f"SELECT {FACT_LIST} FROM fact",
         "monthly_load": MONTH_CHECK,
         "row_check": MONTH_CHECK,
+        "load_profiles": _load_profiles(),
+        "load_reconcile": LOAD_RECONCILE,
         "missing_profile": _missing(),
         "missing_profile_monthly": _missing((("i94yr", "year"), ("i94mon", "month"))),
         "numeric_profile": _numeric(),
@@ -336,6 +396,8 @@ FROM (SELECT (SELECT count(*) FROM visits) AS rows_in, (SELECT count(*) FROM fac
         "dice_by_age": _summed(("year", "age_range", "gender", "firstdeststate")),
         "slice_export": SLICE_ALL,
         "by_port": _summed(("year", *PORT_COLUMNS)),
+        "dice_stored": _summed(SLICE_COLUMNS, SLICE),
+        "by_port_stored": _summed(("year", *PORT_COLUMNS)),
         "visatype_counts": f"""SELECT visatype, count(visatype) AS visatype_count
 FROM visits WHERE i94mode = {queries.AIR} GROUP BY visatype""",
         "purpose_by_weekday": _summed(("visitpurpose", "weekday"), SUMMER),

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivalmart.functions.bands import AGE, DURATION, Bands
-from arrivalmart.functions.codes import MISSING, UNKNOWN, VISIT_FIELDS
+from arrivalmart.functions.codes import MISSING, UNKNOWN, VISIT_COLUMNS, VISIT_FIELDS
 from arrivalmart.functions.sizing import broadcast_checked
 from arrivalmart.operators import dimensions, fact, marts, quality
 from arrivalmart.plans import jobs
@@ -27,20 +26,6 @@ TOP_COUNTRIES = 5
 TOP_CITIES = 3
 AIR = 1
 RELOADED_YEAR = 1996
-# The test tables are a few megabytes in well over a thousand state folders. Adaptive execution would
-# write them in one task; a smaller least size lets all cores open folders.
-MIN_TASK = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
-
-
-@contextmanager
-def _small_tasks(spark: SparkSession):
-    name, size = MIN_TASK
-    before = spark.conf.get(name)
-    spark.conf.set(name, size)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
 
 
 def visits_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,15 +36,13 @@ def port_dim_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.port_dim(views.bind(spark, sf_dir, views.PORTS))
 
 
-def _sized(spark: SparkSession, sf_dir: str, *more: str) -> dict[str, DataFrame]:
-    """Lookups, and dimensions asked for, counted in one job and broadcast where small."""
+def _sized(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Lookups, measured in one job and broadcast where small."""
     tables = {
         "ports": port_dim_of(spark, sf_dir),
         "states": views.bind(spark, sf_dir, views.STATES),
         "countries": views.bind(spark, sf_dir, views.COUNTRIES),
     }
-    if "date" in more:
-        tables["date"] = dates_of(spark, sf_dir)
     return broadcast_checked(tables)
 
 
@@ -77,17 +60,25 @@ def visit_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dates_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days of the months of the visits, which the arrival dates of the orders give."""
+    """Days of the months of the visits."""
+    return dimensions.date_dim(dimensions.months_of(visits_of(spark, sf_dir)))
+
+
+def calendar_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of the months of all orders, whether or not an order has visits.
+
+    A star only joins the days its fact has, so a calendar may hold more months, and the orders alone give them. A calendar has 31
+    rows a month at most, which needs no count to be broadcast.
+    """
     orders = views.read_table(spark, sf_dir, "orders")
     arrivals = orders.select(
         F.year("o_orderdate").alias("i94yr"), F.month("o_orderdate").alias("i94mon")
     )
-    return dimensions.date_dim(dimensions.months_of(arrivals))
+    return F.broadcast(dimensions.date_dim(dimensions.months_of(arrivals)))
 
 
 def star_of(spark: SparkSession, sf_dir: str) -> marts.Star:
-    sized = _sized(spark, sf_dir, "date")
-    dates = sized.pop("date")
+    sized = _sized(spark, sf_dir)
     visits = visits_of(spark, sf_dir)
     resolved = fact.denormalise(visits, lookups.Lookups.of(spark, **sized), citizenship=False)
     return marts.Star(
@@ -95,7 +86,7 @@ def star_of(spark: SparkSession, sf_dir: str) -> marts.Star:
         port=sized["ports"],
         age=F.broadcast(dimensions.band_dim(spark, AGE)),
         duration=F.broadcast(dimensions.band_dim(spark, DURATION)),
-        date=dates,
+        date=calendar_of(spark, sf_dir),
     )
 
 
@@ -134,6 +125,20 @@ def staged_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.read_visits(spark, path)
 
 
+def staged_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in month folders, an index column first and the others in reverse order, read by their header."""
+    path = new_folder(spark, "folders")
+    visits = visits_of(spark, sf_dir)
+    foreign = visits.select(
+        F.col("cicid").alias("row_index"),
+        *reversed(VISIT_COLUMNS),
+        F.col("i94yr").alias("year"),
+        F.col("i94mon").alias("month"),
+    )
+    foreign.write.options(**staging.CSV_OPTIONS).partitionBy("year", "month").csv(path)
+    return staging.read_visits(spark, path, layout="folders")
+
+
 # Lookups
 
 
@@ -270,15 +275,15 @@ def age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact written, one year of it loaded again, and the whole table read back."""
     path = new_folder(spark, "visit_fact")
-    with work_folder(spark, "fact") as work, _small_tasks(spark):
+    with work_folder(spark, "fact") as work:
         built = kept(visit_fact(spark, sf_dir), work)
         warehouse.write_fact(built, path)
         warehouse.write_fact(built.where(F.col("year") == RELOADED_YEAR), path)
     return warehouse.read_fact(spark, path)
 
 
-def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All jobs in a row, from raw records to the checked star; the row check of every month."""
+def _loaded(spark: SparkSession, sf_dir: str) -> tuple[jobs.Paths, list[staging.Month]]:
+    """All jobs up to the load, from raw records to the star and its logs."""
     paths = jobs.Paths.under(new_folder(spark, "mart"))
     jobs.stage(raw_visits(spark, sf_dir), paths, clustered=False)
     for view, path, sep, columns in (
@@ -293,9 +298,47 @@ def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         (row.sas_data_year, row.sas_data_month)
         for row in staging.read_manifest(spark, paths.manifest).collect()
     ]
-    with _small_tasks(spark):
-        jobs.load_months(spark, paths, months)
-    return jobs.check_rows(spark, paths, months)
+    jobs.load_months(spark, paths, months)
+    return paths, months
+
+
+def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All jobs in a row, from raw records to the checked star; the row check of every month."""
+    return jobs.check_rows(spark, *_loaded(spark, sf_dir))
+
+
+def load_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numeric and string logs of a load as read back: a row for each month, summary and field."""
+    paths, _ = _loaded(spark, sf_dir)
+
+    def cells(log: str, columns: Sequence[str], text: bool) -> DataFrame:
+        schema = ", ".join(["summary string", *[f"{c} string" for c in columns], "year int", "month int"])
+        rows = spark.read.schema(schema).csv(f"{paths.logs}/{log}", header=True, enforceSchema=False)
+        fields = [F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in columns]
+        value = F.col("cell.value")
+        # Rounded in the same steps as in the oracle, so that halves fall alike.
+        number = F.lit(None).cast("double") if text else F.floor(value.cast("double") * 100 + 0.5) / 100
+        return rows.select("year", "month", "summary", F.explode(F.array(*fields)).alias("cell")).select(
+            "year",
+            "month",
+            F.lit(log).alias("log"),
+            "summary",
+            "cell.field",
+            (value if text else F.lit(None).cast("string")).alias("text_value"),
+            number.alias("number_value"),
+        )
+
+    return cells("intfields", quality.NUMERIC_COLUMNS, False).unionByName(
+        cells("stringfields", quality.STRING_COLUMNS, True)
+    )
+
+
+def load_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reconciliation log of a load as read back."""
+    paths, _ = _loaded(spark, sf_dir)
+    schema = "rows_in bigint, fact_rows bigint, visitors bigint, reduction_pct double, matches boolean, year int, month int"
+    log = spark.read.schema(schema).csv(f"{paths.logs}/reconcile", header=True, enforceSchema=False)
+    return log.withColumn("reduction_pct", F.round("reduction_pct", 6))
 
 
 # Quality
@@ -374,6 +417,25 @@ def slice_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.read_slice(spark, marts.export_slice(sliced, new_folder(spark, "extracts")))
 
 
+def stored_star_of(spark: SparkSession, sf_dir: str) -> marts.Star:
+    """The star written to the warehouse and read from it."""
+    paths = jobs.Paths.under(new_folder(spark, "star"))
+    built = star_of(spark, sf_dir)
+    warehouse.write_fact(built.fact, paths.visit_fact)
+    warehouse.write_date_dim(built.date, paths.date)
+    for name in ("port", "age", "duration"):
+        warehouse.write_dim(getattr(built, name), getattr(paths, name))
+    return jobs.read_star(spark, paths)
+
+
+def dice_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.dice(stored_star_of(spark, sf_dir), SLICE_YEARS, SUMMER, SLICE_STATES)
+
+
+def by_port_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.by_port(stored_star_of(spark, sf_dir))
+
+
 def by_port(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.by_port(star_of(spark, sf_dir))
 
@@ -402,6 +464,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_visits": clean_visits,
     "row_manifest": row_manifest,
     "staged_roundtrip": staged_roundtrip,
+    "staged_folders": staged_folders,
     "lookup_read": lookup_read,
     "mode_purpose": mode_purpose,
     "port_labels": port_labels,
@@ -418,6 +481,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visit_fact": visit_fact,
     "fact_rewrite": fact_rewrite,
     "monthly_load": monthly_load,
+    "load_profiles": load_profiles,
+    "load_reconcile": load_reconcile,
     "missing_profile": missing_profile,
     "missing_profile_monthly": missing_profile_monthly,
     "numeric_profile": numeric_profile,
@@ -431,6 +496,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dice_by_age": dice_by_age,
     "slice_export": slice_export,
     "by_port": by_port,
+    "dice_stored": dice_stored,
+    "by_port_stored": by_port_stored,
     "visatype_counts": visatype_counts,
     "top_countries": top_countries,
     "purpose_by_weekday": purpose_by_weekday,

@@ -13,8 +13,8 @@ VISITS = """
 SELECT l.l_orderkey * 10 + l.l_linenumber                             AS cicid,
        CAST(year(o.o_orderdate) AS INT)                               AS i94yr,
        CAST(month(o.o_orderdate) AS INT)                              AS i94mon,
-       s.s_nationkey                                                  AS i94cit,
-       c.c_nationkey                                                  AS i94res,
+       CASE WHEN s.s_nationkey = 24 THEN 124 ELSE s.s_nationkey END   AS i94cit,
+       CASE WHEN c.c_nationkey = 24 THEN 124 ELSE c.c_nationkey END   AS i94res,
        CASE WHEN l.l_linenumber = 7 THEN 'unknown'
             ELSE CAST(l.l_suppkey AS VARCHAR(20)) END                 AS i94port,
        CAST(o.o_orderdate AS DATE)                                    AS arrdate,
@@ -73,12 +73,14 @@ SELECT 'XXX', 'NOT REPORTED/UNKNOWN', NULL, NULL, NULL, NULL, NULL, NULL, NULL,
 
 STATES = "SELECT CAST(r_regionkey AS VARCHAR(20)) AS state_id, r_name AS state_name FROM {region}"
 
-COUNTRIES = "SELECT n_nationkey AS code, n_name AS i94ctry FROM {nation} WHERE n_nationkey < 24"
+COUNTRIES = "SELECT n_nationkey AS code, n_name AS i94ctry FROM {nation}"
 
-# Port labels in each of the forms a label can take.
+# Port labels in each of the forms a label can take; those of nations 3 and 13 name no known city.
 PORT_LABELS = """
 SELECT CAST(s.s_suppkey AS VARCHAR(20)) AS code,
-       CASE WHEN s.s_nationkey < 8 THEN concat(n.n_name, ', ', substr(r.r_name, 1, 2))
+       CASE WHEN s.s_nationkey = 3 THEN concat('OLD ', n.n_name, ', ', substr(r.r_name, 1, 2))
+            WHEN s.s_nationkey = 13 THEN concat('OLD ', n.n_name, ', ', r.r_name)
+            WHEN s.s_nationkey < 8 THEN concat(n.n_name, ', ', substr(r.r_name, 1, 2))
             WHEN s.s_nationkey < 10 THEN concat(n.n_name, ', ', substr(r.r_name, 1, 2), ' (BPS)')
             WHEN s.s_nationkey < 12
             THEN concat('FIELD ', CAST(s.s_suppkey AS VARCHAR(20)), ', ', n.n_name, ', ',
@@ -100,7 +102,6 @@ SELECT n.n_name AS city, substr(r.r_name, 1, 2) AS state_id, concat('State of ',
 FROM {customer} c
 JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 JOIN {region} r ON n.n_regionkey = r.r_regionkey
-WHERE n.n_nationkey <> 3
 """
 WORLD_CITIES = """
 SELECT lower(n.n_name) AS city, r.r_name AS country, substr(r.r_name, 1, 3) AS iso2,
@@ -109,14 +110,15 @@ SELECT lower(n.n_name) AS city, r.r_name AS country, substr(r.r_name, 1, 3) AS i
 FROM {customer} c
 JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 JOIN {region} r ON n.n_regionkey = r.r_regionkey
-WHERE n.n_nationkey <> 13
 """
+# Places by hand, under a code of no port for the nations from 22 on.
 MANUAL_PORTS = """
-SELECT CAST(s.s_suppkey AS VARCHAR(20)) AS code, s.s_acctbal AS latitude, -s.s_acctbal AS longitude,
+SELECT CASE WHEN s.s_nationkey >= 22 THEN concat('X', CAST(s.s_suppkey AS VARCHAR(20)))
+            ELSE CAST(s.s_suppkey AS VARCHAR(20)) END AS code, s.s_acctbal AS latitude, -s.s_acctbal AS longitude,
        s.s_name AS place, concat('Town ', CAST(s.s_suppkey AS VARCHAR(20))) AS city,
        'By hand' AS county_name, 'ZZ' AS state_id, 'Hand state' AS state_name,
        'HH' AS country_code, 'Handland' AS country
-FROM {supplier} s WHERE s.s_nationkey < 22
+FROM {supplier} s
 """
 
 
@@ -149,18 +151,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(table: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table stored in fewer pieces than there are cores, such as one row group.
-
-    A table of many pieces, which any large one is, comes back as it is and is not shuffled.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, key)
-
-
 def bind(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """The view over the driver's Parquet tables as a DataFrame."""
     tables = {name: read_table(spark, sf_dir, name) for name in table_names(view)}
-    if "lineitem" in tables:
-        tables["lineitem"] = _spread(tables["lineitem"], "l_orderkey")
     return spark.sql(view, **tables)

@@ -1,7 +1,7 @@
 import glob
 
 import pytest
-from helpers import PORTS, as_set, visits
+from helpers import PORTS, as_set, lookups_of, plan_of, visits
 from pyspark.sql import functions as F
 from test_fact import random_visits
 from test_warehouse import table
@@ -10,6 +10,7 @@ from arrivalmart.operators import marts
 from arrivalmart.operators.quality import QualityError
 from arrivalmart.plans import jobs
 from arrivalmart.sources import lookups, staging, warehouse
+from arrivalmart.sources.workspace import shared_folder
 
 MONTHS = [(2016, 1), (2016, 2), (2016, 3)]
 
@@ -128,3 +129,40 @@ def test_doubled_lookup_key_stops_the_load(spark, paths):
     jobs.build_dimensions(spark, paths)
     with pytest.raises(QualityError, match="states"):
         jobs.load_months(spark, paths, MONTHS)
+
+
+def test_measures_of_a_load_sort_nothing(spark, paths):
+    rows = dated(spark, 20, seed=7).withColumns({"year": F.col("i94yr"), "month": F.col("i94mon")})
+    keyed = jobs.fact.add_bands(jobs.fact.denormalise(rows, lookups_of(spark).checked()))
+    measured = jobs._measures(keyed, [c for c in keyed.columns if c not in ("year", "month")])
+    plan = plan_of(measured)
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+    strings = plan_of(jobs.quality.string_profile(keyed, by=("year", "month")))
+    assert "SortAggregate" not in strings and "Sort [" not in strings
+
+
+def test_row_check_and_load_leave_no_work_folder(spark, paths):
+    stage(spark, paths, dated(spark, 50, seed=8))
+    jobs.build_dimensions(spark, paths)
+    jobs.load_months(spark, paths, MONTHS)
+    jobs.check_rows(spark, paths, MONTHS)
+    assert not glob.glob(f"{shared_folder(spark)}/arrivalmart/*")
+
+
+def test_an_empty_dimension_is_refused(spark, paths):
+    stage(spark, paths, dated(spark, 50, seed=9))
+    jobs.build_dimensions(spark, paths)
+    jobs.load_months(spark, paths, MONTHS)
+    warehouse.write_dim(spark.read.parquet(paths.age).where("false"), paths.port)
+    with pytest.raises(QualityError, match="no rows"):
+        jobs.read_star(spark, paths)
+
+
+def test_slices_of_the_stored_star_prune_all_three_partition_columns(spark, paths):
+    stage(spark, paths, dated(spark, 50, seed=10))
+    jobs.build_dimensions(spark, paths)
+    jobs.load_months(spark, paths, MONTHS)
+    plan = plan_of(marts.dice(jobs.read_star(spark, paths), [2016], [1], ["CA"]))
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "arrivalstate_abbr" in line)
+    filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert all(column in filters for column in ("year", "month", "arrivalstate_abbr"))

@@ -1,5 +1,5 @@
 import pytest
-from helpers import as_set, lookups_of
+from helpers import as_set, lookups_of, plan_of
 
 from arrivalmart.functions.codes import MODES, PURPOSES
 from arrivalmart.operators.quality import QualityError
@@ -110,3 +110,16 @@ def test_enrich_ports(spark):
         "HND": (1.5, 2.5, "Some pass", "Pass", "C", "MT", "Montana", "US", "United States"),
         "PRT": (7.0, 8.0, "PARTLY, TX", "Partly", "Hand county", "TX", "Texas", "US", "United States"),
     }
+
+
+def test_ties_of_population_fall_to_the_highest_place(spark):
+    labels = spark.createDataFrame([("ROM", "ROME, NY")], "code string, i94port_raw string")
+    us = spark.createDataFrame(
+        [("Rome", "NY", "New York", c, lat, lng, 5.0) for c, lat, lng in (("A", 1.0, 9.0), ("B", 2.0, -8.0), ("C", 2.0, -7.0), ("C", 2.0, -7.0))],
+        "city string, state_id string, state_name string, county_name string, lat double, lng double, population double",
+    )
+    world = spark.createDataFrame([], "city string, country string, iso2 string, lat double, lng double, population double")
+    manual = spark.createDataFrame([], ", ".join(f"{c} {'double' if c in ('latitude', 'longitude') else 'string'}" for c in lookups.PORT_COLUMNS))
+    found = lookups.enrich_ports(lookups.split_port_labels(labels), us, world, manual)
+    assert as_set(found, "code", "county_name", "longitude") == {("ROM", "C", -7.0)}
+    assert "SortAggregate" not in plan_of(found)

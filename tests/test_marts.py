@@ -1,3 +1,5 @@
+import dataclasses
+
 from helpers import D, as_set, visits
 from pyspark.sql import functions as F
 from test_quality import banded, star
@@ -91,5 +93,19 @@ def test_city_mode_month(spark):
     cube = sample(spark)
     two = marts.city_mode_month(cube, None, k=2)
     assert as_set(two, *two.columns) == {
-        ("Los Angeles", "Air", 6, 2), ("Miami", "Air", 7, 1), ("Miami", "Sea", 7, 1),
+        ("Los Angeles", "CA", "Air", 6, 2), ("Miami", "FL", "Air", 7, 1), ("Miami", "FL", "Sea", 7, 1),
     }
+
+
+def test_equal_city_names_of_two_states_stay_apart(spark):
+    cube = sample(spark)
+    named = cube.port.withColumn("port_city", F.when(F.col("port_city").isNotNull(), F.lit("Springfield")))
+    found = marts.city_mode_month(dataclasses.replace(cube, port=named), None, k=1)
+    assert as_set(found, *found.columns) == {("Springfield", "CA", "Air", 6, 3)}
+
+
+def test_export_keeps_line_breaks_quotes_and_backslashes(spark, tmp_path):
+    odd = 'a "quoted"\nline\r\\n, \\b'
+    sliced = marts.dice(sample(spark), [2016], [6]).withColumn("port_place", F.lit(odd))
+    back = marts.read_slice(spark, marts.export_slice(sliced, str(tmp_path)))
+    assert {r.port_place for r in back.collect()} == {odd} and back.count() == sliced.count()

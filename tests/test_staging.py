@@ -104,3 +104,55 @@ def test_manifest(spark, tmp_path):
     columns = ("sas_data_year", "sas_data_month", "sas_data_rowcount")
     assert as_set(staging.read_manifest(spark, path), *columns) == {(2016, 6, 3), (2016, 7, 1)}
     assert as_set(staging.read_manifest(spark, path, [(2016, 7)]), *columns) == {(2016, 7, 1)}
+
+
+LINE = "5,2016,6,101,102,LOS,2016-06-01,1,CA,,30,2,M,1986,F,unknown,AA,77,00120,B2"
+
+
+def folder_of(tmp_path, header, line):
+    folder = tmp_path / "2016" / "06"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text(f"{header}\n{line}\n")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("order", ["as written", "swapped", "more", "index"])
+def test_columns_are_found_by_their_header(spark, tmp_path, order):
+    names, values = list(VISIT_COLUMNS), LINE.split(",")
+    if order == "swapped":
+        names, values = names[::-1], values[::-1]
+    if order == "more":
+        names, values = [*names[:4], "extra", *names[4:]], [*values[:4], "x", *values[4:]]
+    if order == "index":
+        names, values = ["", *names], ["0", *values]
+    path = folder_of(tmp_path, ",".join(names), ",".join(values))
+    read = staging.read_visits(spark, path, [(2016, 6)], layout="folders")
+    assert as_set(read, "i94yr", "i94mon", "i94cit", "i94res", "fltno") == {(2016, 6, 101, 102, "120")}
+
+
+def test_a_missing_column_is_refused(spark, tmp_path):
+    path = folder_of(tmp_path, ",".join(VISIT_COLUMNS[1:]), LINE.split(",", 1)[1])
+    with pytest.raises(QualityError, match="no column cicid"):
+        staging.read_visits(spark, path, layout="folders")
+
+
+def test_decimal_text_counts_by_its_whole_part(spark, tmp_path):
+    line = LINE.replace("2016,6,101", "2016.0,6.,101.9")
+    read = staging.read_visits(spark, folder_of(tmp_path, ",".join(VISIT_COLUMNS), line), layout="folders")
+    assert as_set(read, "i94yr", "i94mon", "i94cit") == {(2016, 6, 101)}
+
+
+def test_line_breaks_quotes_and_backslashes_survive(spark, tmp_path):
+    path = str(tmp_path / "staged")
+    odd = ['two\nlines', 'a\r\nb', '\\n', '\\', 'q"uo"te', '\\b\\\n']
+    rows = visits(spark, *[{"airline": o} for o in odd])
+    assert staging.write_staged(rows, path) == [(2016, 6)]
+    assert as_set(staging.read_visits(spark, path), "cicid", "airline") == set(enumerate(odd))
+    counted = staging.staged_manifest(spark, path, [(2016, 6)])
+    assert as_set(counted, *counted.columns) == {(2016, 6, len(odd))}
+
+
+def test_other_manifest_header_is_refused(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("sas_data_month,sas_data_year,sas_data_rowcount\n6,2016,3\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        staging.read_manifest(spark, str(tmp_path)).collect()

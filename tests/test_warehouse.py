@@ -91,3 +91,22 @@ def test_date_dim_keeps_other_months(spark, tmp_path):
     days = warehouse.read_date_dim(spark, path)
     assert days.count() == 60 == days.select("date_id").distinct().count()
     assert dict(days.dtypes)["month"] == "int"
+
+
+def test_empty_and_null_states_are_the_unknown_state_and_lose_nobody(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = [(2016, 1, "CA", "1_A", 3), (2016, 1, "", "1_B", 2), (2016, 1, None, "1_C", 4), (2016, 2, "", "1_D", 5)]
+    for _ in range(2):
+        warehouse.write_fact(fact_rows(spark, *rows), path)
+    assert table(spark, path) == sorted((y, m, s or "unknown", p, n) for y, m, s, p, n in rows)
+    warehouse.write_fact(fact_rows(spark, (2016, 1, None, "1_E", 9)), path)
+    assert table(spark, path) == [(2016, 1, "unknown", "1_E", 9), (2016, 2, "unknown", "1_D", 5)]
+
+
+def test_a_foreign_file_in_a_month_folder_is_left_alone(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    warehouse.write_fact(fact_rows(spark, (2016, 1, "CA", "1_A", 3)), path)
+    marker = os.path.join(path, "year=2016", "month=1", "_marker")
+    open(marker, "w").close()
+    warehouse.write_fact(fact_rows(spark, (2016, 1, "FL", "1_A", 4)), path)
+    assert os.path.exists(marker) and table(spark, path) == [(2016, 1, "FL", "1_A", 4)]

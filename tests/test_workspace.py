@@ -20,11 +20,17 @@ def test_folder_named_by_the_session_is_used():
     assert first.startswith("hdfs://shared/checkpoints/arrivalmart/fact-") and first != second
 
 
-def test_own_folder_only_in_local_mode():
-    local = session("local[4]", None)
-    assert workspace.shared_folder(local) == workspace.shared_folder(local)
+@pytest.mark.parametrize("master", ["local[4]", "spark://cluster:7077"])
+def test_a_session_without_a_shared_folder_is_refused(master):
     with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
-        workspace.shared_folder(session("spark://cluster:7077", None))
+        workspace.shared_folder(session(master, None))
+
+
+def test_sweep_removes_what_queries_have_left(spark):
+    path = workspace.new_folder(spark, "left")
+    workspace.kept(spark.range(3), path)
+    workspace.sweep(spark)
+    assert not os.path.exists(path)
 
 
 @pytest.mark.parametrize("fails", [False, True])
