@@ -1,0 +1,103 @@
+"""The registered queries against DuckDB or plain versions, and the pipeline stage by stage."""
+
+import glob
+import os
+import sys
+
+import duckdb
+import public_tokenizers
+import pytest
+from brute import base_spans, documents, fingerprint, groups, measures, pieces
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from arrivalmart.llm import cotraining, oracle, pii, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_every_operator_is_registered():
+    names = entry.queries()
+    for n in range(1, 11):
+        assert len([name for name in names if name.startswith(f"op{n}_")]) == 1
+    assert "pipeline" in names and set(oracle.TEXTS) <= set(names)
+
+
+@pytest.mark.parametrize("name", list(oracle.TEXTS))
+def test_queries_equal_their_sql(spark, name):
+    duck = duckdb.connect()
+    for path in glob.glob(f"{SF}/*.parquet"):
+        duck.execute(f"CREATE VIEW {os.path.basename(path).removesuffix('.parquet')} AS SELECT * FROM '{path}'")
+    found = entry.queries()[name](spark, SF)
+    columns = sorted(found.columns)
+    expected = duck.execute(f"SELECT {', '.join(columns)} FROM ({oracle.TEXTS[name]})").fetchall()
+    assert sorted(map(tuple, found.select(*columns).collect())) == sorted(expected) != []
+
+
+# The contract's columns and kinds, first of all the columns of a query.
+CONTRACTS = {
+    "op1_quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
+    "op2_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op3_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
+    "op5_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op7_html": "page_id bigint, url string, text string, n_chars bigint",
+    "op8_topk": "query_id bigint, rank int, vec_id bigint, score bigint",
+    "op9_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
+    "op10_ngram_trie": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+}
+
+
+@pytest.mark.parametrize("name", list(CONTRACTS))
+def test_columns_are_those_of_the_contract(spark, name):
+    kinds = dict(queries.QUERIES[name](spark, SF).dtypes)
+    assert {c: k for c, k in (x.split(" ") for x in CONTRACTS[name].split(", "))}.items() <= kinds.items()
+
+
+def keep_by_rules(text):
+    n_words, chars, symbols, dup_lines, repeated = measures(text)
+    lines = len([x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")])
+    capitals = sum("A" <= c <= "Z" for c in text or "")
+    return not (
+        n_words < 50 or 100 * repeated > 50 * n_words or 100 * symbols > 30 * n_words or 100 * dup_lines > 60 * lines
+        or 100 * capitals > 60 * chars or chars < 2 * n_words or chars > 25 * n_words
+    )
+
+
+def test_pipeline_equals_the_plain_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    left = {r.doc_id: r.text for r in docs.collect() if keep_by_rules(r.text)}
+    model = cotraining.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    good = cotraining.with_quality(docs, model).where(F.col("p_quality") >= cotraining.KEPT_FROM)
+    left = {k: left[k] for k in {r.doc_id for r in good.collect()} & set(left)}
+    prints = {k: fingerprint(t) for k, t in left.items()}
+    ids = sorted(prints)
+    links = [(a, b) for n, a in enumerate(ids) for b in ids[:n] if (prints[a] ^ prints[b]).bit_count() <= 3]
+    left = {k: t for k, t in left.items() if groups(links, ids)[k] == k}
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation()
+    expected = []
+    for k, text in left.items():
+        for span in base_spans(text):
+            assert span in pii.listed(pii.find_spans(text)).split(",")
+        text = pii.redact(text, pii.find_spans(text))
+        expected += [(k, *p) for p in pieces(library.encode(text, add_special_tokens=False).ids)]
+    found = corpus_pipeline.run(spark, SF)
+    assert sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in found.collect()) == sorted(expected) != []
+
+
+def test_stages_keep_the_columns_of_documents(spark):
+    docs = documents(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SF).columns == docs.columns, name
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "quality_classifier", "near_copies", "personal_data", "packing"]
+
+
+def test_an_empty_table_goes_through_all_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+    assert docs.count() == 0 and "sequence_id" in docs.columns

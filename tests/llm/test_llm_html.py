@@ -1,0 +1,100 @@
+import html
+import random
+import re
+
+import numpy as np
+import pytest
+
+from arrivalmart.llm import blocks, extraction
+
+SCHEMA = "page_id long, url string, html string, text string, n_chars int"
+
+
+@pytest.fixture(scope="module")
+def net():
+    return extraction.trained()
+
+
+def article_of(page):
+    inner = re.search(r"<article>(.*?)(</article>|<footer>|$)", page or "", re.DOTALL)
+    parts = re.split(r"</?(?:p|h1)>", inner[1]) if inner else []
+    own = [" ".join(html.unescape(re.sub(r"</?b>", "", p.replace("<br>", " "))).split()) for p in parts]
+    return "\n\n".join(p for p in own if p)
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("", []),
+        ("plain  text\n only", ["plain text only"]),
+        ("<p>one<p>two<br>three</p>four", ["one", "two three", "four"]),
+        ("<div>a <b>b <i>c</div>d", ["a b c", "d"]),
+        ("<script>var t='</p>';</script><style>p{}</style><!-- <p>x</p> --><p>y &lt;z&gt; &amp;amp; &eacute;</p>", ["y <z> &amp; é"]),
+        ("<ul><li>a<li><a href='>'>b</a></ul>", ["a", "b"]),
+        ("<head><title>t</title></head><body><h1>h</h1></body>", ["h"]),
+        ("a < b & c > d <3", ["a < b & c > d <3"]),
+        ("<p>cut off &am", ["cut off &am"]),
+    ],
+)
+def test_blocks(page, texts):
+    assert [b.text for b in blocks.blocks_of(page)] == texts
+
+
+def test_held_out_pages(net):
+    draw, good, every = random.Random(99), 0, 0
+    while every < 4000:
+        page, labels = extraction.generated_page(draw)
+        own = blocks.blocks_of(page)
+        if own and len(own) == len(labels):
+            marks = extraction.label_pages(net, extraction.Vectors(own), [len(own)])[0]
+            good, every = good + int((marks == np.array(labels)).sum()), every + len(labels)
+    assert good / every > 0.95
+
+
+def test_gradients_equal_differences():
+    """The hand-written backward pass against finite differences of the loss."""
+    draw = np.random.default_rng(3)
+    net = {k: v.astype(np.float64) for k, v in extraction.new_network().items()}
+    x = draw.normal(0, 1, (2, 4, extraction.INPUT))
+    mask = np.array([[True] * 4, [True, True, False, False]])
+    way = draw.normal(0, 1, (2, 4, extraction.HIDDEN))
+
+    def loss():
+        return float((extraction._forward(net, "f", x @ net["f.x"], mask, False)[0].astype(np.float64) * way).sum())
+
+    kept = extraction._forward(net, "f", x @ net["f.x"], mask, True)[1]
+    grads = extraction._backward(net, "f", x, way, kept)
+    for name, at in (("f.h", (3, 7)), ("f.h", (11, 50)), ("f.c", (25,)), ("f.x", (100, 70))):
+        before = net[name][at]
+        net[name][at] = before + 1e-3
+        high = loss()
+        net[name][at] = before - 1e-3
+        low = loss()
+        net[name][at] = before
+        assert grads[name][at] == pytest.approx((high - low) / 2e-3, rel=0.05, abs=2e-3)
+
+
+def test_pages(spark, net):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = {r.page_id: (r.url, r.text, r.n_chars) for r in extraction.extract(pages, net=net).collect()}
+    assert found == {r.page_id: (r.url, article_of(r.html), len(article_of(r.html))) for r in pages.collect()}
+
+
+def test_other_layouts(net):
+    page = """<html><body><div id="cookie-notice"><p>We use cookies</p></div><header><h2>Site</h2></header>
+    <div class="main-content"><h1>Title here</h1><p>Para one is a long text with several words, and more.</p>
+    <p>Para two &lt;b&gt; also long, as it should be in any page.</p></div>
+    <div class="comments"><p>Nice post</p></div><aside>Related stuff</aside><footer>Copyright</footer></body></html>"""
+    text = "Title here\n\nPara one is a long text with several words, and more.\n\nPara two <b> also long, as it should be in any page."
+    assert extraction.main_texts(net, [page, "", "<<<>>"]) == [text, "", ""]
+
+
+def test_rows_of_every_kind(spark, net):
+    page = "<nav><a href='/x'>Home</a></nav><article><h1>A  title</h1><p>" + "many words here. " * 30_000 + "</p></article><footer>end</footer>"
+    rows = [(1, "u", None, "t", 1), (2, None, "", "t", 1), (None, "u", page, "t", 1), (3, "u", page, "t", 1), (3, "u", page, "t", 1)]
+    found = extraction.extract(spark.createDataFrame(rows, SCHEMA), net=net)
+    assert found.columns == ["page_id", "url", "text", "n_chars"]
+    got = sorted(((r.page_id, r.url, r.n_chars) for r in found.collect()), key=str)
+    n = len("A title\n\n") + len("many words here. " * 30_000) - 1
+    assert got == sorted([(1, "u", 0), (2, None, 0), (None, "u", n), (3, "u", n), (3, "u", n)], key=str)
+    assert extraction.extract(spark.createDataFrame([], SCHEMA), net=net).count() == 0
