@@ -35,13 +35,14 @@ END = "\n"  # stands after the last word; no word holds it
 DISCOUNT = 0.75
 LEAST = 2
 PER_PART = 2_000_000  # tokens of the corpus for each part of the trie
-PER_RANGE = 4_000_000  # words for each part of the vocabulary
+PER_RANGE = 500_000  # words for each part of the vocabulary
+CHUNK = 8 << 20  # bytes of text that a task holds as arrays at once
 STEPS = 4096  # of a quantised logarithm, for each power of ten; 16 bits reach down to 1e-15
 NO_WORD = (1 << 32) - 1
 
 
 def quantised(p: np.ndarray) -> np.ndarray:
-    """Steps of the logarithm, rounded to the smaller probability, so that what sums to one at most still does."""
+    """Steps of the logarithm, rounded to the smaller probability, so that what sums to one sums to no more."""
     return np.clip(np.ceil(-np.log10(np.maximum(p, 1e-15)) * STEPS), 0, 65535).astype(np.uint16)
 
 
@@ -84,8 +85,11 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of all texts as codes, each text closed by the end; the hashes that the codes stand for; where texts begin, with the end."""
     codes, distinct, offsets = coded_words(pc.ascii_lower(texts))
     hashes = hashes_of([*distinct.to_pylist(), END])
-    tokens = np.insert(codes, offsets[1:], len(distinct))
-    return tokens, hashes, offsets + np.arange(len(offsets))
+    ends = offsets + np.arange(len(offsets))
+    tokens, word = np.full(len(codes) + len(texts), len(distinct), dtype=np.int64), np.ones(len(codes) + len(texts), dtype=bool)
+    word[ends[1:] - 1] = False
+    tokens[word] = codes
+    return tokens, hashes, ends
 
 
 @dataclass(frozen=True)
@@ -219,7 +223,7 @@ def held_out(id_col: str) -> Column:
 def _word_counts(texts: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, own in parts_of(batch, text_col):
+            for _, own in parts_of(batch, text_col, CHUNK):
                 tokens, hashes, _ = tokens_of(own)
                 counts = np.bincount(tokens, minlength=len(hashes))
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["hash", "n"])
@@ -289,7 +293,7 @@ def _ngram_blocks(texts: DataFrame, text_col: str, layout: Layout) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary_of(layout)
         for batch in batches:
-            for _, own in parts_of(batch, text_col):
+            for _, own in parts_of(batch, text_col, CHUNK):
                 tokens, hashes, offsets = tokens_of(own)
                 ids = words.ids(hashes)[tokens]
                 ends = offsets[1:] - 1
@@ -346,7 +350,7 @@ def _merge_blocks(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _write_parts(blocks: DataFrame, layout: Layout) -> DataFrame:
-    """Writes the parts of the trie; gives (word, mass): what the pairs of a part take of the word as their context."""
+    """Writes the parts of the trie; gives (word, taken): the discounted counts of the pairs of a part, by their first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary_of(layout)
@@ -363,17 +367,17 @@ def _write_parts(blocks: DataFrame, layout: Layout) -> DataFrame:
             own = place[pair[wanted]]
             p3 = (c[wanted] - DISCOUNT) / total[keep][own]
             children = np.bincount(own, minlength=len(u))
-            left = 1 - np.bincount(own, weights=restored(quantised(p3)), minlength=len(u))
+            left = (total[keep] - np.bincount(own, weights=c[wanted] - DISCOUNT, minlength=len(u))) / total[keep]
             write_arrays(layout.path("part", number), Part.build(u, v, p2, left, children, w[wanted], p3))
-            mass = np.bincount(root, weights=restored(quantised(p2)), minlength=len(roots))
-            yield pa.RecordBatch.from_arrays([pa.array(roots), pa.array(mass)], ["word", "mass"])
+            taken = np.bincount(root, weights=total[keep] - DISCOUNT, minlength=len(roots))
+            yield pa.RecordBatch.from_arrays([pa.array(roots), pa.array(taken)], ["word", "taken"])
 
     # A row without a block for each part, so that every part has its file.
     every = blocks.sparkSession.range(layout.parts).select(F.col("id").alias("part"), F.lit(None).cast("binary").alias("block"))
-    return _by_key(blocks.unionByName(every), layout.parts, "part").mapInArrow(run, "word long, mass double")
+    return _by_key(blocks.unionByName(every), layout.parts, "part").mapInArrow(run, "word long, taken double")
 
 
-def _write_weights(masses: DataFrame, layout: Layout) -> None:
+def _write_weights(takings: DataFrame, layout: Layout) -> None:
     """For each part of the vocabulary, what each word as a context leaves to the shorter one."""
     bases = layout.bases
     own = F.lit(0).cast("long")
@@ -382,17 +386,18 @@ def _write_weights(masses: DataFrame, layout: Layout) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, held in _runs(batches, "range"):
-            left = np.ones(bases[number + 1] - bases[number])
+            counts = vocabulary_of(layout).counts_of(np.arange(bases[number], bases[number + 1]))
+            taken = np.zeros(len(counts))
             for batch in held:
-                left[column(batch, "word").to_numpy() - bases[number]] -= column(batch, "mass").to_numpy()
-            write_arrays(layout.path("weights", number), {"left": quantised(left)})
+                taken[column(batch, "word").to_numpy() - bases[number]] += column(batch, "taken").to_numpy()
+            write_arrays(layout.path("weights", number), {"left": quantised((counts - taken) / counts)})
             yield pa.RecordBatch.from_arrays([pa.array([number])], ["range"])
 
-    summed = masses.groupBy("word").agg(F.sum("mass").alias("mass")).withColumn("range", own)
-    # A row of no mass for each range, so that every range has its file.
+    summed = takings.groupBy("word").agg(F.sum("taken").alias("taken")).withColumn("range", own)
+    # A row that takes nothing for each range, so that every range has its file.
     starts = [(base, 0.0, k) for k, base in enumerate(bases[:-1]) if base < bases[k + 1]]
     if starts:
-        more = masses.sparkSession.createDataFrame(starts, "word long, mass double, range long")
+        more = takings.sparkSession.createDataFrame(starts, "word long, taken double, range long")
         _by_key(summed.unionByName(more), layout.ranges, "range").mapInArrow(run, "range long").collect()
 
 
@@ -401,8 +406,8 @@ def learn(corpus: DataFrame, text_col: str = "text") -> Layout:
     texts = corpus.select(text_col)
     folder = posixpath.join(_shared_uri(corpus, "trie"), "levels")
     layout = _write_words(table_of(_word_counts(texts, text_col), "trie-words"), folder)
-    masses = table_of(_write_parts(_ngram_blocks(texts, text_col, layout), layout), "trie-masses")
-    _write_weights(masses, layout)
+    takings = table_of(_write_parts(_ngram_blocks(texts, text_col, layout), layout), "trie-taken")
+    _write_weights(takings, layout)
     return layout
 
 
@@ -438,7 +443,8 @@ def score_texts(tokens: np.ndarray, hashes: np.ndarray, offsets: np.ndarray, lay
     pair_at = np.full(len(tokens), -1, dtype=np.int64)
     pair_at[second] = number
     context = np.where(first, -1, np.concatenate(([-1], pair_at[:-1])))
-    third = np.flatnonzero((context >= 0) & (place[context] >= 0))
+    third = np.flatnonzero(context >= 0)
+    third = third[place[context[third]] >= 0]
     pair = context[third]
     a3 = np.zeros(len(third))
     asked = np.flatnonzero(own[third] >= 0)
@@ -457,7 +463,7 @@ def score(df: DataFrame, layout: Layout, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in parts_of(batch, text_col):
+            for part, texts in parts_of(batch, text_col, CHUNK):
                 tokens, hashes, offsets = tokens_of(texts)
                 known, base, own = score_texts(tokens, hashes, offsets, layout)
                 yield pa.RecordBatch.from_arrays(
