@@ -105,7 +105,7 @@ def place_pieces(spark: SparkSession, pieces: DataFrame, room: int = ROOM) -> Da
     # The pieces of a length are ranked task by task: what all tasks before have, and the place in its own.
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("length", "task", F.coalesce(F.sum(F.col("last") + 1).over(before), F.lit(0)).alias("start_rank"))
-    ranked = pieces.join(starts, ["length", "task"]).withColumn("rank", F.col("start_rank") + F.col("place"))
+    ranked = pieces.join(starts.hint("merge"), ["length", "task"]).withColumn("rank", F.col("start_rank") + F.col("place"))
     inside = (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank"))
     placed = ranked.join(places.withColumnRenamed("length", "place_length"), (F.col("length") == F.col("place_length")) & inside)
     sequence = F.col("first_sequence") + F.col("rank") - F.col("from_rank")
