@@ -30,7 +30,7 @@ ROUNDS = 4
 SURE = 0.05  # the share of the pool that a view labels in a round
 GRAMS = 512  # buckets of three bytes
 BUCKETS = 64  # of values of each metadata column
-RIDGE = 1.0
+RIDGE = 100.0  # on standardised features
 KEPT_FROM = 0.5
 META = ("lang", "source", "n_chars")
 
