@@ -32,6 +32,7 @@ GRAMS = 512  # buckets of three bytes
 BUCKETS = 64  # of values of each metadata column
 RIDGE = 100.0  # on standardised features
 KEPT_FROM = 0.5
+CHUNK = 2 << 20  # bytes of text that a task holds as arrays at once
 META = ("lang", "source", "n_chars")
 
 
@@ -228,7 +229,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in parts_of(batch, "_text"):
+            for part, texts in parts_of(batch, "_text", CHUNK):
                 views = text_features(texts), meta_features(part, columns)
                 packed = [pa.array([row.astype("<f4").tobytes() for row in view], pa.binary()) for view in views]
                 yield pa.RecordBatch.from_arrays([column(part, "_id"), column(part, "_label"), *packed], ["_id", "_label", "text", "meta"])
@@ -251,7 +252,7 @@ def with_quality(df: DataFrame, model: Model, text_col: str = "text", name: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in parts_of(batch, text_col, 8 << 20):
+            for part, texts in parts_of(batch, text_col, CHUNK):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(part, texts))], [*part.schema.names, name])
 
     return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, DoubleType())]))
