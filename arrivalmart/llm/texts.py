@@ -11,9 +11,6 @@ from pyspark.sql import DataFrame
 
 from arrivalmart.sources.workspace import kept, new_folder
 
-# The white space between words: space, tab, newline, vertical tab, form feed, carriage return.
-BLANKS = " \t\n\x0b\x0c\r"
-
 
 def table_of(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to the shared folder and read back, which cuts the lineage.
@@ -41,7 +38,7 @@ def texts_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return pc.fill_null(texts, "") if texts.null_count else texts
 
 
-def parts_of(batch: pa.RecordBatch, text: str, most: int = 32 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+def parts_of(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Slices of a batch with their texts, about `most` bytes of text each, or one row, so that what is made of them is bounded."""
     texts = texts_of(batch, text)
     if not len(texts):
