@@ -1,15 +1,15 @@
 """A language model of words in an Elias-Fano n-gram trie, learned from a corpus and used to score texts.
 
 The model is an interpolated trigram model with one discount. The lowest order is p1(w) = (c + 1/2) / (N + (V + 1) / 2), one
-unknown word included; above it, p(w | h) = max(c(h w) - D, 0) / c(h) + back(h) * p(w | h'), where n-grams that are seen less
-than `least` times in the whole corpus are left to the shorter context, and back(h) is what the others leave over.
+unknown word included; above it, p(w | h) = max(c(h w) - D, 0) / c(h) + back(h) * p(w | h'), over all n-grams of the
+corpus, those seen once too, and back(h) is what they leave over.
 
 Words are known by 63 bits of the XXH64 of their bytes; a word's id is the rank of its hash in the vocabulary, an Elias-Fano sequence that is cut
 by the hash. N-grams are counted in each task first, and sent on as packed blocks, one for each part of the trie. A part holds the
 n-grams whose first two words hash to it, so no part is hot because of one frequent word. It is a trie: first words, then second
 words, then third words; pointers from a level to the next are monotone, and the words below a context are numbered relative
 to that context's base, so each level is one monotone sequence, searched for a successor. Probabilities are quantised to 16
-bits of their logarithm. The parts are files in the shared folder, mapped into memory by the tasks that score.
+bits of their logarithm, back-off weights kept in 32. The parts are files in the shared folder, mapped into memory by the tasks that score.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from arrivalmart.sources.workspace import hadoop_files, new_folder
 
 END = "\n"  # stands after the last word; no word holds it
 DISCOUNT = 0.75
-LEAST = 2
+LEAST = 1  # n-grams seen less often are not in the trie: none
 PER_PART = 2_000_000  # tokens of the corpus for each part of the trie
 PER_RANGE = 500_000  # words for each part of the vocabulary
 CHUNK = 8 << 20  # bytes of text that a task holds as arrays at once
@@ -50,6 +50,12 @@ def restored(steps: np.ndarray) -> np.ndarray:
     return 10.0 ** (steps.astype(np.float64) / -STEPS)
 
 
+def shortened(weights: np.ndarray) -> np.ndarray:
+    """Back-off weights in 32 bits, rounded down. They stand in every probability, several at once, so they are kept finer than these."""
+    found = weights.astype(np.float32)
+    return np.where(found > weights, np.nextafter(found, np.float32(0)), found)
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of 32-bit numbers, byte by byte, compressed: the high bytes are mostly equal."""
     head = np.array([len(a) for a in arrays], dtype="<u4").tobytes()
@@ -152,7 +158,7 @@ class Vocabulary:
         """What each word as a context leaves to the shorter one; all of it for an id of -1."""
         found = np.ones(len(ids))
         for k, rows, at in self._by_range(ids):
-            found[rows] = restored(self.weights[k][at])
+            found[rows] = self.weights[k][at]
         return found
 
 
@@ -191,7 +197,7 @@ class Part:
         arrays = EliasFano.arrays(roots, "first")
         arrays |= Part._level("second", np.append(begins, len(u)), v)
         arrays |= Part._level("third", np.append(0, np.cumsum(children)), w)
-        return arrays | {"p2": quantised(p2), "left": quantised(left), "p3": quantised(p3)}
+        return arrays | {"p2": quantised(p2), "left": shortened(left), "p3": quantised(p3)}
 
     @staticmethod
     def _level(name: str, pointers: np.ndarray, words: np.ndarray) -> dict:
@@ -390,7 +396,7 @@ def _write_weights(takings: DataFrame, layout: Layout) -> None:
             taken = np.zeros(len(counts))
             for batch in held:
                 taken[column(batch, "word").to_numpy() - bases[number]] += column(batch, "taken").to_numpy()
-            write_arrays(layout.path("weights", number), {"left": quantised((counts - taken) / counts)})
+            write_arrays(layout.path("weights", number), {"left": shortened((counts - taken) / counts)})
             yield pa.RecordBatch.from_arrays([pa.array([number])], ["range"])
 
     summed = takings.groupBy("word").agg(F.sum("taken").alias("taken")).withColumn("range", own)
@@ -437,7 +443,7 @@ def score_texts(tokens: np.ndarray, hashes: np.ndarray, offsets: np.ndarray, lay
         hit = at >= 0
         place[rows[hit]] = at[hit]
         a2[rows[hit]] = restored(trie.arrays["p2"][at[hit]])
-        left[rows[hit]] = restored(trie.arrays["left"][at[hit]])
+        left[rows[hit]] = trie.arrays["left"][at[hit]]
     p[second] = a2[number] + weights[tokens[second - 1]] * p[second]
     # The pair that ends before a token is the one at the place before, if that is in the same text.
     pair_at = np.full(len(tokens), -1, dtype=np.int64)

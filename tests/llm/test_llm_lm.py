@@ -100,6 +100,17 @@ def test_the_model_beats_the_base_on_held_out_documents(spark):
     assert scored.selectExpr("sum(score) > 0.97 * sum(base_score)").first()[0]
 
 
+def test_a_passage_of_one_training_document_is_known(spark):
+    """Its pairs and triples are seen once each; a held-out copy is scored by them, not by the frequencies of its words."""
+    passage = " ".join(f"w{k}" for k in range(200))
+    train, copy = next(k for k in range(99) if not held(k)), next(k for k in range(99) if held(k))
+    rows = [(train, passage), (copy, passage), *[(k, "other words here") for k in range(100, 140) if not held(k)]]
+    found = {r.doc_id: r for r in lm.score_held_out(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # After its first word, each has a quarter of its pair's count and more: D is 3/4.
+    assert found[copy].score > 200 * np.log10(1 / 4) + found[copy].base_score / 200
+    assert found[copy].base_score < 1.2 * found[copy].score
+
+
 def test_no_rows_and_nothing_to_learn_from(spark):
     assert lm.score_held_out(empty(spark)).count() == 0
     only = spark.createDataFrame([(k, "a b") for k in range(40) if held(k)], "doc_id long, text string")
