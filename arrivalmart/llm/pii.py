@@ -21,6 +21,16 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+# How many signs an account number has in the countries of the IBAN registry.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 NEAR = 40  # characters on either side in which a context word counts
 CONTEXT_GAIN = 0.3
 LEAST_SCORE = 0.6
@@ -71,6 +81,32 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
             free = at = domain.end()
 
 
+def iban_ends(text: str, start: int, end: int) -> Iterator[int]:
+    """Where an account number that begins a proposed span may end: at its country's length or with the span, else at any blank, the longest first."""
+    if length := IBAN_LENGTHS.get(text[start : start + 2]):
+        at = start
+        for at in range(start, end):
+            length -= text[at] != " "
+            if not length:
+                break
+        if not length and not (text[at + 1 : at + 2].isascii() and text[at + 1 : at + 2].isalnum()):
+            yield at + 1
+        yield end
+    else:
+        yield end
+        yield from (at for at in range(end - 1, start, -1) if text[at] == " ")
+
+
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers without the signs that follow them; the search goes on behind a number, or behind the first sign of what is none."""
+    at = 0
+    while m := IBAN.search(text, at):
+        found = next((end for end in iban_ends(text, *m.span()) if valid_iban(text[m.start() : end])), 0)
+        if found:
+            yield m.start(), found
+        at = found or m.start() + 1
+
+
 def matches(pattern: re.Pattern) -> Callable[[str], Iterator[tuple[int, int]]]:
     return lambda text: (m.span() for m in pattern.finditer(text))
 
@@ -96,7 +132,7 @@ KINDS = (
     Kind("ip", matches(IP), valid_ip, 0.6, context("ip|address|host|server|client"), "."),
     Kind("card", matches(CARD), valid_card, 0.7, context("card|credit|debit|visa|mastercard|amex|payment"), ""),
     Kind("phone", matches(PHONE), lambda found: 10 <= len(digits_of(found)) <= 15, 0.6, context("phone|tel|call|mobile|fax"), "+"),
-    Kind("iban", matches(IBAN), valid_iban, 0.8, context("iban|account|bank|konto|cuenta|compte"), ""),
+    Kind("iban", ibans, valid_iban, 0.8, context("iban|account|bank|konto|cuenta|compte"), ""),
     # No checksum: it counts only beside a word that says what it is.
     Kind("ssn", matches(SSN), valid_ssn, 0.4, context("ssn|social security|taxpayer"), "-"),
 )

@@ -39,6 +39,23 @@ def test_checksums_and_context(text, kinds):
     assert [k for _, _, k, _ in pii.find_spans(text)] == kinds
 
 
+IBANS = ("BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00")
+
+
+@pytest.mark.parametrize("after", [" BIC: CAIXESBB", " BIC", " 12", " 2024", " ABCD", " BANK AG", " CAIXESBBXXX", "", ", x", " and", "\n1234"])
+@pytest.mark.parametrize("iban", [*IBANS, *[i.replace(" ", "") for i in IBANS]])
+def test_account_numbers_end_before_what_follows(iban, after):
+    text = f"pay {iban}{after}"
+    assert [text[a:b] for a, b, k, _ in pii.find_spans(text) if k == "iban"] == [iban]
+    assert pii.redact(text, [s for s in pii.find_spans(text) if s[2] == "iban"]) == f"pay <IBAN>{after}"
+
+
+def test_account_numbers_in_a_row_and_after_a_false_start():
+    text = f"AB13 3456 7890 {' '.join(IBANS)}"
+    assert [text[a:b] for a, b, k, _ in pii.find_spans(text) if k == "iban"] == list(IBANS)
+    assert [k for *_, k, _ in pii.find_spans("ES91 2100 0418 4502 0005 1333 BIC")] == []
+
+
 def test_context_raises_the_score():
     plain, near = (pii.find_spans(t)[0][3] for t in ("see 10.1.2.3 there", "server 10.1.2.3 there"))
     assert near > plain
