@@ -11,13 +11,17 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = ("script", "style", "template", "noscript", "head", "iframe", "svg", "object", "math")
+RAW = ("script", "style", "iframe")  # their text has no tags, so without end tag they reach to the body or the end
+HIDDEN = ("template", "noscript", "head", "svg", "object", "math")
+FOREIGN = frozenset(("svg", "math"))  # empty where their tag is closed in itself
+IN_HEAD = frozenset("html base basefont bgsound link meta".split())
 # An open element of these ends where another of its group begins.
 CLOSED_BY = {"p": "p", "li": "li", "dt": "dd", "dd": "dd", "tr": "tr", "td": "td", "th": "td", "option": "option"}
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<hidden>" + "|".join(HIDDEN) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=hidden)\s*>|(?=<body[\s>])|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|(?=<body[\s>])|\Z)"
+    r"|<(?P<hidden>" + "|".join(HIDDEN) + r")(?=[\s/>])(?:(?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
@@ -43,6 +47,56 @@ def _tokens(name: str, attributes: str) -> tuple[str, ...]:
     return tuple(words)
 
 
+def _hidden(page: str, tags: list[re.Match]) -> dict[int, tuple[int, int]]:
+    """For each tag that begins a hidden element, the number of the tag to go on with and the place from which text counts again.
+
+    An element without end tag hides nothing, except a head: it ends at the first tag or text that can't stand in it.
+    """
+    found: dict[int, tuple[int, int]] = {}
+    open_: list[tuple[str, int]] = []
+    heads = []
+    for k, m in enumerate(tags):
+        if m["hidden"]:
+            name = m["hidden"].lower()
+            if name == "head":
+                heads.append(k)
+            elif name in FOREIGN and m[0].endswith("/>"):
+                found[k] = k + 1, m.end()
+            else:
+                open_.append((name, k))
+        elif m["end"] and open_:
+            name = m["name"].lower()
+            depth = next((d for d in range(len(open_) - 1, -1, -1) if open_[d][0] == name), None) if name in HIDDEN else None
+            if depth is not None:
+                found[open_[depth][1]] = k + 1, m.end()
+                del open_[depth:]
+    for k in heads:
+        found[k] = _end_of_head(page, tags, k + 1, tags[k].end(), found)
+    return found
+
+
+def _end_of_head(page: str, tags: list[re.Match], k: int, at: int, hidden: dict[int, tuple[int, int]]) -> tuple[int, int]:
+    while True:
+        start = tags[k].start() if k < len(tags) else len(page)
+        if k == len(tags) or page[at:start].strip():
+            return k, at
+        m = tags[k]
+        name = (m["name"] or "").lower()
+        if m["end"] and name == "head":
+            return k + 1, m.end()
+        if k in hidden:
+            k, at = hidden[k]
+            continue
+        if name in ("title", "noframes") and not m["end"]:
+            end = next((n for n in range(k + 1, len(tags)) if tags[n]["end"] and tags[n]["name"].lower() == name), None)
+            if end is None:
+                return k, start
+            k, m = end, tags[end]
+        elif m["hidden"] and m["hidden"].lower() not in ("template", "noscript", "head") or name and not m["end"] and name not in IN_HEAD:
+            return k, start
+        k, at = k + 1, m.end()
+
+
 def blocks_of(page: str) -> list[Block]:
     """All blocks of a whole page in order, hidden elements left out. Broken markup is read as far as it goes; text is never lost to it."""
     found: list[Block] = []
@@ -64,12 +118,19 @@ def blocks_of(page: str) -> list[Block]:
         links -= sum(name == "a" for name, _ in open_[depth:])
         del open_[depth:]
 
-    for m in TAG.finditer(page):
+    tags = list(TAG.finditer(page))
+    hidden, next_ = _hidden(page, tags), 0
+    for number, m in enumerate(tags):
+        if number < next_:
+            continue
         start = m.start()
         if start > at:
             pieces.append(page[at:start])
             linked += (start - at) * (links > 0)
         at = m.end()
+        if number in hidden:
+            next_, at = hidden[number]
+            continue
         closing, name, attributes = m.group("end", "name", "attributes")
         if not name:
             continue

@@ -40,6 +40,35 @@ def test_blocks(page, texts):
     assert [b.text for b in blocks.blocks_of(page)] == texts
 
 
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ('<p>a <svg class="icon"/> b</p><p>c</p>', ["a b", "c"]),
+        ("<p>a</p><math/><p>b</p><svg />c<svg><text>x</text></svg><p>d</p>", ["a", "b", "c", "d"]),
+        ("<head><title>t</title><p>article<p>more", ["article", "more"]),
+        ("<head><title>a <b> t</title><meta charset=x>article <b>bold</b>", ["article bold"]),
+        ("<head><noscript><img src=x></noscript><link href=y><h1>h</h1>", ["h"]),
+        ("<html><head><title>t</title><script>var a = '<p>';</script><style>p {}</style><body><p>b", ["b"]),
+        ("<head><title>t</title>", []),
+        ("<head><title>no end<p>b</p>", ["no end", "b"]),
+        ("<p>a</p><object data=x><p>b</p>", ["a", "b"]),
+        ("<p>a</p><noscript><p>b</p>", ["a", "b"]),
+        ("<p>a</p><template><p>b</p>", ["a", "b"]),
+        ("<p>a</p><svg><p>b</p>", ["a", "b"]),
+        ("<p>a</p><math><p>b</p><math>x</math><p>c</p>", ["a", "b", "c"]),
+        ("<p>a</p><object><object>x</object>y</object><p>b</p>", ["a", "b"]),
+        ("<p>a</p><svg><object>x</svg><p>b</p></object>c", ["a", "b", "c"]),
+        ("<noscript>x</noscript><template><p>y</p></template><svg><title>z</title></svg><p>a</p><iframe>w", ["a"]),
+    ],
+)
+def test_hidden_elements_end(page, texts):
+    assert [b.text for b in blocks.blocks_of(page)] == texts
+
+
+def test_many_hidden_tags_take_linear_time():
+    assert [b.text for b in blocks.blocks_of("<svg><head><object>" * 3000 + "<p>a")] == ["a"]
+
+
 def test_held_out_pages(net):
     draw, good, every = random.Random(99), 0, 0
     while every < 4000:
