@@ -1,8 +1,8 @@
 """Licence notices found by conditional compression and confirmed by their exact wording.
 
 A block of text that mentions licensing is compressed alone and with each template as a raw dictionary. What a template saves says
-how much of its wording the block holds; templates are ranked by it, and the best ones are compared word by
-word. A notice is reported only if that comparison finds it whole, up to a bounded number of plain words, and
+how much of its wording the block holds, whatever else stands there. All that save a small share of what they cost alone are
+compared word by word, the one that saves most first. A notice is reported only if that comparison finds it whole, up to a bounded number of plain words, and
 with every word that tells it from other notices, such as a version, in place.
 """
 
@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame
 from arrivalmart.llm.texts import column, parts_of
 
 LEVEL = 19
-# Templates whose wording is compared, best first; and by how much they must shrink the block to be compared at all.
-COMPARED = 6
+# What a template must save of its own compressed size to be compared word by word; a whole notice saves several times as much.
 LEAST_SAVED = 0.15
 # The share of a notice's words that may be missing, and that may stand between its words.
 MISSING = 0.1
@@ -82,18 +81,19 @@ class Found:
     template: int
     start: int  # code points in the text
     end: int
-    saved: float  # of the block's compressed size
+    saved: float  # of the template's compressed size
     missing: str  # words of the notice that are not there
     added: str  # words between its words
 
 
 @functools.cache
-def _templates() -> list[tuple[str, list[str], zstandard.ZstdCompressor]]:
+def _templates() -> list[tuple[str, list[str], zstandard.ZstdCompressor, int]]:
+    """Name, words, compressor with the text as dictionary, and compressed size of every template."""
     found = []
     for name, text in TEMPLATES:
         own = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         words = [w for w, _, _ in words_of_text(text)]
-        found.append((name, words, zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_content_size=False, write_dict_id=False)))
+        found.append((name, words, zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_content_size=False, write_dict_id=False), len(_alone().compress(text.lower().encode()))))
     return found
 
 
@@ -103,11 +103,11 @@ def _alone() -> zstandard.ZstdCompressor:
 
 
 def ranked(block: str) -> list[tuple[float, int]]:
-    """The share of the block's compressed size that each template saves, best first."""
+    """What each template saves of the block, as a share of what the template costs alone; the one that saves most bytes first."""
     raw = block.lower().encode()
     alone = len(_alone().compress(raw))
-    saved = [(1 - len(compressor.compress(raw)) / alone, -k) for k, (_, _, compressor) in enumerate(_templates())]
-    return [(share, -k) for share, k in sorted(saved, reverse=True)]
+    saved = [(alone - len(compressor.compress(raw)), -k) for k, (_, _, compressor, _) in enumerate(_templates())]
+    return [(size / _templates()[-k][3], -k) for size, k in sorted(saved, reverse=True)]
 
 
 def wording(template: list[str], own: list[tuple[str, int, int]]) -> tuple[int, int, list[str], list[str]] | None:
@@ -136,10 +136,10 @@ def wording(template: list[str], own: list[tuple[str, int, int]]) -> tuple[int,
 def notices_of_block(block: str, offset: int) -> Iterator[Found]:
     """The notices of one block. Once one is confirmed, what stands before and after it is searched for others."""
     own = words_of_text(block)
-    for saved, number in ranked(block)[:COMPARED]:
+    for saved, number in ranked(block):
         if saved < LEAST_SAVED:
-            return
-        name, words, _ = _templates()[number]
+            continue
+        name, words, _, _ = _templates()[number]
         if at := wording(words, own):
             first, last, missing, added = at
             start, end = own[first][1], own[last - 1][2]

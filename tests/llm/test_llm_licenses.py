@@ -40,6 +40,23 @@ def test_every_template_is_found_in_its_own_text():
             assert name in [f.license for f in licenses.notices(f"Words first.\n{text}\nWords last.")], text
 
 
+PROSE = (
+    "The valley lies between two ranges of low hills, and a narrow road follows the river down to the old market town, where boats "
+    "once carried wool and timber to the coast. Few travellers stop there now, though its bridge and chapel are worth an hour of anyone's "
+    "time. In spring the meadows flood, and herons stand along the banks until the water has gone. "
+)
+
+
+@pytest.mark.parametrize("n", [0, 60, 100, 250])
+def test_every_template_is_found_in_a_line_of_prose(n):
+    before, after = PROSE[len(PROSE) - n :] if n else "", PROSE[:n]
+    for name, text in licenses.TEMPLATES:
+        if re.search(licenses.MENTION, text, re.IGNORECASE):
+            found = licenses.notices(f"{before}{text} {after}")
+            assert [f.license for f in found] == [name], (name, text)
+            assert found[0].saved >= licenses.LEAST_SAVED
+
+
 def test_differences_are_told():
     found = licenses.notices("This work is licensed under the new GNU General Public License version 3")[0]
     assert found.license == "GPL-3.0" and found.added == "new" and found.missing == ""
