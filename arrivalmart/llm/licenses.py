@@ -1,9 +1,10 @@
 """Licence notices found by conditional compression and confirmed by their exact wording.
 
-A block of text that mentions licensing is compressed alone and with each template as a raw dictionary. What a template saves says
-how much of its wording the block holds, whatever else stands there. All that save a small share of what they cost alone are
-compared word by word, the one that saves most first. A notice is reported only if that comparison finds it whole, up to a bounded number of plain words, and
-with every word that tells it from other notices, such as a version, in place.
+Every template has words that no notice of it can lack; one of them is its anchor. Around each anchor in a text, a window of the
+words that the notice could take up is compressed alone and with the template as a raw dictionary. Templates that save
+a small share of what they cost alone are compared word by word, and of notices that overlap the one that saves most stays. A
+notice is reported only if that comparison finds it whole, up to a bounded number of plain words, and with every word that
+tells it from other notices, such as a version, in place. Lines don't matter: a notice may be wrapped anywhere.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import difflib
 import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +29,9 @@ LEAST_SAVED = 0.15
 # The share of a notice's words that may be missing, and that may stand between its words.
 MISSING = 0.1
 ADDED = 0.2
-MENTION = r"licen[sc]|copyright|spdx|public domain|permission is hereby|redistribution and use|free software"
-WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
+# A word broken after a hyphen at the end of a line is one word, signs of a comment at the next line's begin left out.
+BROKEN = re.compile(r"-[^\S\n]*\n[\s*#/;%]*")
+WORD = re.compile(r"[^\W_]+(?:(?:[.\-]|-[^\S\n]*\n[\s*#/;%]*)[^\W_]+)*")
 
 # The wording of public notices, by the SPDX name of the licence.
 TEMPLATES = (
@@ -72,7 +75,18 @@ COMMON = frozenset(
 
 
 def words_of_text(text: str) -> list[tuple[str, int, int]]:
-    return [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(text)]
+    return [(BROKEN.sub("-", m[0]).lower(), m.start(), m.end()) for m in WORD.finditer(text)]
+
+
+def anchor_of(words: list[str]) -> str:
+    """The longest of the words that no notice with this wording lacks."""
+    none_missing = int(MISSING * len(words)) == 0
+    return max((w for w in words if none_missing or w not in COMMON), key=len)
+
+
+ANCHORS = tuple(anchor_of([w for w, _, _ in words_of_text(text)]) for _, text in TEMPLATES)
+# The longest part of each, as a word may be broken after a hyphen.
+MENTION = "|".join(sorted({max(re.split("[.-]", w), key=len) for w in ANCHORS}))
 
 
 @dataclass(frozen=True)
@@ -81,7 +95,7 @@ class Found:
     template: int
     start: int  # code points in the text
     end: int
-    saved: float  # of the template's compressed size
+    saved: float  # of the template's compressed size, in the window of the notice
     missing: str  # words of the notice that are not there
     added: str  # words between its words
 
@@ -102,12 +116,19 @@ def _alone() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
 
-def ranked(block: str) -> list[tuple[float, int]]:
-    """What each template saves of the block, as a share of what the template costs alone; the one that saves most bytes first."""
+def saving(block: str, number: int) -> int:
+    """Bytes of the block's compressed size that a template saves."""
     raw = block.lower().encode()
-    alone = len(_alone().compress(raw))
-    saved = [(alone - len(compressor.compress(raw)), -k) for k, (_, _, compressor, _) in enumerate(_templates())]
-    return [(size / _templates()[-k][3], -k) for size, k in sorted(saved, reverse=True)]
+    return len(_alone().compress(raw)) - len(_templates()[number][2].compress(raw))
+
+
+@functools.cache
+def _anchored() -> dict[str, list[tuple[int, int]]]:
+    """For each anchor, the templates that it is the anchor of, and its places among their words."""
+    found: dict[str, list[tuple[int, int]]] = {}
+    for number, (_, words, _, _) in enumerate(_templates()):
+        found.setdefault(ANCHORS[number], []).extend((number, at) for at, w in enumerate(words) if w == ANCHORS[number])
+    return found
 
 
 def wording(template: list[str], own: list[tuple[str, int, int]]) -> tuple[int, int, list[str], list[str]] | None:
@@ -133,70 +154,37 @@ def wording(template: list[str], own: list[tuple[str, int, int]]) -> tuple[int,
     return first, last, missing, added
 
 
-def notices_of_block(block: str, offset: int) -> Iterator[Found]:
-    """The notices of one block. Once one is confirmed, what stands before and after it is searched for others."""
-    own = words_of_text(block)
-    for saved, number in ranked(block):
-        if saved < LEAST_SAVED:
-            continue
-        name, words, _, _ = _templates()[number]
-        if at := wording(words, own):
-            first, last, missing, added = at
-            start, end = own[first][1], own[last - 1][2]
-            yield Found(name, number, offset + start, offset + end, round(saved, 4), " ".join(missing), " ".join(added))
-            for part, begin in ((block[:start], 0), (block[end:], end)):
-                if re.search(MENTION, part, re.IGNORECASE):
-                    yield from notices_of_block(part, offset + begin)
-            return
-
-
-def _blocks(text: str) -> Iterator[tuple[str, int]]:
-    """Candidate blocks: each run of lines that has a mention and, as a notice may be broken over lines, its next two lines.
-
-    A long line is narrowed to the sentences around its mentions, so a block stays near the length of a notice.
-    """
-    lines, at = [], 0
-    for line in text.split("\n"):
-        lines.append((at, line))
-        at += len(line) + 1
-    mentions = [k for k, (_, line) in enumerate(lines) if re.search(MENTION, line, re.IGNORECASE)]
-    reach = -1
-    for k in mentions:
-        if k <= reach:
-            continue
-        reach = k
-        start, line = lines[k]
-        if len(line) > 2 * LONGEST:
-            yield from ((line[a:b], start + a) for a, b in _windows(line))
-            continue
-        # The notice may go on below where the line ends in the middle of it.
-        end = start + len(line)
-        while reach + 1 < len(lines) and not line.rstrip().endswith(".") and len(lines[reach + 1][1]) <= LONGEST and end - start < LONGEST:
-            reach += 1
-            line = lines[reach][1]
-            end = lines[reach][0] + len(line)
-        yield text[start:end], start
-
-
-LONGEST = max(len(text) for _, text in TEMPLATES)
-
-
-def _windows(line: str) -> Iterator[tuple[int, int]]:
-    """Stretches of a long line around its mentions, without overlap."""
-    begin = end = -1
-    for m in re.finditer(MENTION, line, re.IGNORECASE):
-        if m.start() - 80 > end:
-            if begin >= 0:
-                yield begin, end
-            begin = max(0, end, m.start() - 80)
-        end = min(len(line), m.end() + LONGEST)
-    if begin >= 0:
-        yield begin, end
+def candidates(text: str, own: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, int, Found]]:
+    """Every notice around every anchor: bytes saved, its first word and the one after its last, and what is found."""
+    for k, (word, _, _) in enumerate(own):
+        for number, place in _anchored().get(word, ()):
+            name, words, _, size = _templates()[number]
+            more = int(ADDED * len(words))
+            begin, end = max(0, k - place - more), min(len(own), k - place + len(words) + more)
+            window = own[begin:end]
+            held = Counter(w for w, _, _ in window)
+            if sum(min(n, held[w]) for w, n in Counter(words).items()) < (1 - MISSING) * len(words):
+                continue
+            saved = saving(text[window[0][1] : window[-1][2]], number)
+            if saved < LEAST_SAVED * size:
+                continue
+            if at := wording(words, window):
+                first, last, missing, added = at
+                yield saved, begin + first, begin + last, Found(
+                    name, number, window[first][1], window[last - 1][2], round(saved / size, 4), " ".join(missing), " ".join(added)
+                )
 
 
 def notices(text: str) -> list[Found]:
-    """All notices of a whole text, in order."""
-    return [found for block, at in _blocks(text) for found in sorted(notices_of_block(block, at), key=lambda f: f.start)]
+    """All notices of a whole text, in order; of those that share a word, the one that saves most."""
+    every = sorted(candidates(text, words_of_text(text)), key=lambda c: (-c[0], c[1], c[3].template))
+    taken: set[int] = set()
+    found = []
+    for _, first, last, own in every:
+        if taken.isdisjoint(range(first, last)):
+            taken.update(range(first, last))
+            found.append(own)
+    return sorted(found, key=lambda f: f.start)
 
 
 FIELDS = "license string, template int, start long, end long, saved double, missing string, added string"

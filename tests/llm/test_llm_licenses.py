@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import pytest
 from brute import documents, empty
@@ -57,6 +58,39 @@ def test_every_template_is_found_in_a_line_of_prose(n):
             assert found[0].saved >= licenses.LEAST_SAVED
 
 
+def test_every_template_has_a_mention():
+    assert all(re.search(licenses.MENTION, text, re.IGNORECASE) for _, text in licenses.TEMPLATES)
+
+
+@pytest.mark.parametrize("sign", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize("above", ["", "Copyright (C) 2019 The Example Project Developers <dev@example.org>\n\n", f"{PROSE}\n", "A tool\n"])
+@pytest.mark.parametrize("width", [20, 40, 70])
+def test_every_template_is_found_wrapped(sign, above, width):
+    for name, text in licenses.TEMPLATES:
+        lines = [*above.split("\n"), *textwrap.wrap(text, width), "", *textwrap.wrap(PROSE, width)]
+        wrapped = "\n".join(sign + line for line in lines)
+        assert re.search(licenses.MENTION, wrapped, re.IGNORECASE)
+        found = licenses.notices(wrapped)
+        assert [f.license for f in found] == [name], text
+        assert found[0].saved > 1.5 * licenses.LEAST_SAVED
+
+
+def test_notices_broken_over_lines():
+    gpl = """Copyright (C) 2019 The Example Project Developers <dev@example.org>
+This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version."""
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"
+    cc = "This work is\nlicensed under a Creative Commons Attribution 4.0 International License."
+    assert [[f.license for f in licenses.notices(t)] for t in (gpl, mpl, cc)] == [["GPL-2.0-or-later"], ["MPL-2.0"], ["CC-BY-4.0"]]
+
+
+def test_many_notices_in_a_row():
+    own = [licenses.TEMPLATES[k % len(licenses.TEMPLATES)] for k in range(1500)]
+    assert [f.license for f in licenses.notices(" ".join(text for _, text in own))] == [name for name, _ in own]
+
+
 def test_differences_are_told():
     found = licenses.notices("This work is licensed under the new GNU General Public License version 3")[0]
     assert found.license == "GPL-3.0" and found.added == "new" and found.missing == ""
