@@ -1,9 +1,10 @@
 """Quality by co-training: a classifier of what a text holds and one of what is known about its page teach each other.
 
-Each view has a logistic regression. In each round, each labels the rows of a pool of unlabelled documents that it is surest
+Each view has a logistic regression. In each round, each labels the rows of a pool, all unlabelled documents, that it is surest
 about, and these labels are added to what the other learns from. The two are then calibrated on labelled rows that neither
-has learned from, and their log-odds added, less the prior that both contain. Fitting takes bounded samples, chosen
-by a hash of the id; every document is scored, over its whole text, in one pass that moves no rows.
+has learned from, and their log-odds added, less the prior that both contain. The features of the pool are written once; each
+round scores them where they are, counts the scores in fine bins, and takes its shares of the whole pool from these counts. Only the
+labelled rows that are fitted on, given or taught, are a bounded sample, chosen by a hash of the id. Every document is scored, over its whole text, in one pass that moves no rows.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from arrivalmart.llm.texts import bytes_of, coded_words, column, free_name, parts_of
+from arrivalmart.llm.texts import bytes_of, coded_words, column, free_name, parts_of, table_of
 
-# Rows to fit on, at most: labelled ones, and unlabelled ones for the pool.
+# Rows to fit on, at most: labelled ones, and ones that a view has been taught in a round.
 LABELLED = 4_000
-POOL = 4_000
+TAUGHT = 1_000
+BINS = 60_000  # of the scores of a pool, from -30 to 30
 ROUNDS = 4
 SURE = 0.05  # the share of the pool that a view labels in a round
 GRAMS = 512  # buckets of three bytes
@@ -182,33 +184,125 @@ class Model:
 
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, labels: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Views of the same rows; labels 0, 1, or -1 for the pool. Labelled rows whose fold is 0, a fifth, are kept for the calibration."""
+@dataclass
+class Lesson:
+    """What one view labels in a round: rows scored below `low` are bad, above `high` good."""
+
+    teacher: int
+    view: Logistic
+    low: int  # bins
+    high: int
+
+    def labels(self, views: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        bins = bins_of(self.view.raw(views[self.teacher]))
+        return np.where(bins < self.low, 0, np.where(bins > self.high, 1, -1))
+
+
+def bins_of(raw: np.ndarray) -> np.ndarray:
+    return np.floor((np.clip(raw, -30, 29.999999) + 30) * (BINS / 60)).astype(np.int64)
+
+
+def untaught(views: tuple[np.ndarray, np.ndarray], lessons: list[Lesson], teacher: int) -> np.ndarray:
+    """Rows that this teacher has not labelled yet."""
+    waiting = np.ones(len(views[0]), dtype=bool)
+    for lesson in lessons:
+        if lesson.teacher == teacher:
+            waiting &= lesson.labels(views) < 0
+    return waiting
+
+
+class LocalPool:
+    """Unlabelled rows as arrays."""
+
+    def __init__(self, text: np.ndarray, meta: np.ndarray):
+        self.views, self.size = (text, meta), len(text)
+
+    def counts(self, lessons: list[Lesson], teacher: int, view: Logistic) -> np.ndarray:
+        """How many rows that wait for this teacher have scores in each bin."""
+        return np.bincount(bins_of(view.raw(self.views[teacher])[untaught(self.views, lessons, teacher)]), minlength=BINS)
+
+    def taught(self, lessons: list[Lesson], lesson: Lesson) -> tuple[np.ndarray, np.ndarray]:
+        """The other view of the rows of a lesson, and their labels."""
+        rows = np.flatnonzero(untaught(self.views, lessons, lesson.teacher) & (lesson.labels(self.views) >= 0))
+        return self.views[1 - lesson.teacher][rows], lesson.labels(self.views)[rows]
+
+
+def arrays_of(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.stack([np.frombuffer(b, dtype="<f4") for b in batch[n].to_pylist()]).astype(float) for n in ("text", "meta"))
+
+
+class TablePool:
+    """Unlabelled rows as a written table (_id, text, meta); only counts of bins and a bounded sample of taught rows reach the driver."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows, self.size = rows, rows.count()
+
+    def counts(self, lessons: list[Lesson], teacher: int, view: Logistic) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = np.zeros(BINS, dtype=np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    found += LocalPool(*arrays_of(batch)).counts(lessons, teacher, view)
+            own = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(found[own])], ["bin", "n"])
+
+        counted = self.rows.select("text", "meta").mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+        found = np.zeros(BINS, dtype=np.int64)
+        found[counted["bin"].to_numpy()] = counted["n"].to_numpy()
+        return found
+
+    def taught(self, lessons: list[Lesson], lesson: Lesson) -> tuple[np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    views = arrays_of(batch)
+                    labels = lesson.labels(views)
+                    own = pa.array(np.flatnonzero(untaught(views, lessons, lesson.teacher) & (labels >= 0)))
+                    yield pa.RecordBatch.from_arrays(
+                        [column(batch, "_id").take(own), pa.array(labels).take(own), column(batch, ("meta", "text")[lesson.teacher]).take(own)],
+                        ["_id", "label", "other"],
+                    )
+
+        kind = self.rows.schema["_id"].dataType.simpleString()
+        rows = self.rows.mapInArrow(run, f"_id {kind}, label long, other binary")
+        found = rows.orderBy(F.xxhash64("_id"), "_id").limit(TAUGHT).select("label", "other").toArrow()
+        other = [np.frombuffer(b, dtype="<f4") for b in found["other"].to_pylist()]
+        return (np.stack(other).astype(float) if other else np.zeros((0, 0))), found["label"].to_numpy()
+
+
+def co_train(
+    text: np.ndarray, meta: np.ndarray, labels: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS, pool: LocalPool | TablePool | None = None
+) -> Model:
+    """Views of the same rows; labels 0, 1, or -1 for the pool, if none is given. Labelled rows whose fold is 0, a fifth, are kept for the calibration."""
     known = labels >= 0
     held, learn = np.flatnonzero(known & (fold == 0)), np.flatnonzero(known & (fold > 0))
     good = labels[known].mean() if known.any() else 1.0
     prior = math.log((good * known.sum() + 1) / ((1 - good) * known.sum() + 1))
     if min(np.bincount(labels[learn], minlength=2)[:2]) < 2 or min(np.bincount(labels[held], minlength=2)[:2]) < 2:
         return Model(prior)
-    pool = np.flatnonzero(~known)
-    views, taught = (text, meta), ({}, {})
+    pool = pool or LocalPool(text[~known], meta[~known])
+    views, lessons = (text, meta), []
+    more: tuple[list, list] = ([], [])  # what each view has been taught, round by round
 
     def fitted(k: int) -> Logistic:
-        more = np.array(sorted(taught[k]), dtype=int)
-        rows = np.concatenate((learn, more))
-        return Logistic().fit(views[k][rows], np.concatenate((labels[learn], [taught[k][r] for r in more.tolist()])).astype(float))
+        x = np.concatenate([views[k][learn], *[own for own, _ in more[k] if len(own)]])
+        return Logistic().fit(x, np.concatenate([labels[learn], *[own for _, own in more[k]]]).astype(float))
 
     for _ in range(rounds):
         for k in (0, 1):
-            waiting = np.array([r for r in pool.tolist() if r not in taught[1 - k]], dtype=int)
-            if not len(waiting):
+            if not pool.size:
+                continue
+            view = fitted(k)
+            counts = pool.counts(lessons, k, view)
+            if not counts.sum():
                 continue
-            raw = fitted(k).raw(views[k][waiting])
-            order = np.argsort(raw, kind="stable")
-            # As many of either kind as the labelled rows have, if the view is on that side about them.
-            low, high = (max(1, round(SURE * len(pool) * share)) for share in (1 - good, good))
-            taught[1 - k].update({int(r): 0 for r in waiting[order[:low]][raw[order[:low]] < 0]})
-            taught[1 - k].update({int(r): 1 for r in waiting[order[-high:]][raw[order[-high:]] > 0]})
+            # As many of either kind as the labelled rows have, to a bin, if the view is on that side about them.
+            low, high = (max(1, round(SURE * pool.size * share)) for share in (1 - good, good))
+            below = min(int(np.searchsorted(np.cumsum(counts), low)) + 1, BINS // 2)
+            above = max(BINS - 2 - int(np.searchsorted(np.cumsum(counts[::-1]), high)), BINS // 2 - 1)
+            lesson = Lesson(k, view, below, above)
+            more[1 - k].append(pool.taught(lessons, lesson))
+            lessons.append(lesson)
     model = Model(prior, fitted(0), fitted(1))
     for view, x in ((model.text, text), (model.meta, meta)):
         view.calibrate(x[held], labels[held].astype(float))
@@ -216,33 +310,31 @@ def co_train(text: np.ndarray, meta: np.ndarray, labels: np.ndarray, fold: np.nd
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", columns: tuple[str, ...] = META) -> Model:
-    """A model from at most LABELLED labelled and POOL other documents. Labels that are null or not 0 or 1 don't count; of several the lowest does."""
+    """A model from at most LABELLED labelled documents and all others. Labels that are null or not 0 or 1 don't count; of several the lowest does."""
     own = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where("_id IS NOT NULL AND _label IN (0, 1)")
-    own = own.groupBy("_id").agg(F.min("_label").alias("_label"))
-    known = own.orderBy(F.xxhash64("_id"), "_id").limit(LABELLED)
-    others = df.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").join(own.select("_id"), "_id", "left_anti").distinct()
-    pool = others.orderBy(F.xxhash64("_id"), "_id").limit(POOL).select("_id", F.lit(-1).alias("_label"))
-    # A few thousand ids, whatever the size of the tables.
-    chosen = F.broadcast(known.unionByName(pool))
+    own = table_of(own.groupBy("_id").agg(F.min("_label").alias("_label")), "labels-known")
     held = [c for c in columns if c in df.columns]
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *held).join(chosen, "_id")
+    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *held).where("_id IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in parts_of(batch, "_text", CHUNK):
                 views = text_features(texts), meta_features(part, columns)
                 packed = [pa.array([row.astype("<f4").tobytes() for row in view], pa.binary()) for view in views]
-                yield pa.RecordBatch.from_arrays([column(part, "_id"), column(part, "_label"), *packed], ["_id", "_label", "text", "meta"])
+                yield pa.RecordBatch.from_arrays([column(part, "_id"), *packed], ["_id", "text", "meta"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    found = rows.mapInArrow(run, f"_id {kind}, _label int, text binary, meta binary").toArrow()
+    every = table_of(rows.mapInArrow(run, f"_id {kind}, text binary, meta binary"), "features")
+    known = every.join(own, "_id").orderBy(F.xxhash64("_id"), "_id").limit(LABELLED)
+    found = known.select("_id", "_label", "text", "meta").toArrow()
     if not found.num_rows:
         return Model(math.log(1.0), columns=columns)
     ids = np.array([zlib.crc32(str(i).encode()) for i in found["_id"].to_pylist()])
-    text, meta = (np.stack([np.frombuffer(b, dtype="<f4") for b in found[n].to_pylist()]).astype(float) for n in ("text", "meta"))
+    text, meta = arrays_of(found)
+    pool = TablePool(table_of(every.join(own, "_id", "left_anti").select("_id", "text", "meta"), "pool"))
     # Rows come in any order: they are put in one, so that the model is the same each time.
     order = np.lexsort((text[:, 0], ids))
-    model = co_train(text[order], meta[order], found["_label"].to_numpy()[order].astype(int), ids[order] % 5)
+    model = co_train(text[order], meta[order], found["_label"].to_numpy()[order].astype(int), ids[order] % 5, pool=pool)
     model.columns = columns
     return model
 

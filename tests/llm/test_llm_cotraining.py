@@ -61,3 +61,23 @@ def test_views_teach_each_other():
     model = cotraining.co_train(text, meta, labels, np.arange(400) % 5)
     for view, x in ((model.text, text), (model.meta, meta)):
         assert ((view.raw(x) > 0) == truth).mean() > 0.85
+
+
+def test_all_unlabelled_documents_are_the_pool(spark, tables, monkeypatch):
+    """Every unlabelled id is in the pool once, and a pool in a table teaches as one in arrays does."""
+    docs, labels = tables
+    pools = []
+    monkeypatch.setattr(cotraining.TablePool, "__init__", lambda self, rows, plain=cotraining.TablePool.__init__: (plain(self, rows), pools.append(self))[0])
+    docs = docs.where("doc_id % 3 = 0")
+    first = cotraining.fit(docs, labels)
+    unlabelled = docs.join(labels.where("quality IN (0, 1)"), "doc_id", "left_anti")
+    assert [p.size for p in pools] == [unlabelled.count()]
+    rows = pools[0].rows.toArrow()
+    local = cotraining.LocalPool(*cotraining.arrays_of(rows))
+    monkeypatch.setattr(cotraining, "TAUGHT", 10**6)
+    counts = pools[0].counts([], 0, first.text)
+    assert (counts == local.counts([], 0, first.text)).all() and counts.sum() == local.size
+    lesson = cotraining.Lesson(0, first.text, 29_000, 31_000)
+    for before in ([], [cotraining.Lesson(0, first.text, 28_000, 40_000)]):
+        (x, y), (other, label) = pools[0].taught(before, lesson), local.taught(before, lesson)
+        assert sorted(y) == sorted(label) and np.isclose(x.sum(), other.sum()) and 0 < len(y) < local.size
