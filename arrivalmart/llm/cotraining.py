@@ -309,22 +309,30 @@ def co_train(
     return model
 
 
+def one_row_each(rows: DataFrame) -> DataFrame:
+    """Of written rows (_id, _hash, _row, ...) one of each id, that with the least hash; only rows that are left out are joined."""
+    least = rows.groupBy("_id").agg(F.min(F.struct("_hash", "_row")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    spare = rows.select("_id", "_row").join(least, "_id").where("_row <> least._row").select("_row")
+    return rows.join(spare, "_row", "left_anti")
+
+
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", columns: tuple[str, ...] = META) -> Model:
-    """A model from at most LABELLED labelled documents and all others. Labels that are null or not 0 or 1 don't count; of several the lowest does."""
+    """A model from at most LABELLED labelled documents and all others, one row of each id. Labels that are null or not 0 or 1 don't count; of several the lowest does."""
     own = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where("_id IS NOT NULL AND _label IN (0, 1)")
     own = table_of(own.groupBy("_id").agg(F.min("_label").alias("_label")), "labels-known")
     held = [c for c in columns if c in df.columns]
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *held).where("_id IS NOT NULL")
+    rows = rows.withColumns({"_hash": F.xxhash64("_text", *held), "_row": F.monotonically_increasing_id()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in parts_of(batch, "_text", CHUNK):
                 views = text_features(texts), meta_features(part, columns)
                 packed = [pa.array([row.astype("<f4").tobytes() for row in view], pa.binary()) for view in views]
-                yield pa.RecordBatch.from_arrays([column(part, "_id"), *packed], ["_id", "text", "meta"])
+                yield pa.RecordBatch.from_arrays([*[column(part, n) for n in ("_id", "_hash", "_row")], *packed], ["_id", "_hash", "_row", "text", "meta"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    every = table_of(rows.mapInArrow(run, f"_id {kind}, text binary, meta binary"), "features")
+    every = one_row_each(table_of(rows.mapInArrow(run, f"_id {kind}, _hash long, _row long, text binary, meta binary"), "features"))
     known = every.join(own, "_id").orderBy(F.xxhash64("_id"), "_id").limit(LABELLED)
     found = known.select("_id", "_label", "text", "meta").toArrow()
     if not found.num_rows:

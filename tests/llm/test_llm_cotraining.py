@@ -69,9 +69,12 @@ def test_all_unlabelled_documents_are_the_pool(spark, tables, monkeypatch):
     pools = []
     monkeypatch.setattr(cotraining.TablePool, "__init__", lambda self, rows, plain=cotraining.TablePool.__init__: (plain(self, rows), pools.append(self))[0])
     docs = docs.where("doc_id % 3 = 0")
-    first = cotraining.fit(docs, labels)
-    unlabelled = docs.join(labels.where("quality IN (0, 1)"), "doc_id", "left_anti")
-    assert [p.size for p in pools] == [unlabelled.count()]
+    one = docs.orderBy("doc_id").limit(1)
+    repeated = docs.unionByName(one.crossJoin(spark.range(200)).drop("id"))
+    first, second = cotraining.fit(docs, labels), cotraining.fit(repeated, labels)
+    unlabelled = docs.join(labels.where("quality IN (0, 1)"), "doc_id", "left_anti").select("doc_id").distinct()
+    assert [p.size for p in pools] == [unlabelled.count()] * 2
+    assert np.allclose(first.text.weights, second.text.weights) and first.prior == second.prior
     rows = pools[0].rows.toArrow()
     local = cotraining.LocalPool(*cotraining.arrays_of(rows))
     monkeypatch.setattr(cotraining, "TAUGHT", 10**6)
