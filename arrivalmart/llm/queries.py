@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivalmart.llm import bitslice, bpe, cotraining, extraction, licenses, lm, packing, pii, rules, simhash
+from arrivalmart.llm import bitslice, bpe, cotraining, extraction, licenses, lm, packing, periodic, permutation, pii, rules, simhash, whitening
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -63,6 +63,20 @@ def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_held_out(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # A deviation beyond 64 bits is null here and whole in the further column.
+    return found.withColumns({"deviation_exact": F.col("deviation"), "deviation": F.col("deviation").try_cast("bigint")})
+
+
+def op12_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.nearest_rows(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.with_runs(table(spark, sf_dir, "documents"), plan=periodic.planted))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -74,4 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_pii": op9_pii,
     "op10_ngram_trie": op10_ngram_trie,
+    "op11_whitening": op11_whitening,
+    "op12_permutation_index": op12_permutation_index,
+    "op13_periodic_runs": op13_periodic_runs,
 }

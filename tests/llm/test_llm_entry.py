@@ -22,7 +22,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([name for name in names if name.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(oracle.TEXTS) <= set(names)
 
@@ -48,6 +48,9 @@ CONTRACTS = {
     "op8_topk": "query_id bigint, rank int, vec_id bigint, score bigint",
     "op9_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
     "op10_ngram_trie": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+    "op11_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
+    "op12_permutation_index": "query_id bigint, rank int, vec_id bigint, score double",
+    "op13_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
 }
 
 
