@@ -132,8 +132,9 @@ def load_months(
     paths: Paths,
     months: Iterable[Month],
     layout: str = "partitioned",
+    store: str = warehouse.CLUSTERED,
 ) -> None:
-    """Load months from staged visits into the warehouse: profile, count, check, publish.
+    """Load months from staged visits into the warehouse: profile, count, check, publish. ``store`` is the layout of the fact.
 
     The staged text is parsed once, into a table of the work folder. All months go through the same two passes over that
     table, one for every profile and check measure and one for the fact, each reading its own columns. The fact is written to a work folder first and published
@@ -173,7 +174,7 @@ def load_months(
 
         dates = dimensions.date_dim(dimensions.months_table(spark, wanted))
         warehouse.write_date_dim(dates, paths.date)
-        warehouse.write_fact(counted, paths.visit_fact, wanted)
+        warehouse.write_fact(counted, paths.visit_fact, wanted, store)
 
 
 def check_rows(spark: SparkSession, paths: Paths, months: Iterable[Month]) -> DataFrame:

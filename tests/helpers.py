@@ -70,3 +70,21 @@ def as_set(df, *columns):
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _scans(plan):
+    """The file scans of an executed plan, adaptive stages opened."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _scans(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _scans(plan.plan())
+    children = plan.children()
+    found = [s for k in range(children.size()) for s in _scans(children.apply(k))]
+    return [*found, plan] if name == "FileSourceScanExec" else found
+
+
+def scanned_rows(df):
+    """Rows that the file scans of a query give out while it runs, which leaves out row groups and pages that are skipped."""
+    df.collect()
+    return sum(s.metrics().apply("numOutputRows").value() for s in _scans(df._jdf.queryExecution().executedPlan()))
