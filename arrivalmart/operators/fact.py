@@ -95,12 +95,16 @@ def add_bands(df: DataFrame) -> DataFrame:
     return add_band(add_band(stay, "duration_days", DURATION), "i94bir", AGE)
 
 
+def keyed(banded: DataFrame) -> DataFrame:
+    """The fact keys of every visit."""
+    renamed = {"arrivaldate_id": "arrdate", "year": "i94yr", "month": "i94mon"}
+    return banded.select(*[F.col(renamed.get(key, key)).alias(key) for key in FACT_KEYS])
+
+
 def build_fact(banded: DataFrame) -> DataFrame:
     """Visitors per combination of the fact keys.
 
     Rows are counted, not dates, so a visit without arrival date is counted too. The count combines
     map-side before the one shuffle on all fourteen keys, which no single value can dominate.
     """
-    renamed = {"arrivaldate_id": "arrdate", "year": "i94yr", "month": "i94mon"}
-    keys = [F.col(renamed.get(key, key)).alias(key) for key in FACT_KEYS]
-    return banded.groupBy(*keys).agg(F.count(F.lit(1)).alias("visitorcount"))
+    return keyed(banded).groupBy(*FACT_KEYS).agg(F.count(F.lit(1)).alias("visitorcount"))

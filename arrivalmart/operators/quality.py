@@ -136,14 +136,20 @@ def missing_measures(schema: T.StructType) -> list[Column]:
     ]
 
 
+def whole_number(schema: T.StructType, name: str) -> str:
+    """A column as a number, SQL text; text is read as a whole number where it is one."""
+    value = _name(name)
+    if isinstance(schema[name].dataType, T.StringType):
+        fits = f"{value} RLIKE r'{CASTABLE['bigint']}'"
+        value = f"try_cast(regexp_replace(CASE WHEN {fits} THEN {value} END, r'{FRACTION}', '') AS BIGINT)"
+    return value
+
+
 def numeric_measures(schema: T.StructType, columns: Iterable[str]) -> list[Column]:
-    """Measures of number columns; text is read as a whole number where it is one."""
+    """Measures of number columns."""
     measures = []
     for name in columns:
-        value = _name(name)
-        if isinstance(schema[name].dataType, T.StringType):
-            fits = f"{value} RLIKE r'{CASTABLE['bigint']}'"
-            value = f"try_cast(regexp_replace(CASE WHEN {fits} THEN {value} END, r'{FRACTION}', '') AS BIGINT)"
+        value = whole_number(schema, name)
         parts = {
             "count": f"count({value})",
             "mean": f"avg({value})",

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivalmart.functions.bands import AGE, DURATION
-from arrivalmart.operators import dimensions, fact, marts, quality
-from arrivalmart.sources import lookups, staging, warehouse
+from arrivalmart.functions.codes import UNKNOWN
+from arrivalmart.operators import differences, dimensions, fact, marts, quality, states
+from arrivalmart.sources import ledger, lookups, staging, warehouse
 from arrivalmart.sources.staging import Month
 from arrivalmart.sources.workspace import kept, work_folder
 
@@ -33,6 +34,8 @@ LAYOUT = {
     "port": "warehouse/port",
     "age": "warehouse/age",
     "duration": "warehouse/duration",
+    "states_of_months": "warehouse/profile",
+    "ledger": "warehouse/ledger",
     "logs": "logs",
     "extracts": "extracts",
 }
@@ -52,6 +55,8 @@ class Paths:
     port: str
     age: str
     duration: str
+    states_of_months: str
+    ledger: str
     logs: str
     extracts: str
 
@@ -123,6 +128,7 @@ def _measures(banded: DataFrame, columns: Sequence[str]) -> DataFrame:
         *quality.numeric_measures(schema, quality.NUMERIC_COLUMNS),
         *quality.string_measures(quality.STRING_COLUMNS),
         *quality.band_measures(BANDED_VALUES),
+        *states.state_measures(schema),
         quality.hashed(),
     )
 
@@ -174,9 +180,52 @@ def load_months(
 
         dates = dimensions.date_dim(dimensions.months_table(spark, wanted))
         warehouse.write_date_dim(dates, paths.date)
+        warehouse.write_states(states.states_of(measured, banded.columns, BY_MONTH), paths.states_of_months)
         warehouse.write_fact(counted, paths.visit_fact, wanted, store)
 
 
+def load_changed(
+    spark: SparkSession, paths: Paths, layout: str = "partitioned", store: str = warehouse.CLUSTERED
+) -> ledger.Changes:
+    """Load the months whose staged files hold something else than at the last call; without any nothing is read.
+
+    The ledger is written after the months are published, so a load that stops before is done again. A month that is no longer staged stays in the
+    warehouse and is named in ``gone``.
+    """
+    with work_folder(spark, "ledger") as work:
+        found = ledger.changes(spark, paths.staged, paths.ledger, layout)
+        if found.changed or found.touched:
+            rows = kept(found.rows, work)
+            if found.changed:
+                load_months(spark, paths, found.changed, layout, store)
+            ledger.write_ledger(rows, paths.ledger)
+    return found
+
+
+def differing_groups(spark: SparkSession, paths: Paths, months: Iterable[Month], layout: str = "partitioned") -> DataFrame:
+    """The groups of the published fact whose visitors differ from the staged visits of some months, with either number.
+
+    left_rows are the visits staged, right_rows the visitors stored. Both sides are narrowed by the day of arrival.
+    """
+    wanted = sorted(set(months))
+    visits = staging.read_visits(spark, paths.staged, wanted, layout)
+    banded = fact.add_bands(fact.denormalise(visits, read_lookups(spark, paths), citizenship=False))
+    stored = warehouse.read_fact(spark, paths.visit_fact, wanted)
+    state = F.when(F.col("arrivalstate_abbr") != "", F.col("arrivalstate_abbr")).otherwise(F.lit(UNKNOWN))
+    grouped = fact.keyed(banded).withColumn("arrivalstate_abbr", state)
+    return differences.differing_rows(grouped, stored, "arrivaldate_id", (None, "visitorcount"))
+
+
+def profile_months(
+    spark: SparkSession, paths: Paths, months: Iterable[Month] | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """The profile of all visits of the months loaded, or of those named, from their stored states; no visit is read."""
+    stored = spark.read.parquet(paths.states_of_months)
+    if months is not None:
+        stored = stored.where(staging.in_months(F.col("year"), F.col("month"), months))
+    return states.profile(states.merge_states(stored, by), by)
+
+
 def check_rows(spark: SparkSession, paths: Paths, months: Iterable[Month]) -> DataFrame:
     """Compare the manifest with what the published star holds, log it, fail on a difference.
 

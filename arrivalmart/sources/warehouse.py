@@ -197,5 +197,11 @@ def write_date_dim(dates: DataFrame, path: str) -> None:
     )
 
 
+def write_states(states: DataFrame, path: str) -> None:
+    """Replace the profile states of the months given, keep those of other months."""
+    out = states.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy("year", "month").parquet(path)
+
+
 def read_date_dim(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DATE_DIM_SCHEMA).parquet(path)

@@ -231,6 +231,41 @@ JOIN (SELECT year, month, count(*) AS fact_rows, CAST(sum(visitorcount) AS BIGIN
       FROM fact GROUP BY 1, 2) f ON b.year = f.year AND b.month = f.month"""
 
 
+def _merged_profile() -> str:
+    """A row for each year and field, over all its visits at once."""
+    none = {"number": "CAST(NULL AS BIGINT)", "text": "CAST(NULL AS VARCHAR)", "double": "CAST(NULL AS DOUBLE)"}
+
+    def row(c: str) -> str:
+        number, text, date = c in NUMERIC_COLUMNS, c in STRING_COLUMNS, c in DATE_COLUMNS
+        unknown = f"count(*) FILTER (WHERE {c} = 'unknown')" if c in TEXT_COLUMNS else "0"
+        empty = f"count(*) FILTER (WHERE {c} = '')" if c in TEXT_COLUMNS else "0"
+        value = f"TRY_CAST({c} AS INTEGER)" if c in TEXT_COLUMNS else c
+        minus = "0" if date else f"count(*) FILTER (WHERE {value} = -1)"
+        return f"""SELECT i94yr AS year, '{c}' AS field, count(*) AS row_count, CAST(0 AS BIGINT) AS isnan,
+  count(*) FILTER (WHERE {c} IS NULL) AS isnull, CAST({empty} AS BIGINT) AS emptystring, CAST({unknown} AS BIGINT) AS unknownstring,
+  CAST({minus} AS BIGINT) AS minus_one, CAST({f"count({c})" if number else "0"} AS BIGINT) AS numbers,
+  CAST({f"count({c})" if text else "0"} AS BIGINT) AS texts,
+  {f"round(avg({c}), 4)" if number else none["double"]} AS mean, {f"round(stddev_samp({c}), 4)" if number else none["double"]} AS stddev,
+  {f"CAST(min({c}) AS BIGINT)" if number else none["number"]} AS lowest, {f"CAST(max({c}) AS BIGINT)" if number else none["number"]} AS highest,
+  {f"min({c})" if text else none["text"]} AS text_min, {f"max({c})" if text else none["text"]} AS text_max
+FROM banded GROUP BY i94yr"""
+
+    return " UNION ALL ".join(map(row, BANDED_COLUMNS))
+
+
+DIFFERING = """SELECT * FROM (
+  SELECT cicid, gender, CAST(1 AS BIGINT) AS left_rows,
+    CAST(CASE WHEN cicid % 997 = 0 THEN 0 WHEN cicid % 2003 = 5 THEN 0 WHEN cicid % 1009 = 1 THEN 2 ELSE 1 END AS BIGINT) AS right_rows
+  FROM visits)
+WHERE left_rows <> right_rows
+UNION ALL SELECT cicid, 'X', 0, CASE WHEN cicid % 1009 = 1 THEN 2 ELSE 1 END FROM visits WHERE cicid % 2003 = 5 AND cicid % 997 <> 0"""
+
+CHANGED = f"""SELECT 1 AS step, i94yr AS year, i94mon AS month, 'changed' AS status FROM (SELECT DISTINCT i94yr, i94mon FROM visits)
+UNION ALL SELECT CASE WHEN s.step = 2 THEN 2 ELSE 3 END, i94yr, i94mon, CASE WHEN s.step = 2 THEN 'touched' ELSE 'changed' END
+FROM (SELECT DISTINCT i94yr, i94mon FROM visits WHERE i94yr = {queries.RELOADED_YEAR}), (VALUES (2), (3)) s(step)
+WHERE s.step = 2 OR i94mon <= 2"""
+
+
 def _band_usage(table: str, id_column: str, label: str, fact_column: str) -> str:
     return f"""SELECT b.{id_column}, b.{label},
   CAST(coalesce(sum(f.visitorcount), 0) AS BIGINT) AS visitorcount
@@ -379,6 +414,9 @@ FROM purposes p LEFT JOIN visits v ON v.i94visa = p.purpose_code GROUP BY ALL"""
         "missing_profile_monthly": _missing((("i94yr", "year"), ("i94mon", "month"))),
         "numeric_profile": _numeric(),
         "string_profile": _string(),
+        "merged_profile": _merged_profile(),
+        "differing_rows": DIFFERING,
+        "changed_months": CHANGED,
         "reconcile": """SELECT rows_in, fact_rows, visitors,
   round(100.0 * CAST(rows_in - fact_rows AS DOUBLE) / rows_in, 6) AS reduction_pct,
   rows_in = visitors AS matches

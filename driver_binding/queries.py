@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from arrivalmart.functions.bands import AGE, DURATION, Bands
 from arrivalmart.functions.codes import MISSING, UNKNOWN, VISIT_COLUMNS, VISIT_FIELDS
 from arrivalmart.functions.sizing import broadcast_checked
-from arrivalmart.operators import dimensions, fact, marts, quality
+from arrivalmart.operators import differences, dimensions, fact, marts, quality, states
 from arrivalmart.plans import jobs
-from arrivalmart.sources import lookups, staging, warehouse
+from arrivalmart.sources import ledger, lookups, staging, warehouse
 from arrivalmart.sources.workspace import kept, new_folder, work_folder
 from driver_binding import views
 
@@ -366,6 +366,49 @@ def string_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.string_profile(banded_of(spark, sf_dir))
 
 
+def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of every field and year, merged from the stored states of its months."""
+    path = new_folder(spark, "states")
+    keyed = banded_of(spark, sf_dir).withColumns({"year": F.col("i94yr"), "month": F.col("i94mon")})
+    warehouse.write_states(states.profile_states(keyed, ("year", "month")), path)
+    by_year = states.profile(states.merge_states(spark.read.parquet(path), ("year",)), ("year",))
+    return by_year.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")}).withColumnsRenamed(
+        {"rows": "row_count", "nan_as_-1": "minus_one"}
+    )
+
+
+def differing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits against a copy with some lost, some doubled and some altered; both are clustered by their id."""
+    kept_as = {name: new_folder(spark, name) for name in ("left", "right")}
+    visits = visits_of(spark, sf_dir)
+    visits.repartitionByRange("cicid").sortWithinPartitions("cicid").write.parquet(kept_as["left"])
+    left = spark.read.parquet(kept_as["left"])
+    copies = F.when(F.col("cicid") % 997 == 0, 0).when(F.col("cicid") % 1009 == 1, 2).otherwise(1)
+    altered = F.when(F.col("cicid") % 2003 == 5, F.lit("X")).otherwise(F.col("gender"))
+    right = left.withColumn("gender", altered).withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("copy")
+    right.repartitionByRange("cicid").sortWithinPartitions("cicid").write.parquet(kept_as["right"])
+    return differences.differing_rows(left, spark.read.parquet(kept_as["right"]), "cicid").select("cicid", "gender", "left_rows", "right_rows")
+
+
+def changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a ledger of staged files finds at first, after a year is staged again as it was, and after a visit of each of its first months is lost."""
+    staged, known = new_folder(spark, "staged"), new_folder(spark, "ledger")
+    visits = visits_of(spark, sf_dir)
+    year = visits.where(F.col("i94yr") == RELOADED_YEAR)
+    some = year.where(F.col("i94mon") <= 2)
+    gone = some.groupBy("i94mon").agg(F.min("cicid").alias("cicid")).select("cicid")
+    found = []
+    for step, rows in ((1, visits), (2, year), (3, some.join(gone, "cicid", "left_anti").select(*visits.columns))):
+        staging.write_staged(rows, staged, clustered=False)
+        seen = ledger.changes(spark, staged, known)
+        for status in ("changed", "touched", "gone"):
+            found += [(step, *month, status) for month in getattr(seen, status)]
+        if seen.changed or seen.touched:
+            with work_folder(spark, "seen") as work:
+                ledger.write_ledger(kept(seen.rows, work), known)
+    return spark.createDataFrame(found, "step int, year int, month int, status string")
+
+
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.reconcile(visits_of(spark, sf_dir), visit_fact(spark, sf_dir))
     return report.withColumn("reduction_pct", F.round("reduction_pct", 6))
@@ -487,6 +530,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_profile_monthly": missing_profile_monthly,
     "numeric_profile": numeric_profile,
     "string_profile": string_profile,
+    "merged_profile": merged_profile,
+    "differing_rows": differing_rows,
+    "changed_months": changed_months,
     "reconcile": reconcile,
     "reconcile_bands": reconcile_bands,
     "row_check": row_check,
