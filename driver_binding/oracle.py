@@ -241,9 +241,9 @@ def _merged_profile() -> str:
         empty = f"count(*) FILTER (WHERE {c} = '')" if c in TEXT_COLUMNS else "0"
         value = f"TRY_CAST({c} AS INTEGER)" if c in TEXT_COLUMNS else c
         minus = "0" if date else f"count(*) FILTER (WHERE {value} = -1)"
-        return f"""SELECT i94yr AS year, '{c}' AS field, count(*) AS row_count, CAST(0 AS BIGINT) AS isnan,
-  count(*) FILTER (WHERE {c} IS NULL) AS isnull, CAST({empty} AS BIGINT) AS emptystring, CAST({unknown} AS BIGINT) AS unknownstring,
-  CAST({minus} AS BIGINT) AS minus_one, CAST({f"count({c})" if number else "0"} AS BIGINT) AS numbers,
+        return f"""SELECT i94yr AS year, '{c}' AS field, count(*) AS row_count, CAST(0 AS BIGINT) AS nan_count,
+  count(*) FILTER (WHERE {c} IS NULL) AS null_count, CAST({empty} AS BIGINT) AS empty_count, CAST({unknown} AS BIGINT) AS unknown_count,
+  CAST({minus} AS BIGINT) AS minus_one_count, CAST({f"count({c})" if number else "0"} AS BIGINT) AS numbers,
   CAST({f"count({c})" if text else "0"} AS BIGINT) AS texts,
   {f"round(avg({c}), 4)" if number else none["double"]} AS mean, {f"round(stddev_samp({c}), 4)" if number else none["double"]} AS stddev,
   {f"CAST(min({c}) AS BIGINT)" if number else none["number"]} AS lowest, {f"CAST(max({c}) AS BIGINT)" if number else none["number"]} AS highest,

@@ -373,7 +373,14 @@ def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.write_states(states.profile_states(keyed, ("year", "month")), path)
     by_year = states.profile(states.merge_states(spark.read.parquet(path), ("year",)), ("year",))
     return by_year.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")}).withColumnsRenamed(
-        {"rows": "row_count", "nan_as_-1": "minus_one"}
+        {
+            "rows": "row_count",
+            "isnan": "nan_count",
+            "isnull": "null_count",
+            "emptystring": "empty_count",
+            "unknownstring": "unknown_count",
+            "nan_as_-1": "minus_one_count",
+        }
     )
 
 
