@@ -95,14 +95,37 @@ def dense_features(texts: pa.Array) -> np.ndarray:
     )
 
 
-def text_features(texts: pa.Array) -> np.ndarray:
-    """Dense measures and the shares of hashed byte triples of each whole text."""
+def gram_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """How many byte triples of each whole text are in each bucket, and how many it has; a long text is counted slice by slice."""
     data, offsets = bytes_of(texts)
-    codes = _gram_codes(data)
-    inside, counts = _gram_places(offsets, len(data))
-    owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    grams = np.bincount(owner[inside] * GRAMS + codes[inside], minlength=len(texts) * GRAMS).reshape(len(texts), GRAMS)
-    return np.concatenate((dense_features(texts), np.sqrt(grams / counts[:, None])), axis=1)
+    inside, totals = _gram_places(offsets, len(data))
+    found = np.zeros(len(texts) * GRAMS, dtype=np.int64)
+    for at in range(0, len(data), CHUNK):
+        own = inside[at : at + CHUNK]
+        codes = _gram_codes(data[at : at + CHUNK + 2])[: len(own)]
+        owner = np.searchsorted(offsets, np.arange(at, at + len(own)), side="right") - 1 if len(texts) > 1 else 0
+        found += np.bincount((owner * GRAMS + codes)[own], minlength=len(found))
+    return found.reshape(len(texts), GRAMS), totals
+
+
+def joined_features(dense: np.ndarray, grams: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Dense measures and the shares of hashed byte triples."""
+    return np.concatenate((dense, np.sqrt(grams / totals[:, None])), axis=1)
+
+
+def text_features(texts: pa.Array) -> np.ndarray:
+    """The features of each whole text."""
+    return joined_features(dense_features(texts), *gram_counts(texts))
+
+
+def packed_counts(row: np.ndarray) -> bytes:
+    """Counts by the least width that holds all of them, the width first."""
+    width = next(w for w in (1, 2, 4, 8) if row.max() < 1 << 8 * w)
+    return bytes([width]) + row.astype(f"<u{width}").tobytes()
+
+
+def unpacked_counts(packed: list[bytes]) -> np.ndarray:
+    return np.stack([np.frombuffer(p, dtype=f"<u{p[0]}", offset=1).astype(np.float64) for p in packed])
 
 
 def meta_features(batch: pa.RecordBatch, columns: tuple[str, ...]) -> np.ndarray:
@@ -155,7 +178,8 @@ class Logistic:
         return self
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return (x - self.mean) / self.scale @ self.weights[:-1] + self.weights[-1]
+        own = self.weights[:-1] / self.scale
+        return x @ own + (self.weights[-1] - self.mean @ own)
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         """Platt's scaling on rows that weren't learned from, with his softened targets."""
@@ -227,47 +251,60 @@ class LocalPool:
         return self.views[1 - lesson.teacher][rows], lesson.labels(self.views)[rows]
 
 
-def arrays_of(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.stack([np.frombuffer(b, dtype="<f4") for b in batch[n].to_pylist()]).astype(float) for n in ("text", "meta"))
+STORED = "dense binary, grams binary, n_grams long"
+SCORED = 4096  # rows of the pool that a task holds as arrays at once
+
+
+def arrays_of(rows: pa.RecordBatch | pa.Table, columns: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of stored rows: dense measures, counts of triples, and the metadata as they are."""
+    dense = np.frombuffer(b"".join(rows["dense"].to_pylist()), dtype="<f8").reshape(rows.num_rows, -1)
+    batch = rows.combine_chunks().to_batches()[0] if isinstance(rows, pa.Table) else rows
+    return joined_features(dense, unpacked_counts(rows["grams"].to_pylist()), rows["n_grams"].to_numpy()), meta_features(batch, columns)
+
+
+def slices_of(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[pa.RecordBatch, tuple[np.ndarray, np.ndarray]]]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SCORED):
+            part = batch.slice(at, SCORED)
+            yield part, arrays_of(part, columns)
 
 
 class TablePool:
-    """Unlabelled rows as a written table (_id, text, meta); only counts of bins and a bounded sample of taught rows reach the driver."""
+    """Unlabelled rows as a written table (_id, STORED, metadata); only counts of bins and a bounded sample of taught rows reach the driver."""
 
-    def __init__(self, rows: DataFrame):
-        self.rows, self.size = rows, rows.count()
+    def __init__(self, rows: DataFrame, columns: tuple[str, ...]):
+        self.rows, self.size, self.columns = rows, rows.count(), columns
 
     def counts(self, lessons: list[Lesson], teacher: int, view: Logistic) -> np.ndarray:
+        columns = self.columns
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = np.zeros(BINS, dtype=np.int64)
-            for batch in batches:
-                if batch.num_rows:
-                    found += LocalPool(*arrays_of(batch)).counts(lessons, teacher, view)
+            for _, views in slices_of(batches, columns):
+                found += LocalPool(*views).counts(lessons, teacher, view)
             own = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(found[own])], ["bin", "n"])
 
-        counted = self.rows.select("text", "meta").mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+        counted = self.rows.drop("_id").mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
         found = np.zeros(BINS, dtype=np.int64)
         found[counted["bin"].to_numpy()] = counted["n"].to_numpy()
         return found
 
     def taught(self, lessons: list[Lesson], lesson: Lesson) -> tuple[np.ndarray, np.ndarray]:
+        columns = self.columns
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    views = arrays_of(batch)
-                    labels = lesson.labels(views)
-                    own = pa.array(np.flatnonzero(untaught(views, lessons, lesson.teacher) & (labels >= 0)))
-                    yield pa.RecordBatch.from_arrays(
-                        [column(batch, "_id").take(own), pa.array(labels).take(own), column(batch, ("meta", "text")[lesson.teacher]).take(own)],
-                        ["_id", "label", "other"],
-                    )
+            for part, views in slices_of(batches, columns):
+                labels = lesson.labels(views)
+                own = np.flatnonzero(untaught(views, lessons, lesson.teacher) & (labels >= 0))
+                other = [row.tobytes() for row in views[1 - lesson.teacher][own].astype("<f8")]
+                yield pa.RecordBatch.from_arrays([column(part, "_id").take(pa.array(own)), pa.array(labels[own]), pa.array(other, pa.binary())], ["_id", "label", "other"])
 
         kind = self.rows.schema["_id"].dataType.simpleString()
         rows = self.rows.mapInArrow(run, f"_id {kind}, label long, other binary")
         found = rows.orderBy(F.xxhash64("_id"), "_id").limit(TAUGHT).select("label", "other").toArrow()
-        other = [np.frombuffer(b, dtype="<f4") for b in found["other"].to_pylist()]
-        return (np.stack(other).astype(float) if other else np.zeros((0, 0))), found["label"].to_numpy()
+        other = [np.frombuffer(b, dtype="<f8") for b in found["other"].to_pylist()]
+        return (np.stack(other) if other else np.zeros((0, 0))), found["label"].to_numpy()
 
 
 def co_train(
@@ -309,40 +346,52 @@ def co_train(
     return model
 
 
-def one_row_each(rows: DataFrame) -> DataFrame:
-    """Of written rows (_id, _hash, _row, ...) one of each id, that with the least hash; only rows that are left out are joined."""
+def spare_rows(rows: DataFrame) -> DataFrame:
+    """Of rows (_id, _hash, _row) all but one of each id, that with the least hash stays: (_row) of the others."""
     least = rows.groupBy("_id").agg(F.min(F.struct("_hash", "_row")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    spare = rows.select("_id", "_row").join(least, "_id").where("_row <> least._row").select("_row")
-    return rows.join(spare, "_row", "left_anti")
+    return rows.select("_id", "_row").join(least, "_id").where("_row <> least._row").select("_row")
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", columns: tuple[str, ...] = META) -> Model:
-    """A model from at most LABELLED labelled documents and all others, one row of each id. Labels that are null or not 0 or 1 don't count; of several the lowest does."""
+    """A model from at most LABELLED labelled documents and all others, one row of each id. Labels that are null or not 0 or 1 don't count; of several the lowest does.
+
+    Rows are written once as small whole numbers, about half a KB each. Which of them are spare or labelled is found from their ids alone, and the pool is what is left.
+    """
     own = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where("_id IS NOT NULL AND _label IN (0, 1)")
     own = table_of(own.groupBy("_id").agg(F.min("_label").alias("_label")), "labels-known")
     held = [c for c in columns if c in df.columns]
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *held).where("_id IS NOT NULL")
-    rows = rows.withColumns({"_hash": F.xxhash64("_text", *held), "_row": F.monotonically_increasing_id()})
+    meta = {c: f"_meta{k}" for k, c in enumerate(held)}  # the id or the text may be metadata too
+    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(m) for c, m in meta.items()]).where("_id IS NOT NULL")
+    rows = rows.withColumns({"_hash": F.xxhash64("_text", *meta.values()), "_row": F.monotonically_increasing_id()})
+    kept = ["_id", "_hash", "_row", *meta.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in parts_of(batch, "_text", CHUNK):
-                views = text_features(texts), meta_features(part, columns)
-                packed = [pa.array([row.astype("<f4").tobytes() for row in view], pa.binary()) for view in views]
-                yield pa.RecordBatch.from_arrays([*[column(part, n) for n in ("_id", "_hash", "_row")], *packed], ["_id", "_hash", "_row", "text", "meta"])
-
-    kind = df.schema[id_col].dataType.simpleString()
-    every = one_row_each(table_of(rows.mapInArrow(run, f"_id {kind}, _hash long, _row long, text binary, meta binary"), "features"))
-    known = every.join(own, "_id").orderBy(F.xxhash64("_id"), "_id").limit(LABELLED)
-    found = known.select("_id", "_label", "text", "meta").toArrow()
+                grams, totals = gram_counts(texts)
+                dense = [row.tobytes() for row in dense_features(texts).astype("<f8")]
+                packed = [pa.array(dense, pa.binary()), pa.array([packed_counts(row) for row in grams], pa.binary()), pa.array(totals)]
+                yield pa.RecordBatch.from_arrays([*[column(part, n) for n in kept], *packed], [*kept, "dense", "grams", "n_grams"])
+
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
+    every = table_of(rows.mapInArrow(run, f"{kinds}, {STORED}"), "features")
+    slim = every.select("_id", "_hash", "_row")
+    spare = table_of(spare_rows(slim), "spare")
+    single = slim.select("_id", "_row").join(spare, "_row", "left_anti")
+    labelled = table_of(single.join(own, "_id").select("_row", "_id", "_label"), "labelled")
+    chosen = F.broadcast(labelled.orderBy(F.xxhash64("_id"), "_id").limit(LABELLED).select("_row", "_label"))  # LABELLED rows at most
+    named = [F.col(m).alias(c) for c, m in meta.items()]
+    stored = ["dense", "grams", "n_grams"]
+    found = every.join(chosen, "_row").select("_label", F.col("_id").alias("_own"), *stored, *named).toArrow()
     if not found.num_rows:
         return Model(math.log(1.0), columns=columns)
-    ids = np.array([zlib.crc32(str(i).encode()) for i in found["_id"].to_pylist()])
-    text, meta = arrays_of(found)
-    pool = TablePool(table_of(every.join(own, "_id", "left_anti").select("_id", "text", "meta"), "pool"))
+    ids = np.array([zlib.crc32(str(i).encode()) for i in found["_own"].to_pylist()])
+    text, seen = arrays_of(found, columns)
+    out = spare.unionByName(labelled.select("_row"))
+    pool = TablePool(table_of(every.join(out, "_row", "left_anti").select("_id", *stored, *named), "pool"), columns)
     # Rows come in any order: they are put in one, so that the model is the same each time.
     order = np.lexsort((text[:, 0], ids))
-    model = co_train(text[order], meta[order], found["_label"].to_numpy()[order].astype(int), ids[order] % 5, pool=pool)
+    model = co_train(text[order], seen[order], found["_label"].to_numpy()[order].astype(int), ids[order] % 5, pool=pool)
     model.columns = columns
     return model
 

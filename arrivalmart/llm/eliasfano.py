@@ -9,12 +9,13 @@ import uuid
 import numpy as np
 from pyarrow import fs
 
-# The place of the r-th set bit of a byte, and how many bits a byte has.
-_PLACES = np.zeros((256, 8), dtype=np.uint8)
+# The place of the r-th set bit of a byte.
+_PLACES = np.zeros((256, 8), dtype=np.int64)
 for _byte in range(256):
     _set = [k for k in range(8) if _byte >> k & 1]
     _PLACES[_byte, : len(_set)] = _set
-_COUNTS = np.bitwise_count(np.arange(256, dtype=np.uint8))
+# Ones, high bits, and the lower half of every two, four and eight bits, in all bytes of a word.
+_ONE, _HIGH, _HALF2, _HALF4, _HALF8 = (np.uint64(x * 0x0101010101010101) for x in (0x01, 0x80, 0x55, 0x33, 0x0F))
 
 
 def write_arrays(uri: str, arrays: dict[str, np.ndarray]) -> None:
@@ -52,13 +53,16 @@ def read_arrays(uri: str) -> dict[str, np.ndarray]:
 
 
 def _select(words: np.ndarray, nth: np.ndarray) -> np.ndarray:
-    """The place of the nth set bit, from 0, in each 64-bit word."""
-    eight = words.view(np.uint8).reshape(-1, 8)
-    ends = np.cumsum(_COUNTS[eight], axis=1, dtype=np.uint8)
-    byte = (ends <= nth[:, None].astype(np.uint8)).sum(axis=1)
-    rows = np.arange(len(words))
-    before = np.where(byte > 0, ends[rows, byte - 1], 0)
-    return byte * 8 + _PLACES[eight[rows, byte], nth - before]
+    """The place of the nth set bit, from 0, in each 64-bit word; all bytes of a word are counted at once."""
+    one, two, four, eight = (np.uint64(k) for k in (1, 2, 4, 8))
+    nth = nth.astype(np.uint64)
+    sums = words - (words >> one & _HALF2)
+    sums = (sums & _HALF4) + (sums >> two & _HALF4)
+    sums = (sums + (sums >> four) & _HALF8) * _ONE  # set bits up to and with each byte
+    byte = np.bitwise_count((nth * _ONE | _HIGH) - sums & _HIGH).astype(np.uint64)  # bytes whose sum is nth or less
+    shift = byte * eight
+    before = sums << eight >> shift & np.uint64(0xFF)
+    return (shift + _PLACES[(words >> shift & np.uint64(0xFF)).astype(np.int64), (nth - before).astype(np.int64)].astype(np.uint64)).astype(np.int64)
 
 
 class EliasFano:

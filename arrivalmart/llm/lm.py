@@ -33,7 +33,6 @@ from arrivalmart.sources.workspace import hadoop_files, new_folder
 
 END = "\n"  # stands after the last word; no word holds it
 DISCOUNT = 0.75
-LEAST = 1  # n-grams seen less often are not in the trie: none
 PER_PART = 2_000_000  # tokens of the corpus for each part of the trie
 PER_RANGE = 500_000  # words for each part of the vocabulary
 CHUNK = 8 << 20  # bytes of text that a task holds as arrays at once
@@ -364,18 +363,16 @@ def _write_parts(blocks: DataFrame, layout: Layout) -> DataFrame:
             blocks = [b.as_py() for batch in held for b in column(batch, "block") if b.is_valid]
             distinct, pair, w, c = _merge_blocks(blocks)
             total = np.bincount(pair, weights=c, minlength=len(distinct))
-            keep = total >= LEAST
-            u, v = (distinct[keep] >> np.uint64(32)).astype(np.int64), (distinct[keep] & np.uint64(NO_WORD)).astype(np.int64)
+            u, v = (distinct >> np.uint64(32)).astype(np.int64), (distinct & np.uint64(NO_WORD)).astype(np.int64)
             roots, root = np.unique(u, return_inverse=True)
-            p2 = (total[keep] - DISCOUNT) / words.counts_of(roots)[root]
-            wanted = (c >= LEAST) & (w != np.uint64(NO_WORD))
-            place = np.cumsum(keep) - 1
-            own = place[pair[wanted]]
-            p3 = (c[wanted] - DISCOUNT) / total[keep][own]
+            p2 = (total - DISCOUNT) / words.counts_of(roots)[root]
+            inside = w != np.uint64(NO_WORD)
+            own = pair[inside]
+            p3 = (c[inside] - DISCOUNT) / total[own]
             children = np.bincount(own, minlength=len(u))
-            left = (total[keep] - np.bincount(own, weights=c[wanted] - DISCOUNT, minlength=len(u))) / total[keep]
-            write_arrays(layout.path("part", number), Part.build(u, v, p2, left, children, w[wanted], p3))
-            taken = np.bincount(root, weights=total[keep] - DISCOUNT, minlength=len(roots))
+            left = (total - np.bincount(own, weights=c[inside] - DISCOUNT, minlength=len(u))) / total
+            write_arrays(layout.path("part", number), Part.build(u, v, p2, left, children, w[inside], p3))
+            taken = np.bincount(root, weights=total - DISCOUNT, minlength=len(roots))
             yield pa.RecordBatch.from_arrays([pa.array(roots), pa.array(taken)], ["word", "taken"])
 
     # A row without a block for each part, so that every part has its file.

@@ -67,7 +67,7 @@ def test_all_unlabelled_documents_are_the_pool(spark, tables, monkeypatch):
     """Every unlabelled id is in the pool once, and a pool in a table teaches as one in arrays does."""
     docs, labels = tables
     pools = []
-    monkeypatch.setattr(cotraining.TablePool, "__init__", lambda self, rows, plain=cotraining.TablePool.__init__: (plain(self, rows), pools.append(self))[0])
+    monkeypatch.setattr(cotraining.TablePool, "__init__", lambda self, *made, plain=cotraining.TablePool.__init__: (plain(self, *made), pools.append(self))[0])
     docs = docs.where("doc_id % 3 = 0")
     one = docs.orderBy("doc_id").limit(1)
     repeated = docs.unionByName(one.crossJoin(spark.range(200)).drop("id"))
@@ -76,7 +76,7 @@ def test_all_unlabelled_documents_are_the_pool(spark, tables, monkeypatch):
     assert [p.size for p in pools] == [unlabelled.count()] * 2
     assert np.allclose(first.text.weights, second.text.weights) and first.prior == second.prior
     rows = pools[0].rows.toArrow()
-    local = cotraining.LocalPool(*cotraining.arrays_of(rows))
+    local = cotraining.LocalPool(*cotraining.arrays_of(rows, cotraining.META))
     monkeypatch.setattr(cotraining, "TAUGHT", 10**6)
     counts = pools[0].counts([], 0, first.text)
     assert (counts == local.counts([], 0, first.text)).all() and counts.sum() == local.size
@@ -84,3 +84,17 @@ def test_all_unlabelled_documents_are_the_pool(spark, tables, monkeypatch):
     for before in ([], [cotraining.Lesson(0, first.text, 28_000, 40_000)]):
         (x, y), (other, label) = pools[0].taught(before, lesson), local.taught(before, lesson)
         assert sorted(y) == sorted(label) and np.isclose(x.sum(), other.sum()) and 0 < len(y) < local.size
+
+
+def test_triples_of_long_texts_are_counted_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    texts = pa.array(["", "a", "ab", "abcabcabc" * 40, "é😀" * 30, "xyz" * 100])
+    whole, totals = cotraining.gram_counts(texts)
+    assert totals.tolist() == [max(len(t.as_py().encode()) - 2, 1) for t in texts]
+    assert whole.sum(axis=1).tolist() == [max(len(t.as_py().encode()) - 2, 0) for t in texts]
+    for size in (1, 7, 64):
+        monkeypatch.setattr(cotraining, "CHUNK", size)
+        assert (cotraining.gram_counts(texts)[0] == whole).all()
+    rows = np.array([[0, 1, 255], [0, 0, 256], [1 << 16, 0, 3]])
+    assert cotraining.unpacked_counts([cotraining.packed_counts(r) for r in rows]).tolist() == rows.tolist()

@@ -37,20 +37,18 @@ class Plain:
         self.n, self.v = sum(self.uni.values()), len(self.uni)
         self.left2, self.left3 = defaultdict(lambda: 1.0), defaultdict(lambda: 1.0)
         for (u, _), c in self.two.items():
-            if c >= lm.LEAST:
-                self.left2[u] -= (c - lm.DISCOUNT) / self.uni[u]
+            self.left2[u] -= (c - lm.DISCOUNT) / self.uni[u]
         for (u, v, _), c in self.three.items():
-            if c >= lm.LEAST:
-                self.left3[u, v] -= (c - lm.DISCOUNT) / self.two[u, v]
+            self.left3[u, v] -= (c - lm.DISCOUNT) / self.two[u, v]
 
     def p(self, w, v=None, u=None):
         p = (self.uni[w] + 0.5) / (self.n + 0.5 * (self.v + 1))
         if v is not None:
             c = self.two[v, w]
-            p = (c - lm.DISCOUNT if c >= lm.LEAST else 0) / max(self.uni[v], 1) + self.left2[v] * p
-        if u is not None and self.two[u, v] >= lm.LEAST:
+            p = (c - lm.DISCOUNT if c else 0) / max(self.uni[v], 1) + self.left2[v] * p
+        if u is not None and self.two[u, v]:
             c = self.three[u, v, w]
-            p = (c - lm.DISCOUNT if c >= lm.LEAST else 0) / self.two[u, v] + self.left3[u, v] * p
+            p = (c - lm.DISCOUNT if c else 0) / self.two[u, v] + self.left3[u, v] * p
         return p
 
     def score(self, text):
