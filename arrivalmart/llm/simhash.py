@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from arrivalmart.llm.components import components
-from arrivalmart.llm.texts import free_name, parts_of, table_of
+from arrivalmart.llm.texts import column, free_name, parts_of, table_of
 
 BITS = 64
 RADIUS = 3
@@ -60,15 +60,16 @@ def fingerprint(text: str, words: int = WORDS, seed: int = SEED) -> int:
 
 
 def with_fingerprints(df: DataFrame, text_col: str = "text", name: str = "fingerprint") -> DataFrame:
-    """All rows and columns, and the fingerprint as a signed long. A null text has no words."""
+    """All rows and columns but the text, and the fingerprint as a signed long. A null text has no words."""
+    fields = [f for f in df.schema.fields if f.name != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in parts_of(batch, text_col):
                 found = np.array([fingerprint(t) for t in texts.to_pylist()], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], [*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*[column(part, f.name) for f in fields], pa.array(found)], [*[f.name for f in fields], name])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, LongType())]))
+    return df.mapInArrow(run, StructType([*fields, StructField(name, LongType())]))
 
 
 def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
@@ -194,12 +195,12 @@ def first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """One row of each group of near copies, the one with the smallest id, with all its columns.
 
     Of rows that share that id in a group, equal or not, one stays; a group of null ids only keeps one. Texts are
-    moved once, in the join with the chosen rows.
+    moved once, in the join with the chosen rows; only ids, row numbers and texts pass through Python.
     """
-    fp, row = free_name(df, "fingerprint"), free_name(df, "row")
-    numbered = with_fingerprints(df, text_col, fp).withColumn(row, F.monotonically_increasing_id())
-    wide = table_of(numbered, "simhash-rows")  # the numbers hold once they are written
-    slim = wide.select(F.col(id_col).alias("id"), F.col(fp).alias("fingerprint"), F.col(row).alias("row"))
+    row = free_name(df, "row")
+    wide = table_of(df.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")  # the numbers hold once they are written
+    slim = wide.select(F.col(id_col).alias("id"), F.col(row).alias("row"), F.col(text_col).alias("text"))
+    slim = table_of(with_fingerprints(slim), "simhash-fingerprints")
     known = near_copies(slim, "id")
     first = slim.join(known, slim["fingerprint"] == known["fp"]).where(F.col("id").eqNullSafe(F.col("component_id")))
     chosen = first.groupBy("root").agg(F.min("row").alias(row)).select(row)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,14 @@ def texts_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return pc.fill_null(texts, "") if texts.null_count else texts
 
 
+def give_back() -> None:
+    """Return memory that is no longer used to the system: a worker lives on after its task, beside those of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def parts_of(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Slices of a batch with their texts, about `most` bytes of text each, or one row, so that what is made of them is bounded."""
     texts = texts_of(batch, text)
@@ -47,6 +56,7 @@ def parts_of(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[
     cuts = np.flatnonzero(np.diff(ends // most)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True):
         yield batch.slice(a, b - a), texts.slice(a, b - a)
+    give_back()
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
