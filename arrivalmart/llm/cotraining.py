@@ -387,7 +387,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
         return Model(math.log(1.0), columns=columns)
     ids = np.array([zlib.crc32(str(i).encode()) for i in found["_own"].to_pylist()])
     text, seen = arrays_of(found, columns)
-    out = spare.unionByName(labelled.select("_row"))
+    out = spare.unionByName(labelled.select("_row")).hint("merge")  # grows with the labels, so it is never broadcast
     pool = TablePool(table_of(every.join(out, "_row", "left_anti").select("_id", *stored, *named), "pool"), columns)
     # Rows come in any order: they are put in one, so that the model is the same each time.
     order = np.lexsort((text[:, 0], ids))
