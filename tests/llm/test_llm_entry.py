@@ -7,8 +7,9 @@ import sys
 import duckdb
 import public_tokenizers
 import pytest
-from brute import base_spans, documents, fingerprint, groups, measures, pieces
+from brute import base_spans, documents, groups, measures, pieces
 from pyspark.sql import functions as F
+from test_llm_similar import pairs
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -76,10 +77,8 @@ def test_pipeline_equals_the_plain_stages(spark):
     model = cotraining.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
     good = cotraining.with_quality(docs, model).where(F.col("p_quality") >= cotraining.KEPT_FROM)
     left = {k: left[k] for k in {r.doc_id for r in good.collect()} & set(left)}
-    prints = {k: fingerprint(t) for k, t in left.items()}
-    ids = sorted(prints)
-    links = [(a, b) for n, a in enumerate(ids) for b in ids[:n] if (prints[a] ^ prints[b]).bit_count() <= 3]
-    left = {k: t for k, t in left.items() if groups(links, ids)[k] == k}
+    near = groups(pairs(left), left)
+    left = {k: t for k, t in left.items() if near[k] == k}
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     library.no_truncation()
     expected = []

@@ -1,0 +1,112 @@
+import random
+
+import numpy as np
+import pytest
+from brute import documents, empty, groups
+
+from arrivalmart.llm import similar
+
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for blank in BLANKS:
+        lowered = lowered.replace(blank, " ")
+    return [w for w in lowered.split(" ") if w]
+
+
+def shingles(text):
+    own = words(text)
+    return {tuple(own[k : k + 5]) for k in range(max(1, len(own) - 4))} if own else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def pairs(texts):
+    """All pairs of numbers of texts with a similarity of 0.8 or more, by shingles that two of them share."""
+    sets = {k: shingles(t) for k, t in texts.items()}
+    holders = {}
+    for k, own in sets.items():
+        for s in own:
+            holders.setdefault(s, []).append(k)
+    met = {(a, b) for own in holders.values() for n, a in enumerate(own) for b in own[:n]}
+    blank = [k for k, own in sets.items() if not own]
+    return [(a, b) for a, b in met if jaccard(sets[a], sets[b]) >= 0.8] + [(a, blank[0]) for a in blank[1:]]
+
+
+def edited(draw, own, share):
+    return [draw.choice("red blue green stone river cloud".split()) + str(draw.randrange(900)) if draw.random() < share else w for w in own]
+
+
+def test_every_pair_within_one_bit_of_a_part_shares_a_key():
+    draw = random.Random(1)
+    for _ in range(2000):
+        x = draw.getrandbits(similar.PART_BITS)
+        y = x ^ (1 << draw.randrange(similar.PART_BITS))
+        assert any(x & m == y & m for m in similar.MASKS)
+
+
+@pytest.mark.parametrize("text", ["", " \n", "One", "one TWO", "a b c d e", "a b c d e F", "x y z " * 5_000, "Größe ÉTÉ a b c d e f"])
+def test_shingles_are_those_of_the_plain_version(text):
+    assert len(similar.shingles(text)[0]) == len(shingles(text))
+    assert similar.jaccard(similar.shingles(text)[0], similar.shingles(text.upper() + " more")[0]) == pytest.approx(jaccard(shingles(text), shingles(text.upper() + " more")))
+
+
+def test_fingerprint_has_the_majority_of_each_bit():
+    hashes = similar.shingles(" ".join(str(k) for k in range(5000)))[0]
+    parts, sieve = similar.fingerprint(hashes)
+    bits = [int(x) for x in similar._mixed(hashes)[:, 0]]
+    majority = [2 * sum(b >> k & 1 for b in bits) > len(bits) for k in range(36)]
+    assert parts[0] == sum(1 << k for k, one in enumerate(majority) if one) and len(parts) == 42 and -(2**63) <= sieve < 2**63
+    assert similar.fingerprint(np.zeros(0, dtype=np.uint64)) == ([0] * 42, 0)
+
+
+def test_components_equal_all_pairs(spark):
+    """Groups of near copies of several sizes, chains, copies, and texts that are nearly similar enough."""
+    draw, texts = random.Random(5), []
+    for size in (1, 2, 3, 8, 60):
+        base = [f"w{draw.randrange(4000)}" for _ in range(draw.randrange(60, 400))]
+        texts += [" ".join(edited(draw, base, draw.choice((0, 0.002, 0.01, 0.015, 0.03)))) for _ in range(size)]
+        for _ in range(4):
+            base = edited(draw, base, 0.012)
+            texts.append(" ".join(base).upper())
+    table = dict(enumerate(texts))
+    found = similar.similar_texts(spark.createDataFrame(list(table.items()), "doc_id long, text string"))
+    links = pairs(table)
+    near = groups(links, table)
+    assert {r.doc_id: r.component_id for r in found.collect()} == near
+    assert len(set(near.values())) < len(table)
+
+
+def test_rows_of_every_kind(spark):
+    docs = documents(spark)
+    rows = docs.collect()
+    texts = {k: r.text for k, r in enumerate(rows)}
+    near = groups(pairs(texts), texts)
+    least = {}
+    for k, r in enumerate(rows):
+        if r.doc_id is not None:
+            least[near[k]] = min(least.get(near[k], r.doc_id), r.doc_id)
+    found = similar.similar_texts(docs)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(((r.doc_id, least.get(near[k])) for k, r in enumerate(rows)), key=str)
+    left = similar.first_of_each(docs)
+    assert left.columns == docs.columns
+    assert left.count() == len(set(near.values()))
+    assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted(least.values())
+    assert similar.similar_texts(empty(spark)).count() == similar.first_of_each(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_recall_of_documents(spark, scale):
+    """Nine of ten pairs at least are found, and no component holds a text that is linked to none of it."""
+    docs = spark.read.parquet(f"/root/testdata/sf{scale}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    links = pairs(texts)
+    found = {r.doc_id: r.component_id for r in similar.similar_texts(docs).collect()}
+    near = groups(links, texts)
+    different = [(a, b) for a, b in links if words(texts[a]) != words(texts[b])]
+    assert all(near[k] == near[c] for k, c in found.items())
+    assert sum(found[a] == found[b] for a, b in different) >= 0.9 * len(different)
