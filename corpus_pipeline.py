@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from arrivalmart.llm import cotraining, packing, pii, rules, simhash
+from arrivalmart.llm import cotraining, packing, pii, rules, similar
 from arrivalmart.llm.texts import table_of
 
 VOCABULARY = "word_bpe_49k.json"
@@ -33,8 +33,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    return simhash.first_of_each(docs)
+    """One document of each group of near copies by 5-word shingles, the one with the smallest id."""
+    return similar.first_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-# SQL can't express the fitted classifier, XXH64 fingerprints or the tokenizer; tests compare with brute force.
+# SQL can't express the fitted classifier, the similarity of texts or the tokenizer; tests compare with brute force.
 ORACLE_SQL = None
 
 
