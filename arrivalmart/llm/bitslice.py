@@ -22,6 +22,8 @@ SCALE = 64
 TOP = 20
 ROWS = 32_768
 QUERIES = 256
+# Quantised vectors as long as this or longer take no part: any two shorter ones have an inner product below 2 to the 62.
+LONGEST = float(1 << 31)
 MET = ("block", "ids", "vectors", "query_ids", "query_vectors")
 
 Slices = list[np.ndarray]  # the least significant first; each a bitmap, or one for each of several numbers
@@ -129,7 +131,11 @@ class SlicedBlock:
 
 
 def quantised(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, v): each component as floor(scale * x). Vectors that are null, empty, or hold null or a number that isn't finite, are left out."""
+    """(id, v): each component as floor(scale * x).
+
+    Vectors that are null, empty, or hold null or a number that isn't finite, are left out, and so are those with a length of
+    LONGEST or more, whose scores needn't fit a long.
+    """
     vector = F.col(vector_col)
 
     def whole(x):
@@ -139,18 +145,22 @@ def quantised(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFr
         return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
 
     rows = df.select(F.col(id_col).alias("id"), vector.alias("v")).where(F.col("id").isNotNull() & (F.size("v") > 0))
-    return rows.where(F.forall("v", finite)).select("id", F.transform("v", whole).alias("v"))
+    rows = rows.where(F.forall("v", finite)).select("id", F.transform("v", whole).alias("v"))
+    squares = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    return rows.where(squares < LONGEST * LONGEST)
 
 
 def _packed(rows: DataFrame, size: int) -> DataFrame:
-    """Blocks (ids, vectors) of about `size` rows, twice that at most."""
+    """Blocks (ids, vectors) of about `size` rows, twice that at most. A vector has zeros up to the longest of its block."""
     most = 2 * size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, vectors = [], []
 
         def block() -> pa.RecordBatch:
-            packed = [[np.array(ids, dtype="<i8").tobytes()], [np.array(vectors, dtype="<i4").tobytes()]]
+            width = max(map(len, vectors))
+            whole = np.array([v if len(v) == width else v + [0] * (width - len(v)) for v in vectors], dtype="<i4")
+            packed = [[np.array(ids, dtype="<i8").tobytes()], [whole.tobytes()]]
             return pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in packed], ["ids", "vectors"])
 
         for batch in batches:
@@ -171,6 +181,12 @@ def _unpacked(ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
     return own, np.frombuffer(vectors, dtype="<i4").reshape(len(own), -1).astype(np.int64)
 
 
+def _fitted(weights: np.ndarray, width: int) -> np.ndarray:
+    """Weights for a block of that width: a dimension that either side lacks adds nothing."""
+    lack = width - weights.shape[1]
+    return np.pad(weights, ((0, 0), (0, lack))) if lack > 0 else weights[:, :width]
+
+
 def top_rows(
     df: DataFrame,
     queries: str,
@@ -183,13 +199,14 @@ def top_rows(
 ) -> DataFrame:
     """The k highest inner products of every query, a row for which the condition holds, over all other rows.
 
-    Returns query_id, rank from 1, the id, score. Fewer than k rows give all there are; ties go to the smaller id. All
-    vectors that take part must be equally long and quantise to 32 bits. Repeated rows of one id are candidates of
-    their own, and no query is answered by a row of its own id; a query that is repeated is answered once.
+    Returns query_id, rank from 1, the id, score. Fewer than k rows give all there are; ties go to the smaller id.
+    Shorter vectors count as zero in the dimensions they lack; which take no part is told by `quantised`. Repeated rows of one id are
+    candidates of their own, and no query is answered by a row of its own id; a query that is repeated is answered once, for the
+    vector that comes first by its components.
     """
     spark = df.sparkSession
     whole = quantised(df, id_col, vector_col, scale)
-    asked = quantised(df.where(queries), id_col, vector_col, scale).dropDuplicates(["id"])
+    asked = quantised(df.where(queries), id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v"))
     blocks = table_of(_packed(whole, rows).withColumn("block", F.monotonically_increasing_id()), "bitslice-blocks")
     asks = table_of(_packed(asked, queries_at_once).toDF("query_ids", "query_vectors"), "bitslice-queries")
     # Every group of queries goes to every numbered place, where one block or a few are. A place has lanes, each with
@@ -210,7 +227,8 @@ def top_rows(
                 if number != last:
                     last, block = number, SlicedBlock(*_unpacked(ids, vectors))
                 own = _unpacked(query_ids, query_vectors)
-                found = [block.top(w, k, q) for q, w in zip(own[0].tolist(), own[1], strict=True)]
+                weights = _fitted(own[1], block.low.shape[0])
+                found = [block.top(w, k, q) for q, w in zip(own[0].tolist(), weights, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(own[0], [len(x) for x, _ in found])),

@@ -52,3 +52,24 @@ def test_whole_block_against_products():
         best = np.lexsort((ids, -(values @ weights)))[:k]
         order = np.lexsort((own, -score))
         assert own[order].tolist() == ids[best].tolist() and score[order].tolist() == (values @ weights)[best].tolist()
+
+
+def test_unequal_lengths_count_as_zeros(spark):
+    rows = [(0, [0.5, 0.25]), (1, [0.5]), (2, [0.5, 0.25, 4.0]), (3, [0.0, 0.0, 9.0]), (20, [0.0, 1.0, 1.0]), (21, [-0.5, -0.5, -0.5, 1.0])]
+    width = max(len(v) for _, v in rows)
+    padded = [(i, v + [0.0] * (width - len(v))) for i, v in rows]
+    expected = sorted(brute(padded))
+    assert run(spark, rows) == expected
+    assert run(spark, rows, rows=2, queries_at_once=1) == expected
+
+
+def test_large_components(spark):
+    """Up to a length of 2 to the 31 every score is exact; longer vectors take no part, as rows or as queries."""
+    rows = [(0, [3e7, -1.0]), (1, [3e7, 1e6]), (2, [-3e7, 2.0]), (20, [1e7, 1e7]), (21, [1.0, 1.0])]
+    beyond = [(3, [4e7, 0.0]), (40, [3e38, 1.0]), (60, [2.0**25, 0.0])]
+    assert run(spark, rows + beyond) == sorted(brute(rows))
+
+
+def test_a_repeated_query_is_asked_for_its_first_vector(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, 0.5]), (1, [0.25, 0.0])]
+    assert run(spark, rows) == [(0, 1, 1, 32 * 16)]
