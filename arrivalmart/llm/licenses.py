@@ -1,18 +1,20 @@
 """Licence notices found by conditional compression and confirmed by their exact wording.
 
-Every template has words that no notice of it can lack; one of them is its anchor. Around each anchor in a text, a window of the
-words that the notice could take up is compressed alone and with the template as a raw dictionary. Templates that save
-a small share of what they cost alone are compared word by word, and of notices that overlap the one that saves most stays. A
-notice is reported only if that comparison finds it whole, up to a bounded number of plain words, and with every word that
-tells it from other notices, such as a version, in place. Lines don't matter: a notice may be wrapped anywhere.
+Some words, such as the name of a licence, stand in every notice: around each of them lies a candidate block, as many words to both
+sides as the longest notice can take up. The words of a block are compressed alone and with every template as a raw dictionary, and the templates are
+ranked by the bytes that they save. From the first of the rank on, the differences between a template's words and the block's are
+taken; the first template that the block holds whole, up to a bounded number of plain words, and with every word in place that tells it
+from other notices, such as a version, is a notice. What is left of the block on both sides of it is ranked again, until no template is
+confirmed. Lines don't matter: a notice may be wrapped anywhere. An SPDX identifier is one notice for all licences: the words that
+follow its template name them.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import functools
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,16 +36,23 @@ BROKEN = re.compile(r"-[^\S\n]*\n[\s*#/;%]*")
 WORD = re.compile(r"[^\W_]+(?:(?:[.\-]|-[^\S\n]*\n[\s*#/;%]*)[^\W_]+)*")
 
 # The wording of public notices, by the SPDX name of the licence.
-TEMPLATES = (
+TEMPLATES: tuple[tuple[str | None, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("Apache-2.0", "under the Apache License 2.0"),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MIT", "under the MIT License"),
+    ("MIT", "under the terms of the MIT License"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-2.0", "under the GNU General Public License v2"),
+    ("GPL-3.0", "under the GNU General Public License v3"),
+    ("GPL-2.0", "under the GNU GPL v2"),
+    ("GPL-3.0", "under the GNU GPL v3"),
+    ("GPL-2.0", "under the GPLv2"),
+    ("GPL-3.0", "under the GPLv3"),
     ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
@@ -54,18 +63,33 @@ TEMPLATES = (
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
-    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-1.0", "under the terms of the Eclipse Public License v1.0"),
+    ("EPL-2.0", "under the terms of the Eclipse Public License v2.0"),
+    ("EPL-2.0", "under the terms of the Eclipse Public License 2.0"),
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    (None, "SPDX-License-Identifier:"),
 )
+# The kinds and versions of Creative Commons licences, whose notices differ in nothing else.
+KINDS = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+EDITIONS = {"3.0": "Unported", "4.0": "International"}
+TEMPLATES += tuple((f"CC-{kind}-{edition}", f"under CC {kind} {edition}") for kind in KINDS for edition in EDITIONS)
+TEMPLATES += tuple((f"CC-{kind}-{edition}", f"under a Creative Commons {name} {edition} {scope} License") for kind, name in KINDS.items() for edition, scope in EDITIONS.items())
+# Words one of which each template has, and that stand in its notices as they are; a part between hyphens or dots counts.
+MENTIONS = frozenset("apache mit gnu gplv2 gplv3 mozilla bsd redistribution cc creative cc0 unencumbered hereby boost eclipse spdx".split())
+MENTION = "(?:^|[^0-9a-z])(?:" + "|".join(sorted(MENTIONS)) + ")(?:$|[^0-9a-z])"
+# What may stand between an SPDX template and the name after it, and between the names of an expression.
+BETWEEN = re.compile(r"[\s*#/;%:()\"'+]*")
+JOINS = ("AND", "OR", "WITH")
 # Words that many notices share. Any other word tells a notice apart and must be in place.
 COMMON = frozenset(
     "a an and any are as be can by except following for form forms free granted hereby in is it license licensed licence licenced may met modify "
@@ -78,17 +102,6 @@ def words_of_text(text: str) -> list[tuple[str, int, int]]:
     return [(BROKEN.sub("-", m[0]).lower(), m.start(), m.end()) for m in WORD.finditer(text)]
 
 
-def anchor_of(words: list[str]) -> str:
-    """The longest of the words that no notice with this wording lacks."""
-    none_missing = int(MISSING * len(words)) == 0
-    return max((w for w in words if none_missing or w not in COMMON), key=len)
-
-
-ANCHORS = tuple(anchor_of([w for w, _, _ in words_of_text(text)]) for _, text in TEMPLATES)
-# The longest part of each, as a word may be broken after a hyphen.
-MENTION = "|".join(sorted({max(re.split("[.-]", w), key=len) for w in ANCHORS}))
-
-
 @dataclass(frozen=True)
 class Found:
     license: str
@@ -100,15 +113,11 @@ class Found:
     added: str  # words between its words
 
 
-@functools.cache
-def _templates() -> list[tuple[str, list[str], zstandard.ZstdCompressor, int]]:
-    """Name, words, compressor with the text as dictionary, and compressed size of every template."""
-    found = []
-    for name, text in TEMPLATES:
-        own = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        words = [w for w, _, _ in words_of_text(text)]
-        found.append((name, words, zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_content_size=False, write_dict_id=False), len(_alone().compress(text.lower().encode()))))
-    return found
+@dataclass(frozen=True)
+class Template:
+    words: list[str]
+    size: int  # compressed alone, beyond an empty frame
+    compressor: zstandard.ZstdCompressor  # with the template as dictionary
 
 
 @functools.cache
@@ -116,19 +125,31 @@ def _alone() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
 
-def saving(block: str, number: int) -> int:
-    """Bytes of the block's compressed size that a template saves."""
-    raw = block.lower().encode()
-    return len(_alone().compress(raw)) - len(_templates()[number][2].compress(raw))
+@functools.cache
+def templates() -> list[Template]:
+    found = []
+    empty = len(_alone().compress(b""))
+    for _, text in TEMPLATES:
+        words = [w for w, _, _ in words_of_text(text)]
+        raw = " ".join(words).encode()
+        own = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_content_size=False, write_dict_id=False)
+        found.append(Template(words, len(_alone().compress(raw)) - empty, compressor))
+    return found
 
 
 @functools.cache
-def _anchored() -> dict[str, list[tuple[int, int]]]:
-    """For each anchor, the templates that it is the anchor of, and its places among their words."""
-    found: dict[str, list[tuple[int, int]]] = {}
-    for number, (_, words, _, _) in enumerate(_templates()):
-        found.setdefault(ANCHORS[number], []).extend((number, at) for at, w in enumerate(words) if w == ANCHORS[number])
-    return found
+def reach() -> int:
+    """Words that a block takes in on both sides of a mention."""
+    return int((1 + ADDED) * max(len(t.words) for t in templates())) + 1
+
+
+def savings(words: list[str]) -> list[tuple[int, int]]:
+    """Bytes that each template saves of the compressed size of a block's words, and its number; those that save most first."""
+    raw = " ".join(words).encode()
+    alone = len(_alone().compress(raw))
+    every = ((alone - len(t.compressor.compress(raw)), number) for number, t in enumerate(templates()))
+    return sorted(((saved, n) for saved, n in every if saved >= LEAST_SAVED * templates()[n].size), key=lambda s: (-s[0], s[1]))
 
 
 def wording(template: list[str], own: list[tuple[str, int, int]]) -> tuple[int, int, list[str], list[str]] | None:
@@ -154,37 +175,65 @@ def wording(template: list[str], own: list[tuple[str, int, int]]) -> tuple[int,
     return first, last, missing, added
 
 
-def candidates(text: str, own: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, int, Found]]:
-    """Every notice around every anchor: bytes saved, its first word and the one after its last, and what is found."""
-    for k, (word, _, _) in enumerate(own):
-        for number, place in _anchored().get(word, ()):
-            name, words, _, size = _templates()[number]
-            more = int(ADDED * len(words))
-            begin, end = max(0, k - place - more), min(len(own), k - place + len(words) + more)
-            window = own[begin:end]
-            held = Counter(w for w, _, _ in window)
-            if sum(min(n, held[w]) for w, n in Counter(words).items()) < (1 - MISSING) * len(words):
+def expression(text: str, block: list[tuple[str, int, int]], at: int) -> tuple[str, int, int]:
+    """The names of licences that follow a word of a block, as an SPDX expression without brackets; the word after them, and their end."""
+    names: list[str] = []
+    end = block[at - 1][2]
+    while at < len(block) and BETWEEN.fullmatch(text, end, block[at][1]):
+        word = BROKEN.sub("-", text[block[at][1] : block[at][2]])
+        joins = word in JOINS
+        if joins == (len(names) % 2 == 0):
+            break
+        end = block[at][2]
+        if not joins and text[end : end + 1] == "+":
+            word, end = word + "+", end + 1
+        names.append(word)
+        at += 1
+    if names and names[-1] in JOINS:
+        names.pop()
+        at -= 1
+        end = block[at - 1][2] + (names[-1][-1] == "+")
+    return " ".join(names), at, end
+
+
+def winner(text: str, block: list[tuple[str, int, int]]) -> tuple[int, int, Found] | None:
+    """The notice that saves most of those whose wording the block holds, with its first word in it and the one after its last."""
+    for saved, number in savings([w for w, _, _ in block]):
+        size = templates()[number].size
+        if not (at := wording(templates()[number].words, block)):
+            continue
+        first, last, missing, added = at
+        name, end = TEMPLATES[number][0], block[last - 1][2]
+        if name is None:
+            name, last, end = expression(text, block, last)
+            if not name:
                 continue
-            saved = saving(text[window[0][1] : window[-1][2]], number)
-            if saved < LEAST_SAVED * size:
-                continue
-            if at := wording(words, window):
-                first, last, missing, added = at
-                yield saved, begin + first, begin + last, Found(
-                    name, number, window[first][1], window[last - 1][2], round(saved / size, 4), " ".join(missing), " ".join(added)
-                )
+        return first, last, Found(name, number, block[first][1], end, round(saved / size, 4), " ".join(missing), " ".join(added))
+    return None
 
 
 def notices(text: str) -> list[Found]:
-    """All notices of a whole text, in order; of those that share a word, the one that saves most."""
-    every = sorted(candidates(text, words_of_text(text)), key=lambda c: (-c[0], c[1], c[3].template))
-    taken: set[int] = set()
-    found = []
-    for _, first, last, own in every:
-        if taken.isdisjoint(range(first, last)):
-            taken.update(range(first, last))
-            found.append(own)
-    return sorted(found, key=lambda f: f.start)
+    """All notices of a whole text, in order; no two share a word.
+
+    A mention's block ends at notices found before. It is ranked until no notice is left in it or the mention is part of one, so
+    each ranking gives a notice or is a mention's last.
+    """
+    own = words_of_text(text)
+    found: list[tuple[int, int, Found]] = []  # apart from each other, in order
+    for k, (word, _, _) in enumerate(own):
+        if word not in MENTIONS and not MENTIONS.intersection(re.split("[.-]", word)):
+            continue
+        while True:
+            after = bisect.bisect_right(found, k, key=lambda f: f[0])
+            if after and found[after - 1][1] > k:
+                break
+            begin = max(k - reach(), found[after - 1][1] if after else 0)
+            end = min(k + reach() + 1, found[after][0] if after < len(found) else len(own))
+            won = winner(text, own[begin:end])
+            if won is None:
+                break
+            found.insert(after, (begin + won[0], begin + won[1], won[2]))
+    return [f for _, _, f in found]
 
 
 FIELDS = "license string, template int, start long, end long, saved double, missing string, added string"
