@@ -1,11 +1,11 @@
 """Licence notices found by conditional compression and confirmed by their exact wording.
 
-Some words, such as the name of a licence, stand in every notice: around each of them lies a candidate block, as many words to both
-sides as the longest notice can take up. The words of a block are compressed alone and with every template as a raw dictionary, and the templates are
-ranked by the bytes that they save. From the first of the rank on, the differences between a template's words and the block's are
-taken; the first template that the block holds whole, up to a bounded number of plain words, and with every word in place that tells it
-from other notices, such as a version, is a notice. What is left of the block on both sides of it is ranked again, until no template is
-confirmed. Lines don't matter: a notice may be wrapped anywhere. An SPDX identifier is one notice for all licences: the words that
+Some words, such as the name of a licence, stand in every notice: around each of them lie the candidate blocks, for every template as many
+words to both sides as its notice can take up. They are left out only where the words around lack some that each template's notices need. The
+words of a block are compressed alone and with the template as a raw dictionary, and all templates are ranked by the bytes that they save.
+From the first of the rank on, the differences between a template's words and its block's are taken; the first template that its block holds
+whole, up to a bounded number of plain words, and with every word in place that tells it from other notices, such as a version, is a notice.
+What is left around the word is ranked again, until no template is confirmed. Lines don't matter: a notice may be wrapped anywhere. An SPDX identifier is one notice for all licences: the words that
 follow its template name them.
 """
 
@@ -84,8 +84,8 @@ KINDS = {
 EDITIONS = {"3.0": "Unported", "4.0": "International"}
 TEMPLATES += tuple((f"CC-{kind}-{edition}", f"under CC {kind} {edition}") for kind in KINDS for edition in EDITIONS)
 TEMPLATES += tuple((f"CC-{kind}-{edition}", f"under a Creative Commons {name} {edition} {scope} License") for kind, name in KINDS.items() for edition, scope in EDITIONS.items())
-# Words one of which each template has, and that stand in its notices as they are; a part between hyphens or dots counts.
-MENTIONS = frozenset("apache mit gnu gplv2 gplv3 mozilla bsd redistribution cc creative cc0 unencumbered hereby boost eclipse spdx".split())
+# Words one of which each template has; none of them is among the common words below, so no notice lacks it; a part between hyphens or dots counts.
+MENTIONS = frozenset("apache mit gnu gplv2 gplv3 mozilla bsd redistribution cc creative cc0 unencumbered restriction distribute boost eclipse spdx".split())
 MENTION = "(?:^|[^0-9a-z])(?:" + "|".join(sorted(MENTIONS)) + ")(?:$|[^0-9a-z])"
 # What may stand between an SPDX template and the name after it, and between the names of an expression.
 BETWEEN = re.compile(r"[\s*#/;%:()\"'+]*")
@@ -118,6 +118,8 @@ class Template:
     words: list[str]
     size: int  # compressed alone, beyond an empty frame
     compressor: zstandard.ZstdCompressor  # with the template as dictionary
+    needed: frozenset[str]  # no notice with its wording lacks one of them
+    reach: int  # words that its block takes in on both sides of a mention
 
 
 @functools.cache
@@ -131,25 +133,36 @@ def templates() -> list[Template]:
     empty = len(_alone().compress(b""))
     for _, text in TEMPLATES:
         words = [w for w, _, _ in words_of_text(text)]
+        needed = frozenset(w for w in words if w not in COMMON or int(MISSING * len(words)) == 0)
         raw = " ".join(words).encode()
         own = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_content_size=False, write_dict_id=False)
-        found.append(Template(words, len(_alone().compress(raw)) - empty, compressor))
+        found.append(Template(words, len(_alone().compress(raw)) - empty, compressor, needed, int((1 + ADDED) * len(words)) + 1))
     return found
 
 
 @functools.cache
-def reach() -> int:
-    """Words that a block takes in on both sides of a mention."""
-    return int((1 + ADDED) * max(len(t.words) for t in templates())) + 1
+def widest() -> int:
+    return max(t.reach for t in templates())
 
 
-def savings(words: list[str]) -> list[tuple[int, int]]:
-    """Bytes that each template saves of the compressed size of a block's words, and its number; those that save most first."""
-    raw = " ".join(words).encode()
-    alone = len(_alone().compress(raw))
-    every = ((alone - len(t.compressor.compress(raw)), number) for number, t in enumerate(templates()))
-    return sorted(((saved, n) for saved, n in every if saved >= LEAST_SAVED * templates()[n].size), key=lambda s: (-s[0], s[1]))
+def ranked(words: list[str], k: int, begin: int, end: int) -> list[tuple[int, int, int, int]]:
+    """Bytes that each template saves of its block's compressed size, its number, and the block's first word and the one after its last.
+
+    Blocks lie around the word k, not before begin nor from end on; the templates that save most come first.
+    """
+    alone: dict[tuple[int, int], tuple[bytes, int]] = {}
+    found = []
+    for number, t in enumerate(templates()):
+        at = max(begin, k - t.reach), min(end, k + t.reach + 1)
+        if at not in alone:
+            raw = " ".join(words[at[0] : at[1]]).encode()
+            alone[at] = raw, len(_alone().compress(raw))
+        raw, size = alone[at]
+        saved = size - len(t.compressor.compress(raw))
+        if saved >= LEAST_SAVED * t.size:
+            found.append((saved, number, *at))
+    return sorted(found, key=lambda f: (-f[0], f[1]))
 
 
 def wording(template: list[str], own: list[tuple[str, int, int]]) -> tuple[int, int, list[str], list[str]] | None:
@@ -175,11 +188,11 @@ def wording(template: list[str], own: list[tuple[str, int, int]]) -> tuple[int,
     return first, last, missing, added
 
 
-def expression(text: str, block: list[tuple[str, int, int]], at: int) -> tuple[str, int, int]:
-    """The names of licences that follow a word of a block, as an SPDX expression without brackets; the word after them, and their end."""
+def expression(text: str, block: list[tuple[str, int, int]], at: int, stop: int) -> tuple[str, int, int]:
+    """The names of licences before the words at and stop, as an SPDX expression without brackets; the word after them, and their end."""
     names: list[str] = []
     end = block[at - 1][2]
-    while at < len(block) and BETWEEN.fullmatch(text, end, block[at][1]):
+    while at < stop and BETWEEN.fullmatch(text, end, block[at][1]):
         word = BROKEN.sub("-", text[block[at][1] : block[at][2]])
         joins = word in JOINS
         if joins == (len(names) % 2 == 0):
@@ -196,43 +209,50 @@ def expression(text: str, block: list[tuple[str, int, int]], at: int) -> tuple[s
     return " ".join(names), at, end
 
 
-def winner(text: str, block: list[tuple[str, int, int]]) -> tuple[int, int, Found] | None:
-    """The notice that saves most of those whose wording the block holds, with its first word in it and the one after its last."""
-    for saved, number in savings([w for w, _, _ in block]):
-        size = templates()[number].size
-        if not (at := wording(templates()[number].words, block)):
+def winner(text: str, own: list[tuple[str, int, int]], words: list[str], k: int, begin: int, end: int) -> tuple[int, int, Found] | None:
+    """Of the notices around the word k whose wording their block holds, the one that saves most; its first word and the one after its last."""
+    have = set(words[begin:end])
+    if not any(t.needed <= have for t in templates()):
+        return None
+    for saved, number, low, high in ranked(words, k, begin, end):
+        t = templates()[number]
+        # A notice beside the word is left to its own mention: the block may hold only a part of it.
+        while (at := wording(t.words, own[low:high])) and not low + at[0] <= k < low + at[1]:
+            low, high = (low + at[1], high) if low + at[1] <= k else (low, low + at[0])
+        if not at:
             continue
-        first, last, missing, added = at
-        name, end = TEMPLATES[number][0], block[last - 1][2]
+        first, last, missing, added = low + at[0], low + at[1], at[2], at[3]
+        name, close = TEMPLATES[number][0], own[last - 1][2]
         if name is None:
-            name, last, end = expression(text, block, last)
+            name, last, close = expression(text, own, last, end)
             if not name:
                 continue
-        return first, last, Found(name, number, block[first][1], end, round(saved / size, 4), " ".join(missing), " ".join(added))
+        return first, last, Found(name, number, own[first][1], close, round(saved / t.size, 4), " ".join(missing), " ".join(added))
     return None
 
 
 def notices(text: str) -> list[Found]:
     """All notices of a whole text, in order; no two share a word.
 
-    A mention's block ends at notices found before. It is ranked until no notice is left in it or the mention is part of one, so
+    Blocks end at notices found before. They are ranked until no notice is left around the mention or the mention is part of one, so
     each ranking gives a notice or is a mention's last.
     """
     own = words_of_text(text)
+    words = [w for w, _, _ in own]
     found: list[tuple[int, int, Found]] = []  # apart from each other, in order
-    for k, (word, _, _) in enumerate(own):
-        if word not in MENTIONS and not MENTIONS.intersection(re.split("[.-]", word)):
+    for k, word in enumerate(words):
+        if word not in MENTIONS and ("-" not in word and "." not in word or not MENTIONS.intersection(re.split("[.-]", word))):
             continue
         while True:
             after = bisect.bisect_right(found, k, key=lambda f: f[0])
             if after and found[after - 1][1] > k:
                 break
-            begin = max(k - reach(), found[after - 1][1] if after else 0)
-            end = min(k + reach() + 1, found[after][0] if after < len(found) else len(own))
-            won = winner(text, own[begin:end])
+            begin = max(k - widest(), found[after - 1][1] if after else 0)
+            end = min(k + widest() + 1, found[after][0] if after < len(found) else len(own))
+            won = winner(text, own, words, k, begin, end)
             if won is None:
                 break
-            found.insert(after, (begin + won[0], begin + won[1], won[2]))
+            found.insert(after, won)
     return [f for _, _, f in found]
 
 

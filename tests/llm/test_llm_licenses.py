@@ -77,6 +77,7 @@ def test_every_template_is_found_in_a_line_of_prose(n):
 def test_every_template_has_a_mention():
     assert all(re.search(licenses.MENTION, text, re.IGNORECASE) for _, text in licenses.TEMPLATES)
     assert all(any(w in licenses.MENTIONS or licenses.MENTIONS.intersection(re.split("[.-]", w)) for w in t.words) for t in licenses.templates())
+    assert not licenses.MENTIONS & licenses.COMMON
 
 
 @pytest.mark.parametrize("sign", ["", "# ", " * ", "// "])
@@ -112,9 +113,10 @@ def test_the_rank_decides():
     """Two templates are held whole by a text; the one that saves more is its notice, though it comes later among the templates."""
     long = next(k for k, (_, text) in enumerate(licenses.TEMPLATES) if "in compliance with" in text)
     text = f"{PROSE}{licenses.TEMPLATES[long][1]} {PROSE}"
-    block = licenses.words_of_text(text)
-    ranked = [number for _, number in licenses.savings([w for w, _, _ in block])]
-    held = [n for n in ranked if licenses.wording(licenses.templates()[n].words, block)]
+    own = licenses.words_of_text(text)
+    words = [w for w, _, _ in own]
+    ranked = licenses.ranked(words, words.index("apache"), 0, len(words))
+    held = [n for _, n, low, high in ranked if licenses.wording(licenses.templates()[n].words, own[low:high])]
     assert held[0] == long and min(held[1:]) < long
     assert [f.template for f in licenses.notices(text)] == [long]
 
@@ -132,7 +134,7 @@ def plain_notices(text):
                 saved = len(licenses._alone().compress(part)) - len(t.compressor.compress(part))
                 name, last, end = licenses.TEMPLATES[number][0], at[1], window[at[1] - 1][2]
                 if name is None:
-                    name, last, end = licenses.expression(text, window, last)
+                    name, last, end = licenses.expression(text, window, last, len(window))
                 if name:
                     every.add((saved, -number, begin, begin + last, name, window[0][1], end))
     taken, found = set(), []
@@ -155,6 +157,12 @@ def test_equal_to_all_templates_at_all_windows():
         assert [(f.start, f.end, f.license) for f in licenses.notices(text)] == plain_notices(text), text
 
 
+def test_a_broken_notice_beside_a_whole_one():
+    text = "Redistribution and use in source and also binary forms, with or without modification, are permitted provided that the following conditions are met. "
+    whole = next(t for name, t in licenses.TEMPLATES if name == "BSD")
+    assert [(f.license, f.added) for f in licenses.notices(f"{text} {whole}. {text}")] == [("BSD", "also"), ("BSD", ""), ("BSD", "also")]
+
+
 def test_differences_are_told():
     found = licenses.notices("This work is licensed under the new GNU General Public License version 3")[0]
     assert found.license == "GPL-3.0" and found.added == "new" and found.missing == ""
