@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from arrivalmart.llm.texts import bytes_of, coded_words, column, parts_of, spread_ranges
 
@@ -68,12 +68,10 @@ class Vocabulary:
         self.kinds[0x30:0x3A] = DIGIT
         self.first = np.array([self.ids[x] for x in byte_letters()], dtype=np.int32)
         self.last = np.array([self.ids[x + end] for x in byte_letters()], dtype=np.int32)
-        steps = said["normalizer"]["normalizers"]
-        self.form = next((s["type"] for s in steps if s["type"] in ("NFC", "NFD", "NFKC", "NFKD")), None)
-        self.lower = any(s["type"] == "Lowercase" for s in steps)
-        pattern = said["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        # White space as the property: here \\s would also take the separators 1C to 1F. A newline ends a word.
-        self.pieces = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}") + "|\n")
+        self.lower = any(s["type"] == "Lowercase" for s in said["normalizer"]["normalizers"])
+        # The library's own tables of Unicode: Python's are of another version.
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -82,26 +80,24 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NO_RANK)
 
-    def normal(self, text: str) -> str:
-        if text.isascii():
-            return text.lower() if self.lower else text
-        text = unicodedata.normalize(self.form, text) if self.form else text
-        if not self.lower:
-            return text
-        # A capital sigma is lowered by its neighbours in Python, alone by the tokenizer.
-        return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
+    def cut_by_library(self, text: str) -> list[str]:
+        """The pieces of one word or part of a word without special strings."""
+        normal = self.normalizer.normalize_str(text)
+        return [normal[a:b] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(normal)]
 
     def pieces_of(self, words: list[str]) -> list[str]:
         """The pieces of all words that are merged on their own, a newline after each word.
 
         A special string is one piece; no other piece equals it, since it holds letters and signs.
         """
-        text = "\n".join(words) + "\n" if words else ""
-        if self.cut is None or not self.cut.search(text):
-            return self.pieces.findall(self.normal(text))
         found: list[str] = []
-        for part in self.cut.split(text):
-            found += [part] if part in self.special else self.pieces.findall(self.normal(part))
+        for word in words:
+            if self.cut is None or "<" not in word or not self.cut.search(word):
+                found += self.cut_by_library(word)
+            else:
+                for part in self.cut.split(word):
+                    found += [part] if part in self.special else self.cut_by_library(part) if part else []
+            found.append("\n")
         return found
 
     def plain(self, words: pa.StringArray) -> np.ndarray:

@@ -30,6 +30,19 @@ def test_ids_equal_the_library(library):
         assert flat[offsets[k] : offsets[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("plane", range(17))
+def test_every_code_point_equals_the_library(library, plane):
+    """Each alone, after and before a letter, and between a letter and a mark; lone surrogates are no text."""
+    coder = bpe.coder_of(PATH)
+    for begin in range(plane << 16, (plane + 1) << 16, 1 << 13):
+        signs = [chr(c) for c in range(begin, begin + (1 << 13)) if not 0xD800 <= c < 0xE000]
+        texts = [" ".join((c, f"a{c}", f"{c}a", f"a{c}\u0301")) for c in signs]
+        flat, offsets = coder.encode(pa.array(texts, pa.string()))
+        expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        wrong = [hex(ord(c)) for k, c in enumerate(signs) if flat[offsets[k] : offsets[k + 1]].tolist() != expected[k]]
+        assert not wrong
+
+
 def test_pieces_merged_together_equal_pieces_merged_alone():
     draw = random.Random(1)
     voc = bpe.Vocabulary(PATH)
