@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import functools
 import random
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +19,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivalmart.llm.blocks import Block, blocks_of
+from arrivalmart.llm.blocks import PATH, Block, blocks_of
 from arrivalmart.llm.texts import bytes_of, coded_words, column, parts_of
 
-PATH, WORDS, SIZES = 192, 48, 6
+WORDS, SIZES = 48, 6
 INPUT = PATH + WORDS + SIZES
 HIDDEN = 20
 TRAINED_ON = 1000  # generated pages
@@ -34,11 +33,6 @@ SEED = 7
 # Vectors
 
 
-@functools.lru_cache(maxsize=100_000)
-def _place(token: str, buckets: int) -> int:
-    return zlib.crc32(token.encode()) % buckets
-
-
 def _word_buckets(words: pa.StringArray) -> np.ndarray:
     """A bucket for each word, by its letters and their places; signs at its ends don't count."""
     if not len(words):
@@ -53,11 +47,11 @@ class Vectors:
     """The vectors of many blocks in parts: a row for each distinct path, and words and sizes for each block."""
 
     def __init__(self, blocks: list[Block]):
-        numbers: dict[tuple[str, ...], int] = {}
+        numbers: dict[int, int] = {}
         self.path = np.array([numbers.setdefault(b.path, len(numbers)) for b in blocks], dtype=np.int64)
         self.paths = np.zeros((len(numbers), PATH), dtype=np.float32)
         for path, k in numbers.items():
-            self.paths[k, [_place(token, PATH) for token in path]] = 1
+            self.paths[k, [bit for bit in range(PATH) if path >> bit & 1]] = 1
         texts = pa.array([b.text for b in blocks], pa.string())
         codes, distinct, offsets = coded_words(pc.utf8_lower(texts))
         buckets = _word_buckets(distinct)

@@ -1,6 +1,8 @@
 import html
 import random
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -69,6 +71,17 @@ def test_many_hidden_tags_take_linear_time():
     assert [b.text for b in blocks.blocks_of("<svg><head><object>" * 3000 + "<p>a")] == ["a"]
 
 
+@pytest.mark.parametrize("unit", ['<div class="a b">', "<a ", "<svg ", "<head><meta>", "<head><title>", "<i>", "<b><div>", "</b>", "<svg><head><object>", "<b><div></b>"])
+def test_a_megabyte_of_open_elements_takes_linear_time(unit):
+    page = unit * (1_000_000 // len(unit)) + "<p>x</p>"
+    begun = time.process_time()
+    tracemalloc.start()
+    blocks.blocks_of(page)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert time.process_time() - begun < 20 and most < 200_000_000
+
+
 def test_held_out_pages(net):
     draw, good, every = random.Random(99), 0, 0
     while every < 4000:
