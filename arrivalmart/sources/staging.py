@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from arrivalmart.functions.codes import (
     CASTABLE,
-    FRACTION,
     MISSING,
     UNKNOWN,
     VISIT_COLUMNS,
@@ -61,16 +60,14 @@ def one_line(df: DataFrame) -> DataFrame:
     return df.select(*[escaped(c) if c in text else c for c in df.columns])
 
 
-def restored(df: DataFrame) -> DataFrame:
-    """Undoes :func:`one_line`: after it each backslash is followed by its letter, so nothing is ambiguous."""
+def restored(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Undoes :func:`one_line` in some text columns, or all: after it each backslash is followed by its letter, so nothing is ambiguous."""
 
     def plain(name: str) -> Column:
-        undone = reduce(
-            lambda c, pair: F.replace(c, F.lit(pair[1]), F.lit(pair[0])), reversed(ESCAPES), F.col(name)
-        )
-        return F.when(F.contains(F.col(name), F.lit("\\")), undone).otherwise(F.col(name)).alias(name)
+        return reduce(lambda c, pair: F.replace(c, F.lit(pair[1]), F.lit(pair[0])), reversed(ESCAPES), F.col(name)).alias(name)
 
     text = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    text &= text if columns is None else set(columns)
     return df.select(*[plain(c) if c in text else c for c in df.columns])
 
 
@@ -86,7 +83,7 @@ def clean_visits(raw: DataFrame) -> DataFrame:
         if kind == "string":
             return F.coalesce(value, F.lit(UNKNOWN)).alias(name)
         if isinstance(raw.schema[name].dataType, (T.FloatType, T.DoubleType)):
-            value = F.when(~F.isnan(value), value)
+            value = F.nanvl(value, F.lit(None))
         if kind == "date":
             return F.date_add(F.lit(DAY_ZERO), value.try_cast("int")).alias(name)
         return F.coalesce(value.try_cast(kind), F.lit(MISSING).cast(kind)).alias(name)
@@ -102,11 +99,11 @@ def write_staged(
     Gives the months written, which the same pass observes; they reach the driver, as many as there are. Raw records that arrive one month per file are already ``clustered`` and need no shuffle. Mixed
     input is rebalanced by month first, which also splits a month that is too big for one task.
     """
-    out = one_line(visits).select(
-        "*", F.col("i94yr").alias("year"), F.col("i94mon").alias("month")
-    )
+    out = visits.select("*", F.col("i94yr").alias("year"), F.col("i94mon").alias("month"))
     if not clustered:
         out = out.hint("rebalance", "year", "month")
+    # After the shuffle, so that the stage before it stays within what the JVM compiles, see _typed.
+    out = one_line(out)
     seen = Observation()
     out = out.observe(seen, F.collect_set(F.struct("year", "month")).alias("months"))
     (
@@ -119,16 +116,21 @@ def write_staged(
 
 
 def _typed(staged: DataFrame) -> DataFrame:
+    """Typed columns of text ones.
+
+    All of them become one generated method, and the JVM never compiles one of over 8,000 bytes: each column has one pattern, which
+    allows one point at most, and cuts there.
+    """
+
     def typed(name: str, kind: str) -> Column:
         value = F.col(name)
         if kind == "string":
             return value
-        fits = F.when(value.rlike(CASTABLE[kind]), value)
-        whole = fits if kind == "date" else F.regexp_replace(fits, FRACTION, "")
-        return whole.try_cast(kind).alias(name)
+        whole = value if kind == "date" else F.substring_index(value, ".", 1)
+        return F.when(value.rlike(CASTABLE[kind]), whole).try_cast(kind).alias(name)
 
     columns = [typed(name, kind) for name, kind in VISIT_FIELDS]
-    return staged.select(*columns).withColumn("fltno", F.regexp_replace("fltno", "^0+", ""))
+    return staged.select(*columns).withColumn("fltno", F.ltrim("fltno", F.lit("0")))
 
 
 def _by_header(spark: SparkSession, paths: str | list[str], columns: Sequence[str]) -> DataFrame:
@@ -165,7 +167,7 @@ def read_visits(
         staged = spark.read.options(**CSV_OPTIONS, enforceSchema=False).schema(schema).csv(path)
         if months is not None:
             staged = staged.where(in_months(F.col("year"), F.col("month"), months))
-        staged = restored(staged)
+        staged = restored(staged, [name for name, kind in VISIT_FIELDS if kind == "string"])
     elif layout == "folders":
         if months is None:
             globs = [f"{path}/*/*/*.csv"]

@@ -1,4 +1,5 @@
 import glob
+import re
 
 import pytest
 from helpers import D, as_set, plan_of, visits
@@ -156,3 +157,18 @@ def test_other_manifest_header_is_refused(spark, tmp_path):
     (tmp_path / "m.csv").write_text("sas_data_month,sas_data_year,sas_data_rowcount\n6,2016,3\n")
     with pytest.raises(Exception, match="CSV header does not conform"):
         staging.read_manifest(spark, str(tmp_path)).collect()
+
+
+def test_reading_is_one_method_that_the_jvm_compiles(spark, tmp_path, capsys):
+    path = str(tmp_path / "staged")
+    staging.write_staged(visits(spark, {}), path)
+    staging.read_visits(spark, path).explain("codegen")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_text_is_escaped_after_the_shuffle(spark, tmp_path):
+    rows = visits(spark, {"airline": "a\\b\nc", "fltno": "007"}, {"airline": "\\n", "i94mon": 7})
+    path = str(tmp_path / "staged")
+    staging.write_staged(rows, path, clustered=False)
+    assert as_set(staging.read_visits(spark, path), "airline", "fltno") == {("a\\b\nc", "7"), ("\\n", "12")}
