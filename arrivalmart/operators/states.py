@@ -30,12 +30,20 @@ def state_measures(schema: T.StructType, columns: Iterable[str] = quality.NUMERI
     measures = []
     for name in columns:
         value = quality.whole_number(schema, name)
-        # A product of two 32-bit numbers fits 64 bits; a wider one is taken in decimals.
-        square = f"CAST({value} AS BIGINT) * {value}" if isinstance(schema[name].dataType, T.IntegerType) else f"CAST({value} AS DECIMAL(19,0)) * CAST({value} AS DECIMAL(19,0))"
+        if isinstance(schema[name].dataType, T.IntegerType):
+            # A sum of decimals makes objects for every row. The square of a 32-bit number has 62 bits: its halves are summed as longs, exact up
+            # to 2^32 rows of a group, which no month comes near; beyond, the sum raises an error.
+            square = f"CAST({value} AS BIGINT) * {value}"
+            high, low = f"sum(shiftright({square}, 31))", f"sum({square} & {(1 << 31) - 1}L)"
+            total = f"sum(CAST({value} AS BIGINT))"
+            squares = f"CAST({high} AS {WIDE}) * {1 << 31} + CAST({low} AS {WIDE})"
+        else:
+            wide = f"CAST({value} AS DECIMAL(19,0))"
+            total, squares = f"sum({wide})", f"sum(CAST({wide} * {wide} AS {WIDE}))"
         parts = {
             "numbers": f"count({value})",
-            "total": f"CAST(sum(CAST({value} AS DECIMAL(19,0))) AS {WIDE})",
-            "squares": f"CAST(sum(CAST({square} AS {WIDE})) AS {WIDE})",
+            "total": f"CAST({total} AS {WIDE})",
+            "squares": f"CAST({squares} AS {WIDE})",
             "lowest": f"CAST(min({value}) AS BIGINT)",
             "highest": f"CAST(max({value}) AS BIGINT)",
         }

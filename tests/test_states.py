@@ -77,3 +77,13 @@ def test_states_take_one_scan(spark):
     rows = banded(spark, 20, 3)
     plan = plan_of(states.profile_states(rows, ("year", "month")))
     assert plan.count("ObjectHashAggregate") == 2 and "SortAggregate" not in plan
+
+
+def test_squares_of_the_widest_numbers_are_exact(spark):
+    low, high = -(1 << 31), (1 << 31) - 1
+    rows = spark.createDataFrame([(v,) for v in (low, low, high, 3)], "i94bir int")
+    parts = {c: F.expr(f"CAST({p} AS STRING)") for c, p in (("squares", "`state:squares:i94bir`"), ("total", "`state:total:i94bir`"))}
+    measures = states.state_measures(rows.schema, ["i94bir"])
+    assert "decimal(19" not in str(measures).lower()
+    found = rows.agg(*measures).select(*[value.alias(name) for name, value in parts.items()]).first()
+    assert found.squares == str(2 * low * low + high * high + 9) and found.total == str(2 * low + high + 3)
