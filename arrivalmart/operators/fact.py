@@ -37,6 +37,19 @@ FACT_KEYS = (
 )
 
 
+def _with_ports(visits: DataFrame, lookups: Lookups) -> DataFrame:
+    """Visits with port_id and the port's state, null where the port is unlisted under the visit's mode."""
+    places = {"arrivalstate": "port_state", "arrivalstate_abbr": "port_state_abbr"}
+    code = F.col("i94port") == F.col("i94port_code")
+    if lookups.codes is None:
+        ports = lookups.ports.select("port_id", "i94port_code", "port_mode", *[F.col(old).alias(new) for new, old in places.items()])
+        return visits.join(ports, code & (F.col("mode") == F.col("port_mode")), "left")
+    joined = visits.join(lookups.codes, code, "left")
+    listed = F.col("mode").isNotNull() & F.col("i94port_code").isNotNull()
+    member = F.concat(F.col("mode_code").cast("string"), F.lit("_"), F.col("i94port_code"))
+    return joined.withColumns({"port_id": F.when(listed, member), **{new: F.when(listed, F.col(old)) for new, old in places.items()}})
+
+
 def denormalise(visits: DataFrame, lookups: Lookups, citizenship: bool = True) -> DataFrame:
     """Attach purpose, mode, port, destination state and countries; no visit is lost.
 
@@ -45,13 +58,6 @@ def denormalise(visits: DataFrame, lookups: Lookups, citizenship: bool = True) -
     ``citizenship=False`` leaves out the one join that the fact does not need.
     """
     purposes = lookups.purposes.withColumnRenamed("purpose", "visitpurpose")
-    ports = lookups.ports.select(
-        "port_id",
-        "i94port_code",
-        "port_mode",
-        F.col("port_state").alias("arrivalstate"),
-        F.col("port_state_abbr").alias("arrivalstate_abbr"),
-    )
     states = lookups.states.select(
         F.col("state_id").alias("firstdeststate_abbr"),
         F.col("state_name").alias("firstdeststate"),
@@ -59,14 +65,11 @@ def denormalise(visits: DataFrame, lookups: Lookups, citizenship: bool = True) -
     residence = lookups.countries.select(
         F.col("code").alias("residence_code"), F.col("i94ctry").alias("countryofresidence")
     )
+    moded = visits.join(purposes, F.col("i94visa") == F.col("purpose_code"), "left").join(
+        lookups.modes, F.col("i94mode") == F.col("mode_code"), "left"
+    )
     joined = (
-        visits.join(purposes, F.col("i94visa") == F.col("purpose_code"), "left")
-        .join(lookups.modes, F.col("i94mode") == F.col("mode_code"), "left")
-        .join(
-            ports,
-            (F.col("i94port") == F.col("i94port_code")) & (F.col("mode") == F.col("port_mode")),
-            "left",
-        )
+        _with_ports(moded, lookups)
         .join(states, F.col("i94addr") == F.col("firstdeststate_abbr"), "left")
         .join(residence, F.col("i94res") == F.col("residence_code"), "left")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivalmart.functions.codes import MODES, PURPOSES, UNKNOWN, fixed_table
-from arrivalmart.functions.sizing import BROADCAST_ROWS, broadcast_checked
+from arrivalmart.functions.sizing import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_checked, row_bytes
 from arrivalmart.operators.quality import require_rows, require_unique
 
 # Columns of the lookup files.
@@ -35,6 +35,10 @@ BPS_PATTERN = r" \(BPS\)$"
 BPS_MARK = "(BPS)"
 PLACE_PATTERN = r"^(.*), ([^,]+)$"
 
+# Codes of ports that are broadcast at most, within the bytes of any broadcast: three columns a code, one row for all its modes.
+CODE_ROWS = 1_000_000
+CODE_COLUMNS = ("i94port_code", "port_state", "port_state_abbr")
+
 
 def read_lookup(
     spark: SparkSession,
@@ -75,6 +79,7 @@ class Lookups:
     ports: DataFrame
     states: DataFrame
     countries: DataFrame
+    codes: DataFrame | None = None  # of a port dimension too large to broadcast: a row for each code, see port_codes
 
     @classmethod
     def of(
@@ -96,10 +101,38 @@ class Lookups:
         require_unique(self.countries, ("code",), "countries")
         return self
 
-    def checked(self, max_rows: int = BROADCAST_ROWS) -> Lookups:
-        """The same lookups; a table is broadcast only if it was counted small."""
+    def checked(self, max_rows: int | None = None) -> Lookups:
+        """The same lookups; a table is broadcast only if it was counted small, of ports that aren't the codes if these are."""
         tables = {name: getattr(self, name) for name in ("ports", "states", "countries")}
-        return replace(self, **broadcast_checked(tables, max_rows))
+        found = replace(self, **broadcast_checked(tables, BROADCAST_ROWS if max_rows is None else max_rows))
+        if found.ports is not self.ports:
+            return found
+        return replace(found, codes=port_codes(self.ports, CODE_ROWS if max_rows is None else max_rows))
+
+
+def port_codes(ports: DataFrame, max_rows: int = CODE_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
+    """The codes of a port dimension with their states, to be broadcast, if they stand for it and are small.
+
+    They do if every code has one member for each mode, named ``<mode code>_<port code>``, and its members are in one state: then
+    code and mode give the member, without a join that shuffles all visits. None otherwise; one job tells.
+    """
+    named = F.lit(False)
+    for number, text in MODES:
+        named |= (F.col("port_mode") == text) & F.col("port_id").eqNullSafe(F.concat(F.lit(f"{number}_"), F.col("i94port_code")))
+    members = ports.dropna(subset=["i94port_code"]).groupBy("i94port_code").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.size(F.collect_set("port_mode")).alias("modes"),
+        F.size(F.collect_set(F.struct("port_state", "port_state_abbr"))).alias("places"),
+        F.bool_and(F.coalesce(named, F.lit(False))).alias("named"),
+        F.first("port_state").alias("port_state"),
+        F.first("port_state_abbr").alias("port_state_abbr"),
+    )
+    whole = F.expr(f"n = {len(MODES)} AND modes = {len(MODES)} AND places = 1 AND named")
+    size = F.sum(row_bytes(members.select(*CODE_COLUMNS).schema))
+    rows, total, regular = members.agg(F.count(F.lit(1)), size, F.bool_and(whole)).first()
+    if not regular or rows > max_rows or total > max_bytes:
+        return None
+    return F.broadcast(ports.where(F.col("port_mode") == MODES[0][1]).dropna(subset=["i94port_code"]).select(*CODE_COLUMNS))
 
 
 def split_port_labels(ports: DataFrame, label: str = "i94port_raw") -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from arrivalmart.functions.bands import AGE, DURATION, Bands
 from arrivalmart.functions.codes import MISSING, UNKNOWN, VISIT_COLUMNS, VISIT_FIELDS
-from arrivalmart.functions.sizing import broadcast_checked
 from arrivalmart.operators import differences, dimensions, fact, marts, quality, states
 from arrivalmart.plans import jobs
 from arrivalmart.sources import ledger, lookups, staging, warehouse
@@ -29,25 +28,17 @@ RELOADED_YEAR = 1996
 
 
 def visits_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.bind(spark, sf_dir, views.VISITS)
+    return views.visits(spark, sf_dir)
 
 
 def port_dim_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.port_dim(views.bind(spark, sf_dir, views.PORTS))
 
 
-def _sized(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Lookups, measured in one job and broadcast where small."""
-    tables = {
-        "ports": port_dim_of(spark, sf_dir),
-        "states": views.bind(spark, sf_dir, views.STATES),
-        "countries": views.bind(spark, sf_dir, views.COUNTRIES),
-    }
-    return broadcast_checked(tables)
-
-
 def lookups_of(spark: SparkSession, sf_dir: str) -> lookups.Lookups:
-    return lookups.Lookups.of(spark, **_sized(spark, sf_dir))
+    """Lookups, measured in one job and broadcast where small."""
+    states, countries = (views.bind(spark, sf_dir, view) for view in (views.STATES, views.COUNTRIES))
+    return lookups.Lookups.of(spark, port_dim_of(spark, sf_dir), states, countries).checked()
 
 
 def banded_of(spark: SparkSession, sf_dir: str, citizenship: bool = True) -> DataFrame:
@@ -78,12 +69,11 @@ def calendar_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_of(spark: SparkSession, sf_dir: str) -> marts.Star:
-    sized = _sized(spark, sf_dir)
-    visits = visits_of(spark, sf_dir)
-    resolved = fact.denormalise(visits, lookups.Lookups.of(spark, **sized), citizenship=False)
+    sized = lookups_of(spark, sf_dir)
+    resolved = fact.denormalise(visits_of(spark, sf_dir), sized, citizenship=False)
     return marts.Star(
         fact=fact.build_fact(fact.add_bands(resolved)),
-        port=sized["ports"],
+        port=sized.ports,
         age=F.broadcast(dimensions.band_dim(spark, AGE)),
         duration=F.broadcast(dimensions.band_dim(spark, DURATION)),
         date=calendar_of(spark, sf_dir),

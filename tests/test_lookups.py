@@ -1,7 +1,10 @@
 import pytest
-from helpers import as_set, lookups_of, plan_of
+from helpers import PORTS, as_set, lookups_of, plan_of
+from pyspark.sql import functions as F
+from test_fact import random_visits
 
 from arrivalmart.functions.codes import MODES, PURPOSES
+from arrivalmart.operators import fact
 from arrivalmart.operators.quality import QualityError
 from arrivalmart.sources import lookups
 
@@ -123,3 +126,32 @@ def test_ties_of_population_fall_to_the_highest_place(spark):
     found = lookups.enrich_ports(lookups.split_port_labels(labels), us, world, manual)
     assert as_set(found, "code", "county_name", "longitude") == {("ROM", "C", -7.0)}
     assert "SortAggregate" not in plan_of(found)
+
+
+def test_codes_stand_for_ports_too_many_to_broadcast(spark):
+    rows = random_visits(spark, 600, seed=11)
+    whole, large = lookups_of(spark), lookups_of(spark).checked(max_rows=len(PORTS))
+    assert large.ports.count() == 5 * len(PORTS) and large.codes is not None
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = fact.denormalise(rows, large)
+        assert "SortMergeJoin" not in plan_of(joined.drop("firstdeststate", "countryofresidence"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted(map(str, joined.collect())) == sorted(map(str, fact.denormalise(rows, whole).collect()))
+
+
+@pytest.mark.parametrize(
+    "column, other",
+    [("port_id", "'x'"), ("port_id", "NULL"), ("port_mode", "'Rail'"), ("port_state", "'Texas'")],
+)
+def test_codes_are_refused_where_modes_differ(spark, column, other):
+    ports = lookups_of(spark).ports
+    assert lookups.port_codes(ports.withColumn(column, F.expr(f"CASE WHEN port_mode <> 'Sea' THEN {column} ELSE {other} END"))) is None
+    assert lookups.port_codes(ports.where("port_id <> '1_LOS'")) is None
+    assert lookups.port_codes(ports.unionAll(ports.where("port_id = '1_LOS'"))) is None
+    assert lookups.port_codes(ports, max_bytes=10) is None
+    # A null code joins no visit.
+    more = ports.unionByName(ports.withColumn("i94port_code", F.lit(None).cast("string")).limit(1))
+    assert lookups.port_codes(more).count() == len(PORTS)
