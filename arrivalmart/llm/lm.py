@@ -45,8 +45,16 @@ def quantised(p: np.ndarray) -> np.ndarray:
     return np.clip(np.ceil(-np.log10(np.maximum(p, 1e-15)) * STEPS), 0, 65535).astype(np.uint16)
 
 
+RESTORED = 10.0 ** (np.arange(1 << 16, dtype=np.float64) / -STEPS)
+
+
 def restored(steps: np.ndarray) -> np.ndarray:
-    return 10.0 ** (steps.astype(np.float64) / -STEPS)
+    return RESTORED[steps]
+
+
+def by_part(part: np.ndarray) -> np.ndarray:
+    """Places in the order of their parts, those of a part in their own order; numbers of 16 bits are sorted by counting."""
+    return np.argsort(part.astype(np.uint16) if len(part) and part.max() < 1 << 16 else part, kind="stable")
 
 
 def shortened(weights: np.ndarray) -> np.ndarray:
@@ -316,7 +324,7 @@ def _ngram_blocks(texts: DataFrame, text_col: str, layout: Layout) -> DataFrame:
                 children = np.bincount(pair, minlength=len(distinct))
                 part = (mixed(distinct) % np.uint64(layout.parts)).astype(np.int64)
                 # Pairs by part, in their order within a part, and their triples with them.
-                order = np.argsort(part, kind="stable")
+                order = by_part(part)
                 spread = spread_ranges((np.cumsum(children) - children)[order], children[order])
                 w, c = (triples & np.uint64(NO_WORD))[spread], counts[spread]
                 distinct, children, part = distinct[order], children[order], part[order]
@@ -433,7 +441,7 @@ def score_texts(tokens: np.ndarray, hashes: np.ndarray, offsets: np.ndarray, lay
     a2, left = np.zeros(len(distinct)), np.ones(len(distinct))
     real = np.flatnonzero(distinct >= 0)
     part[real] = (mixed(distinct[real].view(np.uint64)) % np.uint64(layout.parts)).astype(np.int64)
-    grouped = real[np.argsort(part[real], kind="stable")]
+    grouped = real[by_part(part[real])]
     for rows in np.split(grouped, np.flatnonzero(np.diff(part[grouped])) + 1) if len(grouped) else ():
         trie = part_of(layout, int(part[rows[0]]))
         at = trie.pairs(distinct[rows] >> 32, distinct[rows] & NO_WORD)
@@ -451,7 +459,10 @@ def score_texts(tokens: np.ndarray, hashes: np.ndarray, offsets: np.ndarray, lay
     pair = context[third]
     a3 = np.zeros(len(third))
     asked = np.flatnonzero(own[third] >= 0)
-    asked = asked[np.argsort(part[pair[asked]], kind="stable")]
+    # By part, and by pair within it: neighbours in the trie are then asked for one after the other.
+    turn = np.empty(len(distinct), dtype=np.int64)
+    turn[grouped] = np.arange(len(grouped))
+    asked = asked[np.argsort(turn[pair[asked]])]
     for rows in np.split(asked, np.flatnonzero(np.diff(part[pair[asked]])) + 1) if len(asked) else ():
         trie = part_of(layout, int(part[pair[rows[0]]]))
         at = trie.triples(place[pair[rows]], own[third[rows]])

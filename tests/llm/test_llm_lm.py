@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import documents, empty, lower, words
 
@@ -119,3 +120,23 @@ def test_no_rows_and_nothing_to_learn_from(spark):
 def test_blocks_pack_and_unpack():
     arrays = [np.arange(5), np.zeros(0, dtype=int), np.array([2**32 - 1, 0])]
     assert [a.tolist() for a in lm.unpack(lm.pack(*arrays), 3)] == [a.tolist() for a in arrays]
+
+
+def test_lookups_in_a_part_go_forward(monkeypatch):
+    rng = np.random.default_rng(3)
+    part = rng.integers(0, 9, 500)
+    order = lm.by_part(part)
+    assert (np.diff(part[order]) >= 0).all() and all((np.diff(order[part[order] == k]) > 0).all() for k in range(9))
+    assert (lm.by_part(part + (1 << 16)) == order).all() and not len(lm.by_part(part[:0]))
+    steps = rng.integers(0, 1 << 16, 100).astype(np.uint16)
+    assert (lm.restored(steps) == 10.0 ** (steps.astype(np.float64) / -lm.STEPS)).all()
+
+
+def test_third_words_are_asked_by_pair(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 12, 60)) for _ in range(40)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    layout, seen, found = lm.learn(docs), [], lm.Part.triples
+    monkeypatch.setattr(lm.Part, "triples", lambda part, pair, w: seen.append(pair) or found(part, pair, w))
+    lm.score_texts(*lm.tokens_of(pa.array(texts)), layout)
+    assert seen and all((np.diff(places) >= 0).all() for places in seen)
