@@ -5,8 +5,11 @@ has the covering tables of radius 1, so a pair that differs in one bit of any pa
 pair within 83 bits, and of pairs at a similarity of just 0.8, whose bits differ in 15 of 100, more than 9 in 10 by chance
 over the parts. Whatever meets is confirmed by its exact similarity.
 
-Equal sequences of words are one node. Buckets are never paired within: every node is first held against the smallest one of its
-bucket, which joins a group of near copies; then what is still apart from that one is held against all of another group.
+Equal sequences of words are one node. Buckets are never paired within: every node is first held against a bucket's smallest node,
+its hub: the hub that most nodes meet, then those that this has not joined to it. What is still apart from the largest group of a bucket
+is held against all of other groups if that is little, as in most buckets. In a crowded bucket it is held only against nodes with a shingle in common among the rarest of both, which no similar pair lacks: sets of n and m shingles that are similar share
+4/9 (n + m) or more, so that in any common order the first one shared has at least as many left from there on, itself included, in either set.
+The order puts last what several nodes of the cluster hold, so edits of one text meet only where they are the same.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ MASKS = covering_masks(PART_RADIUS, PART_BITS)
 HASHED = -(-PARTS * PART_BITS // 64)
 # At a similarity of 0.8 words of 64 bits differ in 9.7 bits, 2.9 either way; more than this is four such away.
 SIFTED = 22
+# A bucket is paired directly if its nodes and those outside its largest group make no more pairs than this.
+DIRECT = 32
+# Nodes whose shingles are taken for usual ones in their cluster. They order shingles, so they change the work and not the result.
+SHOWN = 8
 NODES = "row long, id long, same binary, n long, sieve long, parts array<long>"
 
 
@@ -108,11 +115,11 @@ def _buckets(nodes: DataFrame) -> DataFrame:
 
 
 def _sifted(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) that can be similar: their sizes allow it, and so does the word that no table uses."""
+    """Pairs (a, b) that can be similar, as often as they meet: their sizes allow it, and so does the word that no table uses."""
     apart = F.bit_count(F.col("a.sieve").bitwiseXOR(F.col("b.sieve")))
     sizes = F.least("a.n", "b.n") >= SIMILARITY * F.greatest("a.n", "b.n")
     found = pairs.where(sizes & (apart <= SIFTED))
-    return found.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).where("a <> b").distinct()
+    return found.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).where("a <> b")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
@@ -136,22 +143,96 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return table_of(both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long"), f"similar-{name}")
 
 
+def _rooted(links: DataFrame) -> DataFrame:
+    """Links (a, b) of every node that is linked to another to its root."""
+    return components(links).select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _named(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
+    """Rows with the root of a node, which is its own if it has no link."""
+    known = roots.select(F.col("a").alias(node), F.col("b").alias(root))
+    return rows.join(known.hint("merge"), node, "left").withColumn(root, F.coalesce(root, node))
+
+
+def _star_roots(buckets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links to their roots of nodes that are linked to the hub of a bucket; the hub that most nodes meet is tried first."""
+    stars = _sifted(buckets.select(F.struct("node", "n", "sieve").alias("a"), F.col("hub").alias("b")))
+    stars = table_of(stars.distinct(), "similar-stars")
+    met = stars.groupBy("a").agg(F.count(F.lit(1)).alias("met"))
+    first = stars.join(met.hint("merge"), "a").groupBy("b").agg(F.max(F.struct("met", "a")).alias("most")).select(F.col("most.a").alias("a"), "b")
+    first = table_of(first, "similar-first")
+    roots = _rooted(_confirmed(first, texts, "first-links"))
+    left = _named(_named(stars, roots, "a", "a_root"), roots, "b", "b_root").where("a_root <> b_root")
+    left = left.select("a", "b").join(first.hint("merge"), ["a", "b"], "left_anti")
+    return _rooted(roots.unionByName(_confirmed(table_of(left, "similar-left"), texts, "star-links")))
+
+
+def rarest(hashes: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """The shingles by which a text meets others: a fifth of them and one more, in the order of their hashes, usual ones last."""
+    known = np.isin(hashes, usual)
+    return np.concatenate([hashes[~known], hashes[known]])[: len(hashes) // 5 + 1]
+
+
+def _shown(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(chief, usual): the shingles of a few nodes of each cluster."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, own in parts_of(batch, "text", 2 << 20):
+                items = [shingles(text.as_py())[0].view(np.int64) for text in own]
+                yield pa.RecordBatch.from_arrays([column(part, "chief"), pa.array(items, pa.list_(pa.int64()))], ["chief", "items"])
+
+    few = members.groupBy("chief", F.pmod(F.xxhash64("node"), F.lit(SHOWN)).alias("class")).agg(F.min("node").alias("node"))
+    made = few.join(texts.hint("merge"), "node").select("chief", "text").mapInArrow(run, "chief long, items array<long>")
+    return table_of(made.groupBy("chief").agg(F.array_distinct(F.flatten(F.collect_list("items"))).alias("usual")), "similar-usual")
+
+
+def _met_in_clusters(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of a node outside its cluster's group and one of another group that can share 4/9 of all their shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, own in parts_of(batch, "text", 2 << 20):
+                usual = column(part, "usual")
+                items = [rarest(shingles(text.as_py())[0], usual[k].values.to_numpy().view(np.uint64)).view(np.int64) for k, text in enumerate(own)]
+                lengths = [len(x) for x in items]
+                wide = part.select(names).take(pa.array(np.repeat(np.arange(len(items)), lengths)))
+                places = np.concatenate([np.arange(x) for x in lengths])
+                yield pa.RecordBatch.from_arrays([*wide.columns, pa.array(np.concatenate(items)), pa.array(places)], [*names, "item", "place"])
+
+    names = ["chief", "node", "n", "sieve", "root"]
+    both = members.join(texts.hint("merge"), "node").join(_shown(members, texts).hint("merge"), "chief")
+    rows = table_of(both.select(*names, "text", "usual").mapInArrow(run, "chief long, node long, n long, sieve long, root long, item long, place long"), "similar-rarest")
+    shared = (F.col("a.chief") == F.col("b.chief")) & (F.col("a.item") == F.col("b.item")) & (F.col("a.root") != F.col("b.root"))
+    least = 4 * (F.col("a.n") + F.col("b.n"))
+    enough = (9 * (F.col("a.n") - F.col("a.place")) >= least) & (9 * (F.col("b.n") - F.col("b.place")) >= least)
+    return _sifted(rows.where("root <> chief").alias("a").join(rows.alias("b").hint("merge"), shared & enough))
+
+
+def _rest_links(named: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between groups that meet in a bucket. Rows are (bucket, node, n, sieve, root)."""
+    groups = named.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("own"))
+    groups = groups.groupBy("bucket").agg(F.sum("own").alias("size"), F.max(F.struct("own", "root")).alias("most")).where("size > most.own")
+    groups = groups.select("bucket", "size", (F.col("size") - F.col("most.own")).alias("outside"), F.col("most.root").alias("chief"))
+    mixed = table_of(named.join(groups.hint("merge"), "bucket"), "similar-mixed")
+    direct = F.col("outside") * F.col("size") <= DIRECT
+    few = mixed.where(direct)
+    met = few.where("root <> chief").alias("a").join(few.alias("b").hint("merge"), F.col("a.bucket").eqNullSafe(F.col("b.bucket")) & (F.col("a.root") != F.col("b.root")))
+    members = table_of(mixed.where(~direct).select("chief", "node", "n", "sieve", "root").distinct(), "similar-crowded")
+    pairs = _sifted(met)
+    if not members.isEmpty():
+        pairs = pairs.unionByName(_met_in_clusters(members, texts))
+    return _confirmed(table_of(pairs.distinct(), "similar-rest"), texts, "rest-links")
+
+
 def _groups(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, root) of all nodes that are linked to another."""
     buckets = _buckets(nodes)
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n", "sieve")).alias("hub")).where("size > 1")
     shared = table_of(buckets.join(sizes.hint("merge"), "bucket").drop("size"), "similar-buckets")
-    stars = shared.select(F.struct("node", "n", "sieve").alias("a"), F.col("hub").alias("b"))
-    links = _confirmed(table_of(_sifted(stars), "similar-stars"), texts, "star-links")
-    roots = components(links)
-    # Members that the hub's group has not taken in, against all members that are in yet another group.
-    named = shared.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node")).select("bucket", "node", "n", "sieve", "root", F.col("hub.node").alias("hub"))
-    hubs = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-    named = table_of(named.join(hubs.hint("merge"), "hub", "left").withColumn("hub_root", F.coalesce("hub_root", "hub")), "similar-named")
-    outside = named.where("root <> hub_root")
-    met = outside.alias("a").join(named.alias("b").hint("merge"), F.col("a.bucket").eqNullSafe(F.col("b.bucket")) & (F.col("a.root") != F.col("b.root")))
-    rest = _confirmed(table_of(_sifted(met), "similar-rest"), texts, "rest-links")
-    return components(links.unionByName(rest))
+    roots = _star_roots(shared, texts)
+    named = table_of(_named(shared.drop("hub"), roots, "node", "root"), "similar-named")
+    return components(roots.unionByName(_rest_links(named, texts)))
 
 
 def _classes(df: DataFrame, id_col: str, text_col: str, row: str) -> DataFrame:

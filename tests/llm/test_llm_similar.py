@@ -110,3 +110,62 @@ def test_recall_of_documents(spark, scale):
     different = [(a, b) for a, b in links if words(texts[a]) != words(texts[b])]
     assert all(near[k] == near[c] for k, c in found.items())
     assert sum(found[a] == found[b] for a, b in different) >= 0.9 * len(different)
+
+
+def test_similar_sets_share_one_of_the_rarest_at_allowed_places():
+    draw = random.Random(3)
+    for _ in range(300):
+        base = draw.sample(range(1, 10**6), draw.randrange(5, 120))
+        left, right = ([draw.randrange(1, 10**6) if draw.random() < 0.08 else x for x in base if draw.random() > 0.03] for _ in range(2))
+        a, b = (np.unique(np.array(x, dtype=np.uint64)) for x in (left, right))
+        if similar.jaccard(a, b) < similar.SIMILARITY:
+            continue
+        usual = np.array(draw.sample(base, len(base) // 2), dtype=np.uint64)
+        least = 4 * (len(a) + len(b))
+        kept = [{x: k for k, x in enumerate(similar.rarest(s, usual).tolist()) if 9 * (len(s) - k) >= least} for s in (a, b)]
+        assert kept[0].keys() & kept[1].keys()
+
+
+def variants(draw, size, edits):
+    base = [f"w{draw.randrange(4000)}" for _ in range(150)]
+    found = []
+    for _ in range(size):
+        own = list(base)
+        for k in draw.sample(range(len(own)), draw.choice(edits)):
+            own[k] = f"v{draw.randrange(10**6)}"
+        found.append(" ".join(own))
+    return found
+
+
+@pytest.mark.parametrize("direct", [0, similar.DIRECT])
+def test_a_crowd_of_variants_has_the_links_of_all_pairs(spark, monkeypatch, direct):
+    """Variants of one text, most of them similar to none, some with an edited copy of their own."""
+    monkeypatch.setattr(similar, "DIRECT", direct)
+    draw = random.Random(11)
+    texts = variants(draw, 200, (1, 3, 6, 8, 10))
+    texts += [" ".join(edited(draw, t.split(), 0.004)) for t in texts[:60]]
+    table = dict(enumerate(texts))
+    found = {r.doc_id: r.component_id for r in similar.similar_texts(spark.createDataFrame(list(table.items()), "doc_id long, text string")).collect()}
+    links = pairs(table)
+    near = groups(links, table)
+    assert len(set(near.values())) > 20
+    assert all(near[k] == near[c] for k, c in found.items())
+    assert sum(found[a] == found[b] for a, b in links) >= 0.95 * len(links)
+
+
+def test_pairs_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    """Pairs whose texts are compared, for a group of near copies and variants of the same text that are nearly similar enough."""
+    made, real = [], similar._confirmed
+
+    def counted(found, texts, name):
+        made.append(found.count())
+        return real(found, texts, name)
+
+    monkeypatch.setattr(similar, "_confirmed", counted)
+    compared = []
+    for size in (500, 2000):
+        made.clear()
+        texts = variants(random.Random(7), size, (1, 2, 9, 10, 11))
+        similar.similar_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+        compared.append(sum(made))
+    assert compared[1] < 8 * compared[0]
