@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Folders named in this process and not yet removed.
 _named: set[str] = set()
+# Has Spark remove the shuffle files of a query as it ends. Otherwise they stay until the driver's garbage collection finds the query gone.
+REMOVES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -59,6 +61,20 @@ def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
         _remove(spark, path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Each query run within leaves no shuffle files on the disks, so that steps of a job that end in tables take the disk of one step at a time."""
+    before = spark.conf.get(REMOVES_SHUFFLES, None)
+    spark.conf.set(REMOVES_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(REMOVES_SHUFFLES)
+        else:
+            spark.conf.set(REMOVES_SHUFFLES, before)
+
+
 def kept(df: DataFrame, path: str) -> DataFrame:
     """A result that is used more than once, written as a table and read back."""
     df.write.parquet(path)

@@ -13,7 +13,7 @@ from arrivalmart.functions.codes import MISSING, UNKNOWN, VISIT_COLUMNS, VISIT_F
 from arrivalmart.operators import differences, dimensions, fact, marts, quality, states
 from arrivalmart.plans import jobs
 from arrivalmart.sources import ledger, lookups, staging, warehouse
-from arrivalmart.sources.workspace import kept, new_folder, work_folder
+from arrivalmart.sources.workspace import kept, new_folder, shuffles_removed, work_folder
 from driver_binding import views
 
 # Parameters of the slices; the oracle texts use the same.
@@ -31,6 +31,16 @@ def visits_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.visits(spark, sf_dir)
 
 
+def stored_visits(spark: SparkSession, sf_dir: str, path: str, clustered: bool = False) -> DataFrame:
+    """Visits as a table, joined range of orders by range of orders, as each range leaves its shuffle files; ``clustered`` by their id, which begins with the order's."""
+    for of in views.passes(spark, sf_dir):
+        part = views.visits(spark, sf_dir, of)
+        if clustered:
+            part = part.repartitionByRange("cicid").sortWithinPartitions("cicid")
+        part.write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 def port_dim_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.port_dim(views.bind(spark, sf_dir, views.PORTS))
 
@@ -376,15 +386,20 @@ def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def differing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visits against a copy with some lost, some doubled and some altered; both are clustered by their id."""
-    kept_as = {name: new_folder(spark, name) for name in ("left", "right")}
-    visits = visits_of(spark, sf_dir)
-    visits.repartitionByRange("cicid").sortWithinPartitions("cicid").write.parquet(kept_as["left"])
-    left = spark.read.parquet(kept_as["left"])
+    left_at, right_at = (new_folder(spark, name) for name in ("left", "right"))
+    with shuffles_removed(spark):
+        left = stored_visits(spark, sf_dir, left_at, clustered=True)
+        # A file is read in its order, so the copy is clustered without a shuffle.
+        right = kept(_miscopied(left), right_at)
+        found = differences.differing_rows(left, right, "cicid")
+    return found.select("cicid", "gender", "left_rows", "right_rows")
+
+
+def _miscopied(visits: DataFrame) -> DataFrame:
+    """Visits in their order, with some lost, some doubled and some altered."""
     copies = F.when(F.col("cicid") % 997 == 0, 0).when(F.col("cicid") % 1009 == 1, 2).otherwise(1)
     altered = F.when(F.col("cicid") % 2003 == 5, F.lit("X")).otherwise(F.col("gender"))
-    right = left.withColumn("gender", altered).withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("copy")
-    right.repartitionByRange("cicid").sortWithinPartitions("cicid").write.parquet(kept_as["right"])
-    return differences.differing_rows(left, spark.read.parquet(kept_as["right"]), "cicid").select("cicid", "gender", "left_rows", "right_rows")
+    return visits.withColumn("gender", altered).withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("copy")
 
 
 def changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 VISITS = """
 SELECT l.l_orderkey * 10 + l.l_linenumber                             AS cicid,
@@ -157,8 +158,25 @@ def bind(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     return spark.sql(view, **tables)
 
 
-def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of VISITS, its columns by the same text, with its inner joins in another order.
+# Rows of lineitem, the largest table, that one pass of :func:`passes` joins: so much of the shuffles is on the disks at once.
+PASS_ROWS = 1 << 25
+# Lowest order of a pass and lowest of the next one; None where it is open.
+Orders = tuple[int | None, int | None]
+
+
+def passes(spark: SparkSession, sf_dir: str) -> list[Orders]:
+    """Ranges of orders with about PASS_ROWS rows of lineitem each; visits of an order of none are in no range, as no order is null in VISITS."""
+    line = read_table(spark, sf_dir, "lineitem")
+    parts = -(-line.count() // PASS_ROWS)
+    if parts <= 1:
+        return [(None, None)]
+    at = F.percentile_approx("l_orderkey", [k / parts for k in range(1, parts)], 10_000)
+    cuts = sorted(set(line.agg(at.alias("cuts")).first()["cuts"] or ()))
+    return list(zip([None, *cuts], [*cuts, None], strict=True))
+
+
+def visits(spark: SparkSession, sf_dir: str, of: Orders = (None, None)) -> DataFrame:
+    """The rows of VISITS, or those of a range of orders, its columns by the same text, with its inner joins in another order.
 
     Spark joins in the order of a text, which shuffles lineitem, the largest table, for orders, customers and parts in turn, each time with more
     columns. Here orders meet customers before they meet lineitem, and lineitem meets parts and suppliers while it is narrow.
@@ -167,6 +185,11 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     line, orders, customer, supplier, part, nation, region = (
         read_table(spark, sf_dir, name) for name in ("lineitem", "orders", "customer", "supplier", "part", "nation", "region")
     )
+    first, following = of
+    if first is not None:
+        line = line.where(F.col("l_orderkey") >= first)
+    if following is not None:
+        line = line.where(F.col("l_orderkey") < following)
     people = orders.join(
         customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(region, nation.n_regionkey == region.r_regionkey),
         orders.o_custkey == customer.c_custkey,

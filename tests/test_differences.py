@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import pytest
-from helpers import D, scanned_rows
+from helpers import D, plan_of, scanned_rows
 from pyspark.sql import functions as F
 
 from arrivalmart.operators import differences
@@ -85,6 +85,21 @@ def test_each_step_reads_less_of_clustered_files(spark, tmp_path, monkeypatch):
     assert scanned_rows(got) < read[0] / 3
 
 
+def test_rows_of_equal_cells_are_not_shuffled_for_those_that_differ(spark, monkeypatch):
+    monkeypatch.setattr(differences, "SENT", 40)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(20_000).select(F.col("id").alias("k"), F.lit("x").alias("a"))
+        right = left.where("k % 100 <> 7").unionAll(spark.range(1).selectExpr("CAST(NULL AS BIGINT)", "'x'"))
+        rows = differences.differing_rows(left, right, "k", few=0, most=3)
+        plan = plan_of(rows)
+        assert {(r.k, r.left_rows, r.right_rows) for r in rows.collect()} == {*((k, 1, 0) for k in range(7, 20_000, 100)), (None, 0, 1)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("BroadcastHashJoin") >= 5 and "SortMergeJoin" not in plan
+
+
 def test_key_ranges_hold_their_cells():
     for seed in range(200):
         draw = random.Random(seed)

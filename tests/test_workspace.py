@@ -1,4 +1,5 @@
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -44,3 +45,24 @@ def test_work_folder_is_removed_with_its_tables(spark, fails):
     except ValueError:
         assert fails
     assert not os.path.exists(work)
+
+
+def test_a_query_leaves_no_shuffle_files_where_they_are_removed(spark, tmp_path):
+    def files():
+        held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {held.apply(k).getName() for k in range(held.size()) if held.apply(k).getName().startswith("shuffle_")}
+
+    def written(name):
+        before = files()
+        spark.range(1_000).repartition(3, "id").write.parquet(str(tmp_path / name))
+        for _ in range(50):
+            if not files() - before:
+                break
+            time.sleep(0.1)
+        return files() - before
+
+    setting = spark.conf.get(workspace.REMOVES_SHUFFLES, None)
+    with workspace.shuffles_removed(spark):
+        assert not written("within")
+    assert spark.conf.get(workspace.REMOVES_SHUFFLES, None) == setting
+    assert written("outside")
