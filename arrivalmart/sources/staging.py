@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -31,8 +31,11 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 # A file holds about 256 MB at some 200 bytes a row. No field holds a line break (see one_line), so Spark
-# splits a file of any size.
+# splits a file of any size; a packed one, a quarter as large, is read by one task.
 ROWS_PER_FILE = (256 << 20) // 200
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+# Rows of the months that are dealt out in one step, see batched.
+BATCH_ROWS = 1 << 25
 # Signs that would break a line, and how they are written; the backslash first, so that it can be undone last.
 ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
 
@@ -50,6 +53,37 @@ def in_months(year: Column, month: Column, months: Iterable[Month]) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
+def batched(rows: Mapping[Month, int], most: int | None = None) -> list[list[Month]]:
+    """Months in order, in batches of at most ``most`` rows, BATCH_ROWS by default; a month of more is a batch of its own."""
+    most, batches, held = most or BATCH_ROWS, [], 0
+    for month in sorted(rows, key=lambda m: [(v is not None, v or 0) for v in m]):
+        if not batches or held + rows[month] > most:
+            batches.append([])
+            held = 0
+        batches[-1].append(month)
+        held += rows[month]
+    return batches
+
+
+def in_batch(year: Column, month: Column, batch: Iterable[Month]) -> Column:
+    """As :func:`in_months`, whether a missing year or month is one of the batch included."""
+    full = [m for m in batch if None not in m]
+    missing = [year.eqNullSafe(y) & month.eqNullSafe(m) for y, m in batch if y is None or m is None]
+    return reduce(lambda a, b: a | b, missing, in_months(year, month, full))
+
+
+def month_parts(visits: DataFrame) -> list[DataFrame]:
+    """Visits in parts of whole months, at most BATCH_ROWS rows each where months allow it; a missing year or month counts as -1, which cleaning makes of it.
+
+    So large a part is shuffled at once if parts are staged one after the other. Visits are read once to count months, which reach the driver, and
+    once for each part, and should be a table.
+    """
+    year, month = (F.coalesce(c, F.lit(MISSING)) for c in ("i94yr", "i94mon"))
+    counted = visits.groupBy(year.alias("year"), month.alias("month")).agg(F.count(F.lit(1)).alias("n")).collect()
+    batches = batched({(row["year"], row["month"]): row["n"] for row in counted})
+    return [visits.where(in_batch(year, month, batch)) for batch in batches] if len(batches) > 1 else [visits]
+
+
 def one_line(df: DataFrame) -> DataFrame:
     """The same rows with line breaks and backslashes in text escaped, so that a row is one line of CSV."""
 
@@ -92,12 +126,16 @@ def clean_visits(raw: DataFrame) -> DataFrame:
 
 
 def write_staged(
-    visits: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, clustered: bool = True
+    visits: DataFrame,
+    path: str,
+    rows_per_file: int = ROWS_PER_FILE,
+    clustered: bool = True,
+    packed: bool = False,
 ) -> list[Month]:
     """Write CSV by month, at most ``rows_per_file`` rows a file; a month written again is replaced.
 
     Gives the months written, which the same pass observes; they reach the driver, as many as there are. Raw records that arrive one month per file are already ``clustered`` and need no shuffle. Mixed
-    input is rebalanced by month first, which also splits a month that is too big for one task.
+    input is rebalanced by month first, which also splits a month that is too big for one task. ``packed`` files are compressed.
     """
     out = visits.select("*", F.col("i94yr").alias("year"), F.col("i94mon").alias("month"))
     if not clustered:
@@ -108,7 +146,7 @@ def write_staged(
     out = out.observe(seen, F.collect_set(F.struct("year", "month")).alias("months"))
     (
         out.write.mode("overwrite")
-        .options(**CSV_OPTIONS, partitionOverwriteMode="dynamic", maxRecordsPerFile=rows_per_file)
+        .options(**CSV_OPTIONS, **(PACKED if packed else {}), partitionOverwriteMode="dynamic", maxRecordsPerFile=rows_per_file)
         .partitionBy("year", "month")
         .csv(path)
     )

@@ -79,3 +79,10 @@ def kept(df: DataFrame, path: str) -> DataFrame:
     """A result that is used more than once, written as a table and read back."""
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def kept_parts(spark: SparkSession, parts: Iterable[DataFrame], path: str) -> DataFrame:
+    """All parts of a result, one or more, written one after the other into one table and read back."""
+    for part in parts:
+        part.write.mode("append").parquet(path)
+    return spark.read.parquet(path)

@@ -13,7 +13,7 @@ from arrivalmart.functions.codes import MISSING, UNKNOWN, VISIT_COLUMNS, VISIT_F
 from arrivalmart.operators import differences, dimensions, fact, marts, quality, states
 from arrivalmart.plans import jobs
 from arrivalmart.sources import ledger, lookups, staging, warehouse
-from arrivalmart.sources.workspace import kept, new_folder, shuffles_removed, work_folder
+from arrivalmart.sources.workspace import kept, kept_parts, new_folder, shuffles_removed, work_folder
 from driver_binding import views
 
 # Parameters of the slices; the oracle texts use the same.
@@ -33,12 +33,10 @@ def visits_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_visits(spark: SparkSession, sf_dir: str, path: str, clustered: bool = False) -> DataFrame:
     """Visits as a table, joined range of orders by range of orders, as each range leaves its shuffle files; ``clustered`` by their id, which begins with the order's."""
-    for of in views.passes(spark, sf_dir):
-        part = views.visits(spark, sf_dir, of)
-        if clustered:
-            part = part.repartitionByRange("cicid").sortWithinPartitions("cicid")
-        part.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    parts = [views.visits(spark, sf_dir, of) for of in views.passes(spark, sf_dir)]
+    if clustered:
+        parts = [part.repartitionByRange("cicid").sortWithinPartitions("cicid") for part in parts]
+    return kept_parts(spark, parts, path)
 
 
 def port_dim_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,8 +89,11 @@ def star_of(spark: SparkSession, sf_dir: str) -> marts.Star:
 
 
 def raw_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_records(visits_of(spark, sf_dir))
+
+
+def raw_records(visits: DataFrame) -> DataFrame:
     """Visits turned back into raw records: day numbers, doubles, nulls and NaN for missing."""
-    visits = visits_of(spark, sf_dir)
 
     def raw(name: str, kind: str) -> Column:
         value = F.col(name)
@@ -405,19 +406,22 @@ def _miscopied(visits: DataFrame) -> DataFrame:
 def changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a ledger of staged files finds at first, after a year is staged again as it was, and after a visit of each of its first months is lost."""
     staged, known = new_folder(spark, "staged"), new_folder(spark, "ledger")
-    visits = visits_of(spark, sf_dir)
-    year = visits.where(F.col("i94yr") == RELOADED_YEAR)
-    some = year.where(F.col("i94mon") <= 2)
-    gone = some.groupBy("i94mon").agg(F.min("cicid").alias("cicid")).select("cicid")
     found = []
-    for step, rows in ((1, visits), (2, year), (3, some.join(gone, "cicid", "left_anti").select(*visits.columns))):
-        staging.write_staged(rows, staged, clustered=False)
-        seen = ledger.changes(spark, staged, known)
-        for status in ("changed", "touched", "gone"):
-            found += [(step, *month, status) for month in getattr(seen, status)]
-        if seen.changed or seen.touched:
-            with work_folder(spark, "seen") as work:
-                ledger.write_ledger(kept(seen.rows, work), known)
+    with work_folder(spark, "visits") as stored, shuffles_removed(spark):
+        visits = stored_visits(spark, sf_dir, stored)
+        year = visits.where(F.col("i94yr") == RELOADED_YEAR)
+        some = year.where(F.col("i94mon") <= 2)
+        gone = some.groupBy("i94mon").agg(F.min("cicid").alias("cicid")).select("cicid")
+        fewer = some.join(gone, "cicid", "left_anti").select(*visits.columns)
+        for step, rows in ((1, visits), (2, year), (3, fewer)):
+            for part in staging.month_parts(rows):
+                staging.write_staged(part, staged, clustered=False, packed=True)
+            seen = ledger.changes(spark, staged, known)
+            for status in ("changed", "touched", "gone"):
+                found += [(step, *month, status) for month in getattr(seen, status)]
+            if seen.changed or seen.touched:
+                with work_folder(spark, "seen") as work:
+                    ledger.write_ledger(kept(seen.rows, work), known)
     return spark.createDataFrame(found, "step int, year int, month int, status string")
 
 

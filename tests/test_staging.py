@@ -6,7 +6,7 @@ from helpers import D, as_set, plan_of, visits
 
 from arrivalmart.functions.codes import VISIT_COLUMNS
 from arrivalmart.operators.quality import QualityError
-from arrivalmart.sources import staging
+from arrivalmart.sources import ledger, staging
 
 NAN = float("nan")
 RAW_SCHEMA = (
@@ -172,3 +172,34 @@ def test_text_is_escaped_after_the_shuffle(spark, tmp_path):
     path = str(tmp_path / "staged")
     staging.write_staged(rows, path, clustered=False)
     assert as_set(staging.read_visits(spark, path), "airline", "fltno") == {("a\\b\nc", "7"), ("\\n", "12")}
+
+
+def test_months_staged_in_parts_are_those_staged_at_once(spark, tmp_path, monkeypatch):
+    rows = visits(spark, *[{"i94mon": k % 5 + 1, "i94yr": None if k == 7 else 2016, "airline": f'"{k}\\', "cicid": k} for k in range(40)], {"i94yr": None, "i94mon": None}, {"i94yr": -1})
+    assert len(staging.month_parts(rows)) == 1
+    monkeypatch.setattr(staging, "BATCH_ROWS", 10)
+    parts = staging.month_parts(rows)
+    held = [as_set(part, "cicid", "i94yr", "i94mon") for part in parts]
+    assert len(parts) > 3 and sum(part.count() for part in parts) == 42 and set().union(*held) == as_set(rows, "cicid", "i94yr", "i94mon")
+    cleaned = [{(-1 if y is None else y, -1 if m is None else m) for _, y, m in part} for part in held]
+    assert sum(map(len, cleaned)) == len(set().union(*cleaned))
+
+    whole, packed = str(tmp_path / "whole"), str(tmp_path / "packed")
+    months = staging.write_staged(rows, whole, clustered=False)
+    written = [staging.write_staged(part, packed, clustered=False, packed=True) for part in parts]
+    assert sorted((m for part in written for m in part), key=str) == months
+    assert glob.glob(f"{packed}/year=2016/month=2/*.csv.gz") and not glob.glob(f"{packed}/*/*/*.csv")
+    read = [sorted(staging.read_visits(spark, path).collect(), key=str) for path in (whole, packed)]
+    assert read[0] == read[1] and len(read[0]) == 42
+    counted = [as_set(staging.staged_manifest(spark, path, [(2016, m) for m in range(1, 6)]), "sas_data_month", "sas_data_rowcount") for path in (whole, packed)]
+    assert counted[0] == counted[1] and sum(n for _, n in counted[0]) == 39
+
+
+def test_the_ledger_sees_packed_files_by_their_lines(spark, tmp_path):
+    paths = [str(tmp_path / name) for name in ("plain", "packed")]
+    for path, packed in zip(paths, (False, True), strict=True):
+        staging.write_staged(visits(spark, *[{"i94mon": k % 2 + 1, "cicid": k} for k in range(9)]).coalesce(1), path, packed=packed)
+    found = [ledger.changes(spark, path, str(tmp_path / "none")) for path in paths]
+    assert found[0].changed == found[1].changed == [(2016, 1), (2016, 2)]
+    lines = [as_set(f.rows, "month", "lines", "content") for f in found]
+    assert lines[0] == lines[1] and {n for _, n, _ in lines[0]} == {5, 6}
