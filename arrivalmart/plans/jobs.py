@@ -16,7 +16,7 @@ from arrivalmart.functions.codes import UNKNOWN
 from arrivalmart.operators import differences, dimensions, fact, marts, quality, states
 from arrivalmart.sources import ledger, lookups, staging, warehouse
 from arrivalmart.sources.staging import Month
-from arrivalmart.sources.workspace import kept, work_folder
+from arrivalmart.sources.workspace import kept, kept_parts, shuffles_removed, work_folder
 
 BANDED_VALUES = ((DURATION, "duration_days"), (AGE, "i94bir"))
 BY_MONTH = ("year", "month")
@@ -65,11 +65,18 @@ class Paths:
         return cls(**{name: f"{root}/{folder}" for name, folder in LAYOUT.items()})
 
 
-def stage(raw: DataFrame, paths: Paths, clustered: bool = True) -> None:
-    """Clean raw records, write them by month and count the rows written for each month; raw records are read once."""
-    months = staging.write_staged(staging.clean_visits(raw), paths.staged, clustered=clustered)
-    counted = staging.staged_manifest(raw.sparkSession, paths.staged, months)
-    staging.write_manifest(counted, paths.manifest)
+def stage(raw: DataFrame | Sequence[DataFrame], paths: Paths, clustered: bool = True) -> None:
+    """Clean raw records, write them by month, compressed, and count the rows written for each month; raw records are read once.
+
+    Several tables of raw records, which have no month in common, are staged one after the other, each within the disk that its own rows need.
+    """
+    parts = [raw] if isinstance(raw, DataFrame) else raw
+    spark = parts[0].sparkSession
+    with shuffles_removed(spark):
+        written = [staging.write_staged(staging.clean_visits(part), paths.staged, clustered=clustered, packed=True) for part in parts]
+        months = sorted({month for of_part in written for month in of_part}, key=str)
+        counted = staging.staged_manifest(spark, paths.staged, months)
+        staging.write_manifest(counted, paths.manifest)
 
 
 def build_dimensions(spark: SparkSession, paths: Paths) -> None:
@@ -133,6 +140,12 @@ def _measures(banded: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _fact_of(visits: DataFrame, resolved: lookups.Lookups, months: Sequence[Month] | None) -> DataFrame:
+    """The fact of some months, or all; every key of it is in one month."""
+    own = visits if months is None else visits.where(staging.in_batch(F.col("i94yr"), F.col("i94mon"), months))
+    return fact.build_fact(fact.add_bands(fact.denormalise(own, resolved, citizenship=False)))
+
+
 def load_months(
     spark: SparkSession,
     paths: Paths,
@@ -145,30 +158,33 @@ def load_months(
     The staged text is parsed once, into a table of the work folder. All months go through the same two passes over that
     table, one for every profile and check measure and one for the fact, each reading its own columns. The fact is written to a work folder first and published
     only if it agrees with the measures, so a failed check leaves the warehouse as it was, and a
-    lost executor never repeats the joins behind a table already written. Loading months again
+    lost executor never repeats the joins behind a table already written. The fact is counted and written batch by batch of months,
+    and each step leaves no shuffle files, so the disk needed beside the tables is that of one batch. Loading months again
     replaces them.
     """
     wanted = sorted(set(months))
     if not wanted:
         raise ValueError("no months to load")
     resolved = read_lookups(spark, paths)
-    with work_folder(spark, "load") as work:
-        visits = kept(staging.read_visits(spark, paths.staged, wanted, layout), f"{work}/visits")
-        banded = fact.add_bands(fact.denormalise(visits, resolved))
-        keyed = banded.withColumns({"year": F.col("i94yr"), "month": F.col("i94mon")})
-        measured = kept(_measures(keyed, banded.columns), f"{work}/measures")
-        found = {(row.year, row.month) for row in measured.select(*BY_MONTH).collect()}
-        if found != set(wanted):
-            held = sorted(found, key=str)
-            raise quality.QualityError(f"asked for months {wanted}, staged rows are of {held}")
-
-        _write_log(quality.missing_report(measured, banded.columns, BY_MONTH), paths, "checknulls")
-        _write_log(quality.numeric_report(measured, by=BY_MONTH), paths, "intfields")
-        _write_log(quality.string_report(measured, by=BY_MONTH), paths, "stringfields")
-
-        narrow = fact.add_bands(fact.denormalise(visits, resolved, citizenship=False))
-        counted = kept(fact.build_fact(narrow), f"{work}/fact")
-        totals = kept(quality.band_totals(counted, BANDED_VALUES, BY_MONTH), f"{work}/totals")
+    with work_folder(spark, "load") as work, shuffles_removed(spark):
+        with work_folder(spark, "parsed") as parsed:
+            visits = kept(staging.read_visits(spark, paths.staged, wanted, layout), f"{parsed}/visits")
+            banded = fact.add_bands(fact.denormalise(visits, resolved))
+            keyed = banded.withColumns({"year": F.col("i94yr"), "month": F.col("i94mon")})
+            measured = kept(_measures(keyed, banded.columns), f"{work}/measures")
+            found = {(row.year, row.month) for row in measured.select(*BY_MONTH).collect()}
+            if found != set(wanted):
+                held = sorted(found, key=str)
+                raise quality.QualityError(f"asked for months {wanted}, staged rows are of {held}")
+
+            _write_log(quality.missing_report(measured, banded.columns, BY_MONTH), paths, "checknulls")
+            _write_log(quality.numeric_report(measured, by=BY_MONTH), paths, "intfields")
+            _write_log(quality.string_report(measured, by=BY_MONTH), paths, "stringfields")
+
+            batches = staging.batched({(row.year, row.month): row.totalrows for row in measured.select(*BY_MONTH, "totalrows").collect()})
+            batches = batches if len(batches) > 1 else [None]
+            counted = kept_parts(spark, (_fact_of(visits, resolved, batch) for batch in batches), f"{work}/fact")
+            totals = kept(quality.band_totals(counted, BANDED_VALUES, BY_MONTH), f"{work}/totals")
         rows_in = measured.select(*BY_MONTH, F.col("totalrows").alias("rows_in"))
         reconciled = kept(
             quality.reconcile_totals(rows_in, totals, BY_MONTH), f"{work}/reconciled"
@@ -181,7 +197,7 @@ def load_months(
         dates = dimensions.date_dim(dimensions.months_table(spark, wanted))
         warehouse.write_date_dim(dates, paths.date)
         warehouse.write_states(states.states_of(measured, banded.columns, BY_MONTH), paths.states_of_months)
-        warehouse.write_fact(counted, paths.visit_fact, wanted, store)
+        warehouse.write_fact(counted, paths.visit_fact, wanted, store, warehouse.GROUP_BYTES, batches)
 
 
 def load_changed(

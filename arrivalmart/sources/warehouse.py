@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from arrivalmart.functions.codes import UNKNOWN
-from arrivalmart.sources.staging import Month
+from arrivalmart.sources.staging import Month, in_batch
 from arrivalmart.sources.workspace import hadoop_files
 
 # The fact table, partition columns last. Declared so that a partition value such as
@@ -142,7 +142,12 @@ def remove_unnamed(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_fact(
-    fact: DataFrame, path: str, months: Iterable[Month] | None = None, layout: str = CLUSTERED, group_bytes: int = GROUP_BYTES
+    fact: DataFrame,
+    path: str,
+    months: Iterable[Month] | None = None,
+    layout: str = CLUSTERED,
+    group_bytes: int = GROUP_BYTES,
+    batches: Sequence[Sequence[Month] | None] = (None,),
 ) -> None:
     """Replace the months a fact holds, and those named; loading a month twice leaves it as loaded once.
 
@@ -150,21 +155,26 @@ def write_fact(
     narrow ranges of states and a slice reads only those it meets. ``folders`` has a folder for each state, which a slice doesn't
     even list; it pays once the states of a month fill many files each. Months of both layouts may be in one table. In either a state with a
     third of all rows is split over many tasks and small ones share one. A state that is null or empty is written as ``'unknown'``. The
-    months written are observed in the same pass and reach the driver.
+    months written are observed in the same pass and reach the driver. ``batches`` of months, all that it holds, are dealt out one after the other, so that the
+    shuffle of one is on the disks at once; each reads ``fact`` again, which should be a table. They are published together.
     """
     if layout not in (CLUSTERED, FOLDERS):
         raise ValueError(f"unknown layout {layout!r}")
     state = FACT_PARTITIONS[-1]
     fact = fact.withColumn(state, F.when(F.col(state) != "", F.col(state)).otherwise(F.lit(UNKNOWN)))
-    if layout == CLUSTERED:
-        out, folders = fact.repartitionByRange(*RANGES).sortWithinPartitions(*SORTED), FACT_PARTITIONS[:-1]
-    else:
-        out, folders = fact.hint("rebalance", *FACT_PARTITIONS), FACT_PARTITIONS
-    seen, load = Observation(), uuid.uuid4().hex
+    load, written = uuid.uuid4().hex, set()
+    folders = FACT_PARTITIONS[:-1] if layout == CLUSTERED else FACT_PARTITIONS
     options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM if c not in folders}
-    out = out.observe(seen, F.collect_set(F.struct("year", "month")).alias("months"))
-    out.write.options(**options, **{"parquet.block.size": group_bytes}).partitionBy(*folders).parquet(f"{path}/data/load={load}")
-    written = {(row.year, row.month) for row in seen.get["months"]}
+    for batch in batches:
+        out = fact if batch is None else fact.where(in_batch(F.col("year"), F.col("month"), batch))
+        if layout == CLUSTERED:
+            out = out.repartitionByRange(*RANGES).sortWithinPartitions(*SORTED)
+        else:
+            out = out.hint("rebalance", *FACT_PARTITIONS)
+        seen = Observation()
+        out = out.observe(seen, F.collect_set(F.struct("year", "month")).alias("months"))
+        out.write.mode("append").options(**options, **{"parquet.block.size": group_bytes}).partitionBy(*folders).parquet(f"{path}/data/load={load}")
+        written |= {(row.year, row.month) for row in seen.get["months"]}
     publish(fact.sparkSession, path, load, layout, sorted(written | set(months or ()), key=str), written)
 
 

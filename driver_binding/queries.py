@@ -286,7 +286,9 @@ def fact_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _loaded(spark: SparkSession, sf_dir: str) -> tuple[jobs.Paths, list[staging.Month]]:
     """All jobs up to the load, from raw records to the star and its logs."""
     paths = jobs.Paths.under(new_folder(spark, "mart"))
-    jobs.stage(raw_visits(spark, sf_dir), paths, clustered=False)
+    with work_folder(spark, "visits") as stored, shuffles_removed(spark):
+        parts = staging.month_parts(stored_visits(spark, sf_dir, stored))
+        jobs.stage([raw_records(part) for part in parts], paths, clustered=False)
     for view, path, sep, columns in (
         (views.PORTS, paths.ports, ",", lookups.PORT_COLUMNS),
         (views.STATES, paths.states, ",", lookups.STATE_COLUMNS),

@@ -11,6 +11,7 @@ from arrivalmart.operators.quality import QualityError
 from arrivalmart.plans import jobs
 from arrivalmart.sources import lookups, staging, warehouse
 from arrivalmart.sources.workspace import shared_folder
+from driver_binding.queries import raw_records
 
 MONTHS = [(2016, 1), (2016, 2), (2016, 3)]
 
@@ -169,3 +170,21 @@ def test_slices_of_the_stored_star_reach_the_scan(spark, paths, layout):
     pushed = scan.split("PushedFilters: [")[1].split("]")[0]
     assert "year" in folders and "month" in folders
     assert "arrivalstate_abbr" in (pushed if layout == warehouse.CLUSTERED else folders)
+
+
+def test_a_load_in_batches_of_months_gives_the_same_star_and_is_published_at_once(spark, paths, monkeypatch):
+    rows = dated(spark, 300, seed=5)
+    jobs.stage(raw_records(rows), paths, clustered=False)
+    jobs.build_dimensions(spark, paths)
+    jobs.load_months(spark, paths, MONTHS)
+    once = table(spark, paths.visit_fact)
+    monkeypatch.setattr(staging, "BATCH_ROWS", 1)
+    raws = [raw_records(part) for part in staging.month_parts(rows)]
+    assert len(raws) == len(MONTHS)
+    made, real = [], warehouse.publish
+    monkeypatch.setattr(warehouse, "publish", lambda *a: (made.append(sorted(a[-1])), real(*a))[1])
+    jobs.stage(raws, paths, clustered=False)
+    jobs.load_months(spark, paths, MONTHS)
+    assert table(spark, paths.visit_fact) == once and made == [MONTHS]
+    assert jobs.check_rows(spark, paths, MONTHS).where("matches").count() == 3
+    assert not glob.glob(f"{shared_folder(spark)}/arrivalmart/*")
