@@ -12,7 +12,7 @@ from driver_binding import views
 __all__ = ["duck"]
 
 
-@pytest.mark.parametrize("name", ["changed_months"])
+@pytest.mark.parametrize("name", ["load_profiles", "changed_months"])
 def test_results_in_passes_equal_the_oracle(spark, duck, name, monkeypatch):
     monkeypatch.setattr(views, "PASS_ROWS", 2_500)
     monkeypatch.setattr(staging, "BATCH_ROWS", 2_500)
